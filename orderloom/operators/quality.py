@@ -128,7 +128,14 @@ def schema_changes(old: DataFrame, new: DataFrame) -> DataFrame:
         before.join(after, "column_name", "full")
         .withColumn("change", change)
         .where(F.col("change").isNotNull())
-        .select("column_name", "change", "old_type", "new_type", "old_values", "new_values")
+        .select(
+            "column_name",
+            "change",
+            "old_type",
+            "new_type",
+            F.coalesce("old_values", F.lit(0)).alias("old_values"),
+            F.coalesce("new_values", F.lit(0)).alias("new_values"),
+        )
     )
 
 

@@ -33,9 +33,12 @@ def to_number(column: str):
     return F.regexp_replace(F.trim(column), ",", "").try_cast("double")
 
 
-def country_stats(cells: DataFrame) -> DataFrame:
-    """Six text columns by position to the country table with its growth in percent."""
-    named = cells.toDF(*COUNTRY_COLUMNS).drop("Change").withColumnsRenamed(COUNTRY_NAMES)
+def country_stats(cells: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Six text columns by position to the country table with its growth in percent.
+
+    Columns after the six are carried along when ``keep`` names them.
+    """
+    named = cells.toDF(*COUNTRY_COLUMNS, *keep).drop("Change").withColumnsRenamed(COUNTRY_NAMES)
     return (
         named.withColumn("pop_2022", to_number("pop_2022"))
         .withColumn("pop_2023", to_number("pop_2023"))

@@ -111,9 +111,9 @@ def check_users_difference(spark, folder):
 
 @query("check_schema_change", over("users_cleaned", then="""
     select 'company' as column_name, 'removed' as change, 'string' as old_type, null as new_type,
-           count(company) as old_values, null as new_values from users_cleaned
+           count(company) as old_values, 0 as new_values from users_cleaned
     union all
-    select 'segment', 'added', null, 'string', null, count(company) from users_cleaned
+    select 'segment', 'added', null, 'string', 0, count(company) from users_cleaned
     union all
     select 'user_id', 'retyped', 'bigint', 'string', count(user_id), count(user_id) from users_cleaned"""))
 def check_schema_change(spark, folder):
