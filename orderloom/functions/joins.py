@@ -5,24 +5,27 @@ from __future__ import annotations
 from functools import reduce
 from operator import add
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BROADCAST_BYTES = 32 * 1024 * 1024
 
 
-def measured_bytes(df: DataFrame) -> int:
-    """Bytes of all values of ``df``, counted by one aggregation."""
+def _row_bytes(df: DataFrame) -> Column:
     widths = []
     for field in df.schema.fields:
         if isinstance(field.dataType, (T.StringType, T.BinaryType)):
             widths.append(F.coalesce(F.octet_length(F.col(f"`{field.name}`")), F.lit(0)) + F.lit(8))
         elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
             widths.append(F.octet_length(F.coalesce(F.to_json(F.struct(f"`{field.name}`")), F.lit(""))))
-    fixed = 16 + 8 * len(df.columns)
-    width = reduce(add, widths, F.lit(fixed)) if widths else F.lit(fixed)
-    return df.select(width.cast("bigint").alias("w")).agg(F.coalesce(F.sum("w"), F.lit(0))).first()[0]
+    return reduce(add, widths, F.lit(16 + 8 * len(df.columns))).cast("bigint")
+
+
+def measured_bytes(*frames: DataFrame) -> int:
+    """Bytes of all values of the frames, counted by one job that returns one number."""
+    widths = [df.select(_row_bytes(df).alias("w")) for df in frames]
+    return reduce(DataFrame.unionAll, widths).agg(F.coalesce(F.sum("w"), F.lit(0))).first()[0]
 
 
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:

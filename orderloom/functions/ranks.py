@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from orderloom.functions.joins import broadcast_if_small
 from orderloom.session import materialise
 
 # monotonically_increasing_id keeps the partition number above this bit.
@@ -50,7 +51,7 @@ def number_rows(
     same = [F.col(f"r.{c}").eqNullSafe(F.col(f"f.{c}")) for c in within]
     return (
         numbered.alias("r")
-        .join(firsts.alias("f"), same)
+        .join(broadcast_if_small(firsts).alias("f"), same)
         .select("r.*", "f._first")
         .withColumn(column, F.col(column) - F.col("_first"))
         .drop("_first")

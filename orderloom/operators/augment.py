@@ -29,7 +29,7 @@ def orders_augmented(
         orders = in_window(orders, "order_date", start, end, closed)
     company = users.select("user_id", "company")
     place = locations.select("user_id", "state", "zip_code")
-    if measured_bytes(company) + measured_bytes(place) <= broadcast_limit:
+    if measured_bytes(company, place) <= broadcast_limit:
         joined = orders.join(F.broadcast(company), "user_id", "left")
         joined = joined.join(F.broadcast(place), "user_id", "left")
     else:

@@ -44,9 +44,11 @@ def enrich(
 ) -> DataFrame:
     """Add ``order_center`` from the JSON text the provider answers for each key.
 
-    Rows are spread evenly by key because calls, not bytes, are the cost. Only the key
-    crosses to Python, in Arrow batches; all other columns stay in the JVM, which also
-    parses the answers. A task that fails is run again by Spark.
+    Tasks work side by side on their batches. By default they are those of the input;
+    ``tasks`` spreads the rows evenly, whatever their keys, when the input has few
+    splits and calls, not bytes, are the cost. Only the key crosses to Python, in Arrow
+    batches; all other columns stay in the JVM, which also parses the answers. A task
+    that fails is run again by Spark.
     """
 
     @F.pandas_udf(T.StringType())
@@ -54,11 +56,7 @@ def enrich(
         for batch in batches:
             yield pd.Series(call_in_batches(batch.tolist(), provider, batch_rows, max_retries), dtype=object)
 
-    session = df.sparkSession
-    tasks = tasks or max(
-        session.sparkContext.defaultParallelism, int(session.conf.get("spark.sql.shuffle.partitions"))
-    )
-    spread = df.repartition(tasks, key)
+    spread = df.repartition(tasks) if tasks else df
     answered = spread.withColumn("_answer", answer(F.col(key)))
     parsed = F.from_json("_answer", CENTER_SCHEMA)["order_center"]
     return answered.withColumn("order_center", parsed).drop("_answer")

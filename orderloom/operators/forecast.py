@@ -86,7 +86,7 @@ def fit(
     summary: DataFrame,
     a_init: float = START[0],
     b_init: float = START[1],
-    tolerance: float = 1e-11,
+    tolerance: float = 1e-9,
     max_passes: int = 100,
 ) -> ForecastModel:
     """Nonlinear least squares of the growth curve on ``(order_date, num_orders)``.

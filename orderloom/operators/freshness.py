@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 from datetime import timedelta
 
@@ -59,13 +60,15 @@ class Deadline:
     """A recurring deadline in a time zone and how far before it data may land.
 
     ``every`` is ``hour``, ``day`` or ``week``; ``at`` is the offset into that period,
-    where a week starts on Monday.
+    where a week starts on Monday. UTC offsets of the zone are multiples of ``offset_step``.
+    All times are whole seconds.
     """
 
     every: str
     at: timedelta
     lower_bound: timedelta
     zone: str = "UTC"
+    offset_step: timedelta = timedelta(minutes=15)
 
 
 # The deadlines in use.
@@ -96,8 +99,9 @@ def _deadlines_between(low: Column, high: Column, rule: Deadline) -> Column:
 def freshness_deadline(df: DataFrame, ts: str, start: str, end: str, rule: Deadline) -> DataFrame:
     """For each deadline in ``[start, end]``: rows landed in ``[deadline - lower bound, deadline]``.
 
-    A row names the few deadlines it can serve, so rows and deadlines meet by equality
-    after a partial count; deadlines that nothing served stay with a count of zero.
+    Rows are counted per time slot first, so what goes on grows with the calendar and
+    not with the rows. A slot names the few deadlines it can serve and meets them by
+    equality; deadlines that nothing served stay with a count of zero.
     """
     low, high = ntz_literal(start), ntz_literal(end)
     back = seconds(rule.lower_bound.total_seconds())
@@ -107,17 +111,21 @@ def freshness_deadline(df: DataFrame, ts: str, start: str, end: str, rule: Deadl
         .select(F.explode(F.array_distinct(_deadlines_between(low, high, rule))).alias("deadline"))
         .where(F.col("deadline").between(low, high))
     )
-    times = df.select(as_ntz(ts).alias("_ts")).where(F.col("_ts").between(low - back, high))
+    slot = math.gcd(*(int(t.total_seconds()) for t in (rule.at, rule.lower_bound, rule.offset_step)))
+    times = (
+        df.where(as_ntz(ts).between(low - back, high))
+        .select(as_ntz(ts).alias("_ts"), F.window(as_ntz(ts), f"{slot} seconds").alias("_w"))
+        .groupBy(F.col("_w.start").alias("_slot"), (F.col("_ts") == F.col("_w.start")).alias("_exact"))
+        .agg(F.count(F.lit(1)).alias("_n"))
+    )
+    candidates = _deadlines_between(F.col("_slot"), F.col("_slot") + back, rule)
+    # Deadlines start a slot, so within that slot only a row at its very start is in time.
+    in_time = (F.col("_slot") < F.col("deadline")) | ((F.col("_slot") == F.col("deadline")) & F.col("_exact"))
     served = (
-        times.select(
-            "_ts",
-            F.explode(F.array_distinct(_deadlines_between(F.col("_ts"), F.col("_ts") + back, rule))).alias(
-                "deadline"
-            ),
-        )
-        .where((F.col("_ts") <= F.col("deadline")) & (F.col("_ts") >= F.col("deadline") - back))
+        times.select("_slot", "_exact", "_n", F.explode(F.array_distinct(candidates)).alias("deadline"))
+        .where(in_time & (F.col("_slot") >= F.col("deadline") - back))
         .groupBy("deadline")
-        .agg(F.count(F.lit(1)).alias("n_rows"))
+        .agg(F.sum("_n").alias("n_rows"))
     )
     return due.join(served, "deadline", "left").select(
         "deadline",

@@ -79,19 +79,18 @@ def check_avg_orders(averages: DataFrame, threshold: float = AVG_ORDER_THRESHOLD
 
 def set_difference(df: DataFrame, column: str, expected: Sequence) -> DataFrame:
     """Distinct values on one side only, tagged ``unexpected`` or ``missing``."""
-    observed = df.groupBy(F.col(column).alias("value")).agg(F.lit(1).alias("_seen"))
-    dtype = df.schema[column].dataType
-    wanted = df.sparkSession.createDataFrame([(v, 1) for v in expected], "value string, _wanted int")
-    wanted = wanted.withColumn("value", F.col("value").cast(dtype))
-    both = observed.alias("o").join(
-        F.broadcast(wanted).alias("w"), F.col("o.value").eqNullSafe(F.col("w.value")), "left"
+    observed = df.groupBy(F.col(column).alias("value")).agg(F.lit(True).alias("_seen"))
+    wanted = (
+        df.sparkSession.range(1)
+        .select(F.explode(F.array(*[F.lit(v).cast(df.schema[column].dataType) for v in expected])).alias("value"))
+        .distinct()
+        .withColumn("_wanted", F.lit(True))
     )
-    unexpected = both.where(F.col("w._wanted").isNull()).select(
-        F.col("o.value").alias("value"), F.lit("unexpected").alias("side")
+    both = observed.alias("o").join(wanted.alias("w"), F.col("o.value").eqNullSafe(F.col("w.value")), "full")
+    side = F.when(F.col("_wanted").isNull(), "unexpected").when(F.col("_seen").isNull(), "missing")
+    return both.select(F.coalesce("o.value", "w.value").alias("value"), side.alias("side")).where(
+        F.col("side").isNotNull()
     )
-    present = df.select(F.col(column).alias("value")).where(F.col(column).isin(list(expected))).distinct()
-    missing = wanted.join(present, "value", "left_anti").select("value", F.lit("missing").alias("side"))
-    return unexpected.unionByName(missing)
 
 
 def check_users(users: DataFrame, expected: Sequence[str] = tuple(EXPECTED_COMPANIES)) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.functions.joins import broadcast_if_small
+from orderloom.functions.joins import BROADCAST_BYTES, broadcast_if_small, measured_bytes
 from orderloom.functions.timestamps import start_of_day
 from orderloom.operators.windows import in_window
 
@@ -62,7 +62,8 @@ def top_users_from_orders(orders: DataFrame, users: DataFrame, locations: DataFr
 
     Orders are summed per user before the joins; the number of user and location rows
     a user has multiplies that sum exactly as the joins would multiply the orders. The
-    per-user result also gives the company totals, so orders are read once.
+    per-user result also gives the company totals, so orders are read once. The totals
+    have a row per company; the company names of the users tell if they can be broadcast.
     """
     spent = orders.groupBy("user_id").agg(F.sum("order_total").alias("_spent"))
     memberships = users.groupBy("user_id", "company").agg(F.count(F.lit(1)).alias("_m"))
@@ -77,6 +78,8 @@ def top_users_from_orders(orders: DataFrame, users: DataFrame, locations: DataFr
         )
     )
     perf = sums.groupBy("company").agg(F.sum("_part").alias("total_revenue"))
+    if measured_bytes(users.select("company").distinct()) <= BROADCAST_BYTES:
+        perf = F.broadcast(perf)
     return _shares(sums, perf)
 
 

@@ -61,16 +61,13 @@ def changed_assets_commands(spark, folder):
 def changed_by_hash(spark, folder):
     """Labelled documents were seen before; of these, the text of the poor ones had one more full stop."""
     v = OrderViews(spark, folder)
-    docs, labels = v.table("documents").select("doc_id", "text"), v.table("labels").select("doc_id", "quality")
+    docs = v.table("documents").select("doc_id", "text")
     now = versions.content_hashes(docs, "doc_id", ["text"])
-    before = versions.content_hashes(
-        docs.join(labels, "doc_id").withColumn(
-            "text", F.when(F.col("quality") == 0, F.concat("text", F.lit("."))).otherwise(F.col("text"))
-        ),
-        "doc_id",
-        ["text"],
-    )
-    return versions.changed_by_hash(now, before, "doc_id")
+    longer = versions.content_hashes(docs.withColumn("text", F.concat("text", F.lit("."))), "doc_id", ["text"])
+    seen = v.table("labels").select("doc_id", "quality")
+    poor = longer.join(seen.where(F.col("quality") == 0), "doc_id").drop("quality")
+    good = now.join(seen.where(F.col("quality") != 0), "doc_id").drop("quality")
+    return versions.changed_by_hash(now, poor.unionByName(good), "doc_id")
 
 
 @query("asset_key_normalise", """

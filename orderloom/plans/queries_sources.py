@@ -147,7 +147,7 @@ def center_answer(order_id: int) -> str:
 def enriched_data(spark, folder):
     orders = OrderViews(spark, folder).table("orders")
     rows = orders.select(F.col("o_orderkey").alias("order_id"), F.col("o_totalprice").alias("total"))
-    out = enrichment.enrich(rows, center_answer)
+    out = enrichment.enrich(rows, center_answer, tasks=spark.sparkContext.defaultParallelism)
     return out.select(
         "order_id", "total", enrichment.center_name().alias("center"), F.to_json("order_center").alias("order_center")
     )

@@ -18,14 +18,20 @@ def append_arrivals(
     checkpoint: str,
     transform: Callable[[DataFrame], DataFrame] | None = None,
     file_format: str = "parquet",
+    files_per_batch: int = 10_000,
 ) -> bool:
     """Append the rows of files not seen before to ``target``; the checkpoint is the cursor.
 
-    A run takes what is there and ends. A landing folder that does not exist yet is
+    A run takes what is there, in batches of bounded size, and ends. A landing folder that does not exist yet is
     skipped: the run returns False.
     """
     try:
-        arrived = spark.readStream.schema(schema).format(file_format).load(landing)
+        arrived = (
+            spark.readStream.schema(schema)
+            .format(file_format)
+            .option("maxFilesPerTrigger", files_per_batch)
+            .load(landing)
+        )
         rows = transform(arrived) if transform else arrived
         query = (
             rows.writeStream.format("parquet")
