@@ -13,9 +13,10 @@ from orderloom.functions.curve import centred_time, growth_at
 from orderloom.functions.timestamps import as_ntz, day_series, start_of_month
 from orderloom.session import materialise
 
-MODEL_SCHEMA = "a double, b double, sse double, n bigint"
 START = (5.0, 5.0)
 HORIZON_DAYS = 30
+# A squared error this small against the squared data is rounding, not misfit.
+_ROUNDING = 1e-26
 
 
 @dataclass(frozen=True)
@@ -99,6 +100,7 @@ def fit(
     points = materialise(_points(summary), "forecast-points")
     opening = points.agg(
         F.count(F.lit(1)).alias("n"),
+        F.sum(F.col("y") * F.col("y")).alias("yy"),
         F.regr_intercept(F.when(F.col("y") > 0, F.ln("y")), F.col("x")).alias("la"),
         F.regr_slope(F.when(F.col("y") > 0, F.ln("y")), F.col("x")).alias("lb"),
     ).first()
@@ -119,12 +121,15 @@ def fit(
     if found is None:
         raise ValueError("the curve cannot be evaluated at the start values")
     sse, (a, b), sums = found
+    exact = _ROUNDING * (opening["yy"] or 0.0)
     damping = 1e-3
     for _ in range(max_passes):
+        if sse <= exact:
+            return ForecastModel(a, b, sse, opening["n"])
         trials = [0.0, damping, damping * 1e2, damping * 1e4]
         steps = [_step(sums, t) for t in trials]
         found = best([(a + da, b + db) for da, db in steps])
-        if found is None or not found[0] < sse:
+        if found is None or not found[0] < sse * (1 - 1e-15):
             moves = [max(abs(da) / (abs(a) + 1e-12), abs(db) / (abs(b) + 1e-12)) for da, db in steps]
             if any(m <= 1e-6 for m in moves) or damping > 1e12:
                 return ForecastModel(a, b, sse, opening["n"])
@@ -133,7 +138,7 @@ def fit(
         old = (a, b)
         sse, (a, b), sums = found
         damping = max(damping / 10, 1e-12)
-        if abs(a - old[0]) <= tolerance * abs(a) and abs(b - old[1]) <= tolerance * (abs(b) + tolerance):
+        if abs(a - old[0]) <= tolerance * abs(a) and abs(b - old[1]) <= tolerance * max(abs(b), 1.0):
             return ForecastModel(a, b, sse, opening["n"])
     raise RuntimeError(f"the curve did not settle in {max_passes} passes")
 
