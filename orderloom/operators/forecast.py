@@ -6,7 +6,7 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.functions.curve import centred_time, growth_at
@@ -59,87 +59,103 @@ def loglinear_frame(summary: DataFrame) -> DataFrame:
     )
 
 
-def _normal_sums(points: DataFrame, candidates: Sequence[tuple[float, float]]) -> list[dict]:
+def _normal_sums(points: DataFrame, u: Column, candidates: Sequence[tuple[float, float]]) -> list[dict]:
     """Squared error and normal equations at each candidate, all in one aggregation."""
-    x, y = F.col("x"), F.col("y")
-    sums = []
-    for i, (a, b) in enumerate(candidates):
-        e = F.exp(F.lit(b) * x)
-        da, db, r = e, F.lit(a) * x * e, y - F.lit(a) * e
-        terms = {"sse": r * r, "aa": da * da, "ab": da * db, "bb": db * db, "ar": da * r, "br": db * r}
+    y, sums = F.col("y"), []
+    for i, (level, rate) in enumerate(candidates):
+        d_level = F.exp(F.lit(rate) * u)
+        value = F.lit(level) * d_level
+        d_rate, r = u * value, y - value
+        terms = {
+            "sse": r * r,
+            "ll": d_level * d_level,
+            "lr": d_level * d_rate,
+            "rr": d_rate * d_rate,
+            "le": d_level * r,
+            "re": d_rate * r,
+        }
         sums += [F.sum(term).alias(f"{name}_{i}") for name, term in terms.items()]
     row = points.agg(*sums).first()
     return [
-        {name: row[f"{name}_{i}"] for name in ("sse", "aa", "ab", "bb", "ar", "br")}
+        {name: row[f"{name}_{i}"] for name in ("sse", "ll", "lr", "rr", "le", "re")}
         for i in range(len(candidates))
     ]
 
 
 def _step(sums: dict, damping: float) -> tuple[float, float]:
-    aa, bb, ab = sums["aa"] * (1 + damping), sums["bb"] * (1 + damping), sums["ab"]
-    det = aa * bb - ab * ab
+    ll, rr, lr = sums["ll"] * (1 + damping), sums["rr"] * (1 + damping), sums["lr"]
+    det = ll * rr - lr * lr
     if det == 0 or not math.isfinite(det):
         return math.nan, math.nan
-    return (bb * sums["ar"] - ab * sums["br"]) / det, (aa * sums["br"] - ab * sums["ar"]) / det
+    return (rr * sums["le"] - lr * sums["re"]) / det, (ll * sums["re"] - lr * sums["le"]) / det
 
 
 def fit(
     summary: DataFrame,
     a_init: float = START[0],
     b_init: float = START[1],
-    tolerance: float = 1e-9,
+    tolerance: float = 1e-10,
     max_passes: int = 100,
 ) -> ForecastModel:
     """Nonlinear least squares of the growth curve on ``(order_date, num_orders)``.
 
     Damped Gauss-Newton: each pass is one aggregation over the points that evaluates
     several damping values together and returns six sums for each. The points are
-    written once, so no pass recomputes the summary. The better of the given start
-    and the log-linear line opens the search.
+    written once, so no pass recomputes the summary. The search runs over the level of
+    the curve at the mean time and its rate per standard deviation of time, which do
+    not hide each other when the dates lie close together. The better of the given
+    start and the log-linear line opens it.
     """
     points = materialise(_points(summary), "forecast-points")
-    opening = points.agg(
+    log_y = F.when(F.col("y") > 0, F.ln("y"))
+    seen = points.agg(
         F.count(F.lit(1)).alias("n"),
         F.sum(F.col("y") * F.col("y")).alias("yy"),
-        F.regr_intercept(F.when(F.col("y") > 0, F.ln("y")), F.col("x")).alias("la"),
-        F.regr_slope(F.when(F.col("y") > 0, F.ln("y")), F.col("x")).alias("lb"),
+        F.avg("x").alias("mean"),
+        F.stddev_pop("x").alias("sd"),
+        F.regr_intercept(log_y, F.col("x")).alias("log_a"),
+        F.regr_slope(log_y, F.col("x")).alias("log_b"),
     ).first()
-    if opening["n"] < 2:
-        raise ValueError("the curve has two parameters and needs at least two points")
-    starts = [(float(a_init), float(b_init))]
-    if opening["la"] is not None and opening["lb"] is not None:
-        starts.append((math.exp(opening["la"]), opening["lb"]))
+    n, mean, sd = seen["n"], seen["mean"], seen["sd"]
+    if n < 2 or not sd:
+        raise ValueError("the curve has two parameters and needs points at two times at least")
+    u = (F.col("x") - F.lit(mean)) / F.lit(sd)
+    starts = [(float(a_init) * math.exp(b_init * mean), float(b_init) * sd)]
+    if seen["log_a"] is not None and seen["log_b"] is not None:
+        starts.append((math.exp(seen["log_a"] + seen["log_b"] * mean), seen["log_b"] * sd))
 
     def best(candidates):
         ok = [c for c in candidates if all(map(math.isfinite, c))]
         if not ok:
             return None
-        scored = [(s["sse"], c, s) for c, s in zip(ok, _normal_sums(points, ok)) if math.isfinite(s["sse"])]
+        scored = [(s["sse"], c, s) for c, s in zip(ok, _normal_sums(points, u, ok)) if math.isfinite(s["sse"])]
         return min(scored, key=lambda item: item[0]) if scored else None
 
+    def model(level: float, rate: float, sse: float) -> ForecastModel:
+        b = rate / sd
+        return ForecastModel(level * math.exp(-b * mean), b, sse, n)
+
     found = best(starts)
     if found is None:
         raise ValueError("the curve cannot be evaluated at the start values")
-    sse, (a, b), sums = found
-    exact = _ROUNDING * (opening["yy"] or 0.0)
+    sse, (level, rate), sums = found
     damping = 1e-3
     for _ in range(max_passes):
-        if sse <= exact:
-            return ForecastModel(a, b, sse, opening["n"])
-        trials = [0.0, damping, damping * 1e2, damping * 1e4]
-        steps = [_step(sums, t) for t in trials]
-        found = best([(a + da, b + db) for da, db in steps])
-        if found is None or not found[0] < sse * (1 - 1e-15):
-            moves = [max(abs(da) / (abs(a) + 1e-12), abs(db) / (abs(b) + 1e-12)) for da, db in steps]
-            if any(m <= 1e-6 for m in moves) or damping > 1e12:
-                return ForecastModel(a, b, sse, opening["n"])
+        if sse <= _ROUNDING * seen["yy"]:
+            return model(level, rate, sse)
+        steps = [_step(sums, t) for t in (0.0, damping, damping * 1e2, damping * 1e4)]
+        found = best([(level + dl, rate + dr) for dl, dr in steps])
+        if found is None or not found[0] < sse:
+            settled = any(abs(dl) <= 1e-6 * abs(level) and abs(dr) <= 1e-6 for dl, dr in steps)
+            if settled or damping > 1e12:
+                return model(level, rate, sse)
             damping *= 1e6
             continue
-        old = (a, b)
-        sse, (a, b), sums = found
+        moved = abs(found[1][0] - level) <= tolerance * abs(level) and abs(found[1][1] - rate) <= tolerance
+        sse, (level, rate), sums = found
         damping = max(damping / 10, 1e-12)
-        if abs(a - old[0]) <= tolerance * abs(a) and abs(b - old[1]) <= tolerance * max(abs(b), 1.0):
-            return ForecastModel(a, b, sse, opening["n"])
+        if moved:
+            return model(level, rate, sse)
     raise RuntimeError(f"the curve did not settle in {max_passes} passes")
 
 
