@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderloom.functions.joins import broadcast_if_small
+from orderloom.session import materialise
 
 # The six columns of the country table in page order.
 COUNTRY_COLUMNS = [
@@ -67,21 +68,19 @@ def change_model(stats: DataFrame, group: str = "continent", target: str = "pop_
     With every level present and an intercept, the solution of least norm has a closed
     form: the intercept is the plain mean of the level means and a coefficient is the
     distance of its level from it. Rows without a level, if any, sit at the intercept,
-    which then is their mean. Rows without a target are left out.
+    which then is their mean. Rows without a target are left out. The input is read
+    twice, for the means and for the errors against them, so it is best a stored table.
     """
     data = stats.dropna(subset=[target]).select(group, target)
-    means = data.groupBy(group).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.avg(target).alias("mean"),
-        (F.var_pop(target) * F.count(F.lit(1))).alias("within"),
+    means = materialise(
+        data.groupBy(group).agg(
+            F.count(F.lit(1)).alias("n"),
+            F.avg(target).alias("mean"),
+            (F.var_pop(target) * F.count(F.lit(1))).alias("within"),
+        ),
+        "group-means",
     )
-    fitted = data.alias("d").join(
-        broadcast_if_small(means.select(group, "mean")).alias("m"),
-        F.col(f"d.{group}").eqNullSafe(F.col(f"m.{group}")),
-    )
-    spread = fitted.agg(F.avg(F.abs(F.col(f"d.{target}") - F.col("m.mean"))).alias("mae")).first()
     known = F.when(F.col(group).isNotNull(), F.col("mean"))
-    overall = data.agg(F.var_pop(target).alias("var")).first()
     scores = means.agg(
         F.sum("n").alias("n"),
         F.coalesce(F.max(F.when(F.col(group).isNull(), F.col("mean"))), F.avg(known)).alias("base"),
@@ -89,8 +88,16 @@ def change_model(stats: DataFrame, group: str = "continent", target: str = "pop_
     ).first()
     if not scores["n"]:
         raise ValueError(f"no row has a {target}")
-    variance = overall["var"] * scores["n"]
-    r2 = 1 - scores["sse"] / variance if variance else 1.0
+    fitted = data.alias("d").join(
+        broadcast_if_small(means.select(group, "mean")).alias("m"),
+        F.col(f"d.{group}").eqNullSafe(F.col(f"m.{group}")),
+    )
+    spread = fitted.agg(
+        F.avg(F.abs(F.col(f"d.{target}") - F.col("m.mean"))).alias("mae"),
+        F.var_pop(f"d.{target}").alias("variance"),
+    ).first()
+    total = spread["variance"] * scores["n"]
+    r2 = 1 - scores["sse"] / total if total else 1.0
     constants = {
         "intercept": round(scores["base"], 4),
         "n_samples": scores["n"],
@@ -116,7 +123,7 @@ def group_sums(df: DataFrame, key: str) -> DataFrame:
     )
 
 
-def group_texts(df: DataFrame, key: str, limit: int = 1 << 30) -> DataFrame:
+def group_texts(df: DataFrame, key: str, limit: int = 1 << 26) -> DataFrame:
     """Every text column of a key joined into one text, in the order of the text.
 
     One value has to fit one cell, so the length is measured first; a longer one is

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from orderloom.operators import augment, cleaned, quality, regression, stats, windows
 from orderloom.operators.profile import annotate, column_catalog, profile_tables, tag_columns
 from orderloom.plans.registry import over, query
+from orderloom.session import materialise
 from orderloom.sources.order_views import OrderViews
 
 WINDOW = ("1996-03-01", "1996-06-01")
@@ -255,7 +256,8 @@ _MEANS = """
            round(sqrt(sse / scores.n), 4) as rmse, round(mae, 4) as mae
     from means cross join base cross join scores where means.continent is not null"""))
 def change_model(spark, folder):
-    model = regression.change_model(country_stats_frame(spark, folder)).drop("continent")
+    rows = materialise(country_stats_frame(spark, folder), "countries")
+    model = regression.change_model(rows).drop("continent")
     return model.withColumn("coefficient", F.round("coefficient", 4))
 
 
@@ -268,7 +270,7 @@ def change_model(spark, folder):
     from country_stats s left join means on s.continent = means.continent cross join base
     where s.continent is not null group by 1"""))
 def continent_stats(spark, folder):
-    rows = country_stats_frame(spark, folder)
+    rows = materialise(country_stats_frame(spark, folder), "countries")
     out = regression.continent_stats(rows, regression.change_model(rows))
     return out.withColumn("pop_change", F.round("pop_change", 4)).withColumn(
         "pop_change_factor", F.round("pop_change_factor", 4)

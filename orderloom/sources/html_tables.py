@@ -12,11 +12,16 @@ from pyspark.sql import functions as F
 ROWS_SCHEMA = "page_id bigint, table_no int, row_no int, is_header boolean, cells array<string>"
 
 
+class _Found(Exception):
+    """The first table is complete."""
+
+
 class _TableReader(HTMLParser):
     """Collect the rows of the outermost tables of one page."""
 
-    def __init__(self) -> None:
+    def __init__(self, first_only: bool) -> None:
         super().__init__(convert_charrefs=True)
+        self.first_only = first_only
         self.tables: list[list[tuple[bool, list[str]]]] = []
         self.depth = 0
         self.in_head = False
@@ -73,11 +78,19 @@ class _TableReader(HTMLParser):
                     self.in_head = False
         if tag == "table" and self.depth:
             self.depth -= 1
+            if self.depth == 0:
+                self._end_table()
 
     def handle_data(self, data):
         if self.cell is not None and not self.mute:
             self.cell.append(data)
 
+    def _end_table(self):
+        if not any(text for _, cells in self.tables[-1] for text in cells):
+            self.tables.pop()
+        elif self.first_only:
+            raise _Found
+
     def _end_cell(self):
         if self.cell is not None and self.row is not None:
             text = " ".join("".join(self.cell).split())
@@ -113,18 +126,23 @@ class _TableReader(HTMLParser):
         return out
 
 
-def _read_tables(html: str) -> list[list[tuple[bool, list[str]]]]:
-    reader = _TableReader()
-    reader.feed(html)
-    reader.close()
-    if reader.depth >= 1:
-        reader.depth = 1
-        reader._end_row()
+def _read_tables(html: str, first_only: bool) -> list[list[tuple[bool, list[str]]]]:
+    """The outermost tables that hold any text; a table left open ends with its page."""
+    reader = _TableReader(first_only)
+    try:
+        reader.feed(html)
+        reader.close()
+        if reader.depth >= 1:
+            reader.depth = 1
+            reader._end_row()
+            reader._end_table()
+    except _Found:
+        pass
     return reader.tables
 
 
 def table_rows(pages: DataFrame, page_id: str = "page_id", html: str = "html", first_only: bool = True) -> DataFrame:
-    """Rows of the first table (or of all outermost tables) of each page.
+    """Rows of the first table with text (or of all such outermost tables) of each page.
 
     Only the two named columns reach Python; pages without a table give no row.
     """
@@ -133,8 +151,8 @@ def table_rows(pages: DataFrame, page_id: str = "page_id", html: str = "html", f
         for batch in batches:
             found = []
             for page, text in zip(batch["page_id"], batch["html"]):
-                tables = _read_tables(text) if text else []
-                for table_no, rows in enumerate(tables[:1] if first_only else tables):
+                tables = _read_tables(text, first_only) if text else []
+                for table_no, rows in enumerate(tables):
                     for row_no, (header, cells) in enumerate(rows):
                         found.append((page, table_no, row_no, header, cells))
             yield pd.DataFrame(found, columns=["page_id", "table_no", "row_no", "is_header", "cells"])

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,14 +37,28 @@ def decode(payloads: DataFrame, schema: T.StructType, payload: str = "payload")
     no row; ``rejected`` returns them.
     """
     rest = [c for c in payloads.columns if c != payload]
-    rows = _parsed(payloads, schema, payload).select(*rest, "_doc", F.explode(_row_keys(schema)).alias("_key"))
+    names = schema.names
+    docs = _parsed(payloads, schema, payload).select(
+        *rest,
+        _row_keys(schema).alias("_key"),
+        *[F.col(f"_doc.{n}").alias(f"_map_{n}") for n in names],
+        *[F.map_values(f"_doc.{n}").alias(n) for n in names],
+    )
+    # Columns that list the same keys in the same order, the usual case, are zipped;
+    # others are looked up key by key.
+    same = reduce(and_, [F.map_keys(f"_map_{n}") == F.col("_key") for n in names])
+    looked_up = F.transform(
+        "_key", lambda k: F.struct(k.alias("_key"), *[F.try_element_at(f"_map_{n}", k).alias(n) for n in names])
+    )
+    rows = F.when(same, F.arrays_zip("_key", *names)).otherwise(looked_up)
+    flat = docs.select(*rest, F.inline(rows))
     values = []
     for field in schema.fields:
-        value = F.try_element_at(F.col(f"_doc.{field.name}"), F.col("_key"))
+        value = F.col(field.name)
         if isinstance(field.dataType, (T.TimestampNTZType, T.TimestampType)):
             value = from_epoch_millis(value)
         values.append(value.cast(field.dataType).alias(field.name))
-    return rows.select(*rest, F.col("_key").cast("int").alias("row_index"), *values)
+    return flat.select(*rest, F.col("_key").cast("int").alias("row_index"), *values)
 
 
 def rejected(payloads: DataFrame, schema: T.StructType, payload: str = "payload") -> DataFrame:
