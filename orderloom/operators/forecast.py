@@ -60,26 +60,33 @@ def loglinear_frame(summary: DataFrame) -> DataFrame:
 
 
 def _normal_sums(points: DataFrame, u: Column, candidates: Sequence[tuple[float, float]]) -> list[dict]:
-    """Squared error and normal equations at each candidate, all in one aggregation."""
-    y, sums = F.col("y"), []
-    for i, (level, rate) in enumerate(candidates):
-        d_level = F.exp(F.lit(rate) * u)
-        value = F.lit(level) * d_level
-        d_rate, r = u * value, y - value
-        terms = {
-            "sse": r * r,
-            "ll": d_level * d_level,
-            "lr": d_level * d_rate,
-            "rr": d_rate * d_rate,
-            "le": d_level * r,
-            "re": d_rate * r,
-        }
-        sums += [F.sum(term).alias(f"{name}_{i}") for name, term in terms.items()]
-    row = points.agg(*sums).first()
-    return [
-        {name: row[f"{name}_{i}"] for name in ("sse", "ll", "lr", "rr", "le", "re")}
-        for i in range(len(candidates))
-    ]
+    """Squared error and normal equations at each candidate, all in one aggregation.
+
+    The candidates enter as one constant array, so every pass runs the same compiled code.
+    """
+    tried = F.array(
+        *[
+            F.struct(F.lit(i).alias("i"), F.lit(level).alias("level"), F.lit(rate).alias("rate"))
+            for i, (level, rate) in enumerate(candidates)
+        ]
+    )
+    y, u_, level = F.col("y"), F.col("u"), F.col("level")
+    d_level = F.exp(F.col("rate") * u_)
+    d_rate, r = u_ * level * d_level, y - level * d_level
+    terms = {
+        "sse": r * r,
+        "ll": d_level * d_level,
+        "lr": d_level * d_rate,
+        "rr": d_rate * d_rate,
+        "le": d_level * r,
+        "re": d_rate * r,
+    }
+    sums = (
+        points.select("y", u.alias("u"), F.inline(tried))
+        .groupBy("i")
+        .agg(*[F.sum(term).alias(name) for name, term in terms.items()])
+    )
+    return [row.asDict() for row in sorted(sums.collect(), key=lambda row: row["i"])]
 
 
 def _step(sums: dict, damping: float) -> tuple[float, float]:
@@ -96,17 +103,19 @@ def fit(
     b_init: float = START[1],
     tolerance: float = 1e-10,
     max_passes: int = 100,
+    stored: bool = False,
 ) -> ForecastModel:
     """Nonlinear least squares of the growth curve on ``(order_date, num_orders)``.
 
     Damped Gauss-Newton: each pass is one aggregation over the points that evaluates
     several damping values together and returns six sums for each. The points are
-    written once, so no pass recomputes the summary. The search runs over the level of
+    written once, so no pass recomputes the summary; ``stored`` says that the summary
+    is a stored table already. The search runs over the level of
     the curve at the mean time and its rate per standard deviation of time, which do
     not hide each other when the dates lie close together. The better of the given
     start and the log-linear line opens it.
     """
-    points = materialise(_points(summary), "forecast-points")
+    points = _points(summary) if stored else materialise(_points(summary), "forecast-points")
     log_y = F.when(F.col("y") > 0, F.ln("y"))
     seen = points.agg(
         F.count(F.lit(1)).alias("n"),
@@ -139,7 +148,7 @@ def fit(
     if found is None:
         raise ValueError("the curve cannot be evaluated at the start values")
     sse, (level, rate), sums = found
-    damping = 1e-3
+    damping, before = 1e-3, 0.0
     for _ in range(max_passes):
         if sse <= _ROUNDING * seen["yy"]:
             return model(level, rate, sse)
@@ -151,11 +160,15 @@ def fit(
                 return model(level, rate, sse)
             damping *= 1e6
             continue
-        moved = abs(found[1][0] - level) <= tolerance * abs(level) and abs(found[1][1] - rate) <= tolerance
+        move = max(abs(found[1][0] - level) / max(abs(level), 1e-300), abs(found[1][1] - rate))
         sse, (level, rate), sums = found
         damping = max(damping / 10, 1e-12)
-        if moved:
+        # Steps shrink by a steady factor near the optimum, which bounds what is left to go.
+        shrink = move / before if before else 1.0
+        left = move * shrink / (1 - shrink) if 0 < shrink < 0.5 else move
+        if left <= tolerance:
             return model(level, rate, sse)
+        before = move
     raise RuntimeError(f"the curve did not settle in {max_passes} passes")
 
 

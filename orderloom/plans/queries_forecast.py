@@ -30,7 +30,7 @@ def forecast_fit_loglinear(spark, folder):
 def forecast_fit(spark, folder):
     """The fitted model, stored as a table and read back."""
     store = TableStore(spark, scratch_path(spark, "models"))
-    model = forecast.fit(stored_summary(spark, folder))
+    model = forecast.fit(stored_summary(spark, folder), stored=True)
     kept = store.replace(model.to_frame(spark), "forecasting.order_forecast_model")
     return kept.select(F.round("a", 4).alias("a"), F.round("b", 4).alias("b"), F.round("sse", 2).alias("sse"), "n")
 
@@ -45,7 +45,7 @@ _PREDICTED = """
 
 def predicted(spark, folder):
     days = stored_summary(spark, folder)
-    return forecast.predicted_orders(days, forecast.fit(days))
+    return forecast.predicted_orders(days, forecast.fit(days, stored=True))
 
 
 @query("predicted_orders", with_model(extra=_PREDICTED, then="""
@@ -83,7 +83,7 @@ _MONTHS = """
                                from weekly_order_summary group by 1) o on month(f.month_start) = o.m"""))
 def model_stats_by_month(spark, folder):
     days = stored_summary(spark, folder)
-    out = forecast.model_stats_by_month(days, forecast.fit(days), forecast.observed_months(days))
+    out = forecast.model_stats_by_month(days, forecast.fit(days, stored=True), forecast.observed_months(days))
     return out.withColumn("error", F.round("error", 2))
 
 
@@ -94,7 +94,7 @@ def model_stats_by_month(spark, folder):
 def model_stats_by_year_month(spark, folder):
     days = stored_summary(spark, folder)
     months = forecast.observed_months(days)
-    out = forecast.model_stats_by_month(days, forecast.fit(days), months, match="year_month")
+    out = forecast.model_stats_by_month(days, forecast.fit(days, stored=True), months, match="year_month")
     return out.withColumn("error", F.round("error", 2))
 
 
@@ -108,7 +108,7 @@ _OVERLAY = """
 
 def overlay(spark, folder):
     days = stored_summary(spark, folder)
-    return forecast.fit_overlay(days, forecast.fit(days))
+    return forecast.fit_overlay(days, forecast.fit(days, stored=True))
 
 
 @query("model_nb", with_model(extra=_OVERLAY, then="""

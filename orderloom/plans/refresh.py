@@ -74,7 +74,7 @@ def publish_products(store: TableStore) -> DataFrame:
 
 def run_forecast(store: TableStore, capacity: float = 50) -> forecast.ForecastModel:
     summary = store.read_window(WEEKLY_SUMMARY)
-    model = forecast.fit(summary)
+    model = forecast.fit(summary, stored=True)
     store.replace(model.to_frame(store.spark), MODEL)
     predicted = store.replace(forecast.predicted_orders(summary, model), PREDICTED)
     store.replace(stats.big_orders(predicted, capacity), BIG_ORDERS)
