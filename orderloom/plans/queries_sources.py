@@ -7,6 +7,7 @@ import json
 from pyspark.sql import functions as F
 
 from orderloom.operators import enrichment, ingest, regression, stats
+from orderloom.plans import refresh
 from orderloom.plans.queries_models import augmented
 from orderloom.plans.registry import over, query
 from orderloom.schemas import LOCATIONS_FILE, RAW_ORDERS
@@ -56,6 +57,23 @@ def sink_by_key(spark, folder):
     return two.select("order_date", "sku", "n_orders", F.round("total_revenue", 2).alias("total_revenue"))
 
 
+@query("refresh_models", over("orders_augmented", "company_perf", then="""
+    select o.user_id, round(sum(o.order_total), 2) as total_revenue,
+           round(sum(o.order_total) / nullif(max(c.total_revenue), 0), 6) as pct_revenue
+    from orders_augmented o left join company_perf c on o.company = c.company group by 1"""))
+def refresh_models(spark, folder):
+    """All models built one after another as stored tables, the dated ones by year; the last one is read."""
+    store, v = TableStore(spark, scratch_path(spark, "warehouse")), OrderViews(spark, folder)
+    store.replace_window(v.raw_orders(), refresh.ORDERS, "dt", grain="year")
+    store.replace(v.raw_users(), refresh.USERS)
+    store.replace(v.raw_locations(), refresh.LOCATIONS)
+    refresh.refresh_models(store, grain="year")
+    shares = store.read(refresh.TOP_USERS)
+    return shares.select(
+        "user_id", F.round("total_revenue", 2).alias("total_revenue"), F.round("pct_revenue", 6).alias("pct_revenue")
+    )
+
+
 # Order headers as payload pages of one id block each; an id occurs once, so a page is bounded.
 PAGE_IDS = 512
 

@@ -27,17 +27,19 @@ MODEL_STATS, ENRICHED = "forecasting.model_stats_by_month", "enrichment.enriched
 
 
 def ingest_window(
-    store: TableStore, order_pages: DataFrame, user_pages: DataFrame, start: str, end: str
+    store: TableStore, order_pages: DataFrame, user_pages: DataFrame, start: str, end: str, grain: str = "day"
 ) -> None:
-    """Load the payload pages of ``[start, end)``; running it again replaces the same days."""
+    """Load the payload pages of ``[start, end)``; running it again replaces the same partitions."""
     orders = ingest.load_partitions(order_pages, RAW_ORDERS, start, end)
     users = ingest.load_partitions(user_pages, RAW_USERS, start, end)
-    store.replace_window(orders, ORDERS, "dt", start, end)
-    store.replace_window(users, USERS, "created_at", start, end)
+    store.replace_window(orders, ORDERS, "dt", start, end, grain)
+    store.replace_window(users, USERS, "created_at", start, end, grain)
 
 
-def refresh_models(store: TableStore, start: str | None = None, end: str | None = None) -> None:
-    """Rebuild all models; with a window the dated ones only for its days.
+def refresh_models(
+    store: TableStore, start: str | None = None, end: str | None = None, grain: str = "day"
+) -> None:
+    """Rebuild all models; with a window the dated ones only for its partitions.
 
     Each table is stored once and read by the ones after it, so the joined orders are
     not computed again for each of their readers.
@@ -47,7 +49,7 @@ def refresh_models(store: TableStore, start: str | None = None, end: str | None
         return store.read_window(table, start, end)
 
     def put(df: DataFrame, table: str, expr: str) -> None:
-        store.replace_window(df, table, expr, start, end)
+        store.replace_window(df, table, expr, start, end, grain)
 
     put(cleaned.orders_cleaned(dated(ORDERS)), ORDERS_CLEANED, "dt")
     put(cleaned.orders_aggregated(dated(ORDERS_CLEANED)), ORDERS_AGGREGATED, "dt")

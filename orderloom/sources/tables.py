@@ -10,7 +10,7 @@ from pyspark.sql.utils import AnalysisException
 from orderloom.functions.timestamps import as_ntz, ntz_literal
 from orderloom.operators.windows import in_window
 
-GRAINS = {"day": "part_day", "month": "part_month"}
+GRAINS = {"day": "part_day", "month": "part_month", "year": "part_year"}
 
 
 def part_value(ts, grain: str = "day") -> Column:
@@ -86,10 +86,13 @@ class TableStore:
             .parquet(self.path(table))
         )
         after = self._window_files(table, part, start, end) if before else {}
-        for value, newest in before.items():
-            if after.get(value) == newest:
-                empty = rows.drop(part).limit(0)
-                empty.write.mode("overwrite").parquet(f"{self.path(table)}/{part}={value}")
+        emptied = [value for value, newest in before.items() if after.get(value) == newest]
+        if start is not None and not replacing and not self.exists(table):
+            # No row at all: an empty first partition still gives the new table its columns.
+            emptied = [str(start)[:10]]
+        for value in emptied:
+            empty = rows.drop(part).limit(0)
+            empty.write.mode("overwrite").parquet(f"{self.path(table)}/{part}={value}")
         return self.read(table)
 
     def _window_files(self, table: str, part: str, start: str, end: str) -> dict:

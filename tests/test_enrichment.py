@@ -1,7 +1,6 @@
 from collections import Counter
 
 import pytest
-from conftest import rows
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 

@@ -70,6 +70,30 @@ def test_one_join_reads_orders_when_sides_are_large(raw, spark):
     assert plan.count("FullOuter") == 1 and plan.count("LeftOuter") == 1
 
 
+def test_a_hot_user_changes_no_result(spark):
+    orders = spark.range(9000).select(
+        F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 50).alias("user_id"),
+        F.lit(2).alias("quantity"),
+        F.lit(1.5).alias("purchase_price"),
+        F.lit("s").alias("sku"),
+        F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(cast(id % 40 as int))").alias("dt"),
+    )
+    orders = cleaned.orders_cleaned(orders)
+    users = spark.range(0, 60, 2).select(
+        F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("user_id"),
+        F.lit(None).cast("timestamp_ntz").alias("created_at"),
+        F.when(F.col("id") % 4 == 0, "A").otherwise("B").alias("company"),
+    )
+    places = users.select("user_id", F.lit("NY").alias("state"), F.lit("0").alias("zip_code"))
+    small = augment.orders_augmented(orders, users, places)
+    large = augment.orders_augmented(orders, users, places, broadcast_limit=-1)
+    assert small.count() == large.count() > 300_000
+    assert rows(stats.company_stats(small)) == rows(stats.company_stats(large))
+    perf = stats.company_perf(stats.company_stats(small))
+    near = rows(stats.top_users_from_orders(orders, users, places).select("user_id", F.round("pct_revenue", 9)))
+    assert near == rows(stats.top_users(large, perf).select("user_id", F.round("pct_revenue", 9)))
+
+
 def test_statistics_agree_with_each_other(raw):
     joined = augment.orders_augmented(*raw)
     total = joined.count()

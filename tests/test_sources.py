@@ -126,6 +126,13 @@ def test_range_backfill_equals_single_days(spark, tmp_path, days):
     assert rows(single) == whole
 
 
+def test_a_window_without_rows_gives_an_empty_table(spark, tmp_path, days):
+    store = TableStore(spark, str(tmp_path))
+    got = store.replace_window(days, "s.none", "t", "2030-01-01", "2030-01-02")
+    assert got.count() == 0 and got.columns == ["d", "h", "t", "part_day"]
+    assert store.replace_window(days, "s.none", "t", "2024-01-01", "2024-01-02").count() == 3
+
+
 def test_windows_prune_partitions(spark, tmp_path, days):
     store = TableStore(spark, str(tmp_path))
     store.replace_window(days, "s.t", "t")

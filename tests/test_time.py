@@ -4,7 +4,6 @@ import pytest
 from conftest import rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from orderloom.functions import timestamps as ts
 from orderloom.operators import freshness, windows
