@@ -135,34 +135,54 @@ def freshness_deadline(df: DataFrame, ts: str, start: str, end: str, rule: Deadl
 
 
 def arrival_gaps(df: DataFrame, key: str, ts: str, slice_width: timedelta = timedelta(days=1)) -> DataFrame:
-    """Seconds between neighbouring arrivals of a key, with how often each pair occurs.
+    """Per key: number, mean, deviation and maximum of the seconds between neighbouring arrivals, and the last gap.
 
-    Gaps are taken inside time slices of a key first, then between the ends of
-    neighbouring slices, so no task needs all rows of one key. Arrivals at the same
-    time are counted before and give gaps of zero.
+    Arrivals at the same time are counted first and give gaps of zero. Gaps are taken
+    inside time slices of a key and summed per slice; a row per slice then adds the gap
+    to the slice before. No task needs all arrivals of one key, and the table is read once.
+    Keys with a single arrival have no gap and no row.
     """
     width = int(slice_width.total_seconds() * 1_000_000)
-    times = (
+    inside = Window.partitionBy(key, "_slice").orderBy("_t")
+    gap, repeats = F.col("_gap"), F.col("_c") - 1
+    slices = (
         df.where(F.col(ts).isNotNull())
         .groupBy(key, epoch_micros(ts).alias("_t"))
         .agg(F.count(F.lit(1)).alias("_c"))
         .withColumn("_slice", F.floor(F.col("_t") / width))
+        .withColumn("_gap", F.col("_t") - F.lag("_t").over(inside))
+        .groupBy(key, "_slice")
+        .agg(
+            F.sum(repeats + F.when(gap.isNull(), 0).otherwise(1)).alias("_n"),
+            F.coalesce(F.sum("_gap"), F.lit(0)).alias("_s1"),
+            F.coalesce(F.sum(gap.cast("double") * gap), F.lit(0.0)).alias("_s2"),
+            F.max(F.coalesce(gap, F.when(repeats > 0, 0))).alias("_max"),
+            # A repeated arrival at the last time makes the last gap zero.
+            F.max_by(F.when(repeats > 0, 0).otherwise(gap), "_t").alias("_end"),
+            F.min("_t").alias("_first"),
+            F.max("_t").alias("_last"),
+        )
     )
-    inside = Window.partitionBy(key, "_slice").orderBy("_t")
-    within = times.select(key, "_t", (F.col("_t") - F.lag("_t").over(inside)).alias("_gap"), "_c")
-    ends = times.groupBy(key, "_slice").agg(F.min("_t").alias("_first"), F.max("_t").alias("_last"))
-    across = ends.select(
-        key,
-        F.col("_first").alias("_t"),
-        (F.col("_first") - F.lag("_last").over(Window.partitionBy(key).orderBy("_slice"))).alias("_gap"),
-    )
-    moved = within.where(F.col("_gap").isNotNull()).select(key, "_t", "_gap", F.lit(1).alias("times"))
-    moved = moved.unionByName(across.where(F.col("_gap").isNotNull()).withColumn("times", F.lit(1)))
-    same = times.where(F.col("_c") > 1).select(
-        key, "_t", F.lit(0).alias("_gap"), (F.col("_c") - 1).alias("times")
+    before = F.lag("_last").over(Window.partitionBy(key).orderBy("_slice"))
+    joined = slices.withColumn("_jump", F.col("_first") - before)
+    jump = F.col("_jump")
+    total = joined.groupBy(key).agg(
+        F.sum(F.col("_n") + F.when(jump.isNull(), 0).otherwise(1)).alias("n_gaps"),
+        F.sum(F.col("_s1") + F.coalesce(jump, F.lit(0))).alias("_s1"),
+        F.sum(F.col("_s2") + F.coalesce(jump.cast("double") * jump, F.lit(0.0))).alias("_s2"),
+        F.max(F.greatest("_max", "_jump")).alias("_max"),
+        F.max_by(F.coalesce("_end", "_jump"), "_slice").alias("_end"),
     )
-    return moved.unionByName(same).select(
-        key, "_t", (F.col("_gap") / F.lit(1e6)).alias("gap_seconds"), F.col("times").cast("bigint").alias("times")
+    mean = F.col("_s1") / F.col("n_gaps")
+    spread = F.sqrt(F.greatest(F.col("_s2") / F.col("n_gaps") - mean * mean, F.lit(0.0)))
+    second = F.lit(1e6)
+    return total.where(F.col("n_gaps") > 0).select(
+        key,
+        "n_gaps",
+        (mean / second).alias("mean_gap"),
+        (spread / second).alias("sd_gap"),
+        (F.col("_max") / second).alias("max_gap"),
+        (F.col("_end") / second).alias("last_gap"),
     )
 
 
@@ -171,20 +191,7 @@ def freshness_anomaly(
 ) -> DataFrame:
     """Per key: is the last gap between arrivals longer than mean plus ``sigmas`` deviations?
 
-    The rule is a choice of this library. Keys with a single arrival have no gap and no row.
+    The rule is a choice of this library.
     """
-    gaps = arrival_gaps(df, key, ts, slice_width)
-    n, gap = F.col("times"), F.col("gap_seconds")
-    sums = gaps.groupBy(key).agg(
-        F.sum("times").alias("n_gaps"),
-        F.sum(n * gap).alias("_s1"),
-        F.sum(n * gap * gap).alias("_s2"),
-        F.max("gap_seconds").alias("max_gap"),
-        # At the last instant a repeated arrival makes the last gap zero.
-        F.max(F.struct("_t", (-gap).alias("_minus"))).alias("_end"),
-    )
-    mean = F.col("_s1") / F.col("n_gaps")
-    spread = F.sqrt(F.greatest(F.col("_s2") / F.col("n_gaps") - mean * mean, F.lit(0.0)))
-    return sums.select(
-        key, "n_gaps", mean.alias("mean_gap"), spread.alias("sd_gap"), "max_gap", (-F.col("_end._minus")).alias("last_gap")
-    ).withColumn("anomalous", F.col("last_gap") > F.col("mean_gap") + F.lit(float(sigmas)) * F.col("sd_gap"))
+    limit = F.col("mean_gap") + F.lit(float(sigmas)) * F.col("sd_gap")
+    return arrival_gaps(df, key, ts, slice_width).withColumn("anomalous", F.col("last_gap") > limit)

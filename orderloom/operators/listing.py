@@ -77,7 +77,7 @@ def render_json(changed: DataFrame, keys_per_chunk: int = KEYS_PER_CHUNK) -> Dat
 
     Of two groups with the same name the later one, by location and repository, stands.
     """
-    groups = changed.select("location", "repository").distinct()
+    groups = changed_counts(changed).where(F.col("n_changed") > 0)
     kept = (
         groups.withColumn("name", display_name())
         .groupBy("name")

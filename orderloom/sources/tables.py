@@ -86,7 +86,7 @@ class TableStore:
             .parquet(self.path(table))
         )
         after = self._window_files(table, part, start, end) if before else {}
-        emptied = [value for value, newest in before.items() if after.get(value) == newest]
+        emptied = [value for value, files in before.items() if after.get(value) == files]
         if start is not None and not replacing and not self.exists(table):
             # No row at all: an empty first partition still gives the new table its columns.
             emptied = [str(start)[:10]]
@@ -96,14 +96,14 @@ class TableStore:
         return self.read(table)
 
     def _window_files(self, table: str, part: str, start: str, end: str) -> dict:
-        """Last file name of each partition in the window: one entry per calendar partition.
+        """A hash of file names for each partition in the window: one entry per calendar partition.
 
         A replaced partition holds files of new names, so an unchanged entry marks one
         that the write did not touch.
         """
         held = self.read(table).where((F.col(part) >= ntz_literal(start)) & (F.col(part) < ntz_literal(end)))
-        named = held.select(part, F.col("_metadata.file_name").alias("file_name"))
-        return dict(named.groupBy(part).agg(F.max("file_name")).collect())
+        named = held.select(part, F.xxhash64("_metadata.file_name").alias("file_hash"))
+        return dict(named.groupBy(part).agg(F.max("file_hash")).collect())
 
     def replace_by_key(self, df: DataFrame, table: str, key: str) -> DataFrame:
         """One folder per key value; only the keys present in ``df`` are replaced."""
