@@ -40,7 +40,7 @@ _PREDICTED = """
         select d as order_date, a * exp(b * (epoch_ns(d) / 1e18 - 1.6095)) as num_orders
         from model cross join (
             select unnest(generate_series(hi, hi + interval 30 days, interval 1 day)) as d
-            from (select max(order_date) as hi from weekly_order_summary)))"""
+            from (select max(moment) as hi from points)))"""
 
 
 def predicted(spark, folder):
@@ -67,9 +67,8 @@ def big_orders(spark, folder):
 
 
 _MONTHS = """
-    months as (select unnest(generate_series(date_trunc('month', min(order_date)),
-                                             date_trunc('month', max(order_date)), interval 1 month)) as month_start
-               from weekly_order_summary),
+    months as (select unnest(generate_series(date_trunc('month', min(moment)), date_trunc('month', max(moment)),
+                                             interval 1 month)) as month_start from points),
     forecast as (select month_start, sum(a * exp(b * (epoch_ns(d) / 1e18 - 1.6095))) as total
                  from (select month_start, unnest(generate_series(month_start, month_start + interval 30 days,
                                                                   interval 1 day)) as d from months)
@@ -79,8 +78,7 @@ _MONTHS = """
 
 @query("model_stats_by_month", with_model(extra=_MONTHS, then="""
     select cast(f.month_start as timestamp) as month_start, round(coalesce(o.n, 0) - f.total, 2) as error
-    from forecast f left join (select month(order_date) as m, sum(num_orders) as n
-                               from weekly_order_summary group by 1) o on month(f.month_start) = o.m"""))
+    from forecast f left join (select month(moment) as m, sum(y) as n from points group by m) o on month(f.month_start) = o.m"""))
 def model_stats_by_month(spark, folder):
     days = stored_summary(spark, folder)
     out = forecast.model_stats_by_month(days, forecast.fit(days, stored=True), forecast.observed_months(days))
@@ -89,8 +87,7 @@ def model_stats_by_month(spark, folder):
 
 @query("model_stats_by_year_month", with_model(extra=_MONTHS, then="""
     select cast(f.month_start as timestamp) as month_start, round(coalesce(o.n, 0) - f.total, 2) as error
-    from forecast f left join (select date_trunc('month', order_date) as m, sum(num_orders) as n
-                               from weekly_order_summary group by 1) o on f.month_start = o.m"""))
+    from forecast f left join (select date_trunc('month', moment) as m, sum(y) as n from points group by m) o on f.month_start = o.m"""))
 def model_stats_by_year_month(spark, folder):
     days = stored_summary(spark, folder)
     months = forecast.observed_months(days)
@@ -100,10 +97,9 @@ def model_stats_by_year_month(spark, folder):
 
 _OVERLAY = """
     overlay as (
-        select order_date, cast(num_orders as double) as num_orders, 'observed' as type from weekly_order_summary
-        union all
-        select order_date, a * exp(b * (epoch_ns(order_date) / 1e18 - 1.6095)), 'predicted'
-        from weekly_order_summary cross join model)"""
+        select moment as order_date, x, unnest([y, a * exp(b * x)]) as num_orders,
+               unnest(['observed', 'predicted']) as type
+        from points cross join model)"""
 
 
 def overlay(spark, folder):
@@ -118,8 +114,8 @@ def model_nb(spark, folder):
 
 
 @query("model_nb_lines", with_model(extra=_OVERLAY, then="""
-    select type, round(regr_slope(num_orders, epoch_ns(order_date) / 1e18 - 1.6095), 3) as slope,
-           round(regr_intercept(num_orders, epoch_ns(order_date) / 1e18 - 1.6095), 3) as intercept,
+    select type, round(regr_slope(num_orders, x), 3) as slope,
+           round(regr_intercept(num_orders, x), 3) as intercept,
            count(*) as n from overlay group by 1"""))
 def model_nb_lines(spark, folder):
     lines = forecast.straight_lines(overlay(spark, folder))

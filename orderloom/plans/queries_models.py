@@ -21,56 +21,66 @@ def augmented(v: OrderViews, sku: bool = True):
     return augment.orders_augmented(v.orders(sku), v.users(), v.locations())
 
 
-@query("top_users", over("orders_augmented", "company_perf", then="""
-    select o.user_id, round(sum(o.order_total), 2) as total_revenue,
-           round(sum(o.order_total) / nullif(max(c.total_revenue), 0), 6) as pct_revenue
-    from orders_augmented o left join company_perf c on o.company = c.company group by 1"""))
+@query("top_users", over("segments", then="""
+    select user_id, round(sum(amount), 2) as total_revenue,
+           round(sum(amount) / nullif(any_value(revenue), 0), 6) as pct_revenue
+    from sales left join segments using (segment) group by user_id"""))
 def top_users(spark, folder):
     v = OrderViews(spark, folder)
     shares = stats.top_users_from_orders(v.orders(sku=False), v.users(), v.locations())
     return shares.select("user_id", money("total_revenue"), F.round("pct_revenue", 6).alias("pct_revenue"))
 
 
-@query("orders_cleaned", over("orders_cleaned", then="select * from orders_cleaned"))
+@query("orders_cleaned", over("lines", then="""
+    select user_id, items as quantity, price as purchase_price, brand as sku, placed as dt, placed as dt_2,
+           placed as order_date, amount as order_total from lines"""))
 def orders_cleaned(spark, folder):
     return OrderViews(spark, folder).orders()
 
 
-@query("orders_aggregated", over("orders_cleaned", then="select * from orders_cleaned"))
+@query("orders_aggregated", over("lines", then="""
+    select user_id, items as quantity, price as purchase_price, brand as sku, placed as dt, placed as dt_2,
+           placed as order_date, amount as order_total from lines"""))
 def orders_aggregated(spark, folder):
     return cleaned.orders_aggregated(OrderViews(spark, folder).orders())
 
 
-@query("users_cleaned", over("users_cleaned", then="select * from users_cleaned"))
+@query("users_cleaned", over("members", then="select * from members"))
 def users_cleaned(spark, folder):
     return OrderViews(spark, folder).users()
 
 
-@query("locations_cleaned", over("locations_cleaned", then="select * from locations_cleaned"))
+@query("locations_cleaned", over("places", then="""
+    select c_custkey as user_id, c_name as street_address, n_name as state, r_name as country, zip as zip_code,
+           1700000000 as _sling_loaded_at from places"""))
 def locations_cleaned(spark, folder):
     return OrderViews(spark, folder).locations()
 
 
-@query("orders_augmented", over("orders_augmented", then="select * from orders_augmented"))
+@query("orders_augmented", over("sales", then="""
+    select user_id, items as quantity, price as purchase_price, brand as sku, placed as dt, placed as dt_2,
+           placed as order_date, amount as order_total, segment as company, nation as state, zip as zip_code
+    from sales"""))
 def orders_augmented(spark, folder):
     return augmented(OrderViews(spark, folder))
 
 
-@query("company_stats", over("company_stats", then="""
-    select order_date, company, n_orders, round(total_revenue, 2) as total_revenue from company_stats"""))
+@query("company_stats", over("sales", then="""
+    select placed as order_date, segment as company, count(*) as n_orders, round(sum(amount), 2) as total_revenue
+    from sales group by all"""))
 def company_stats(spark, folder):
     out = stats.company_stats(augmented(OrderViews(spark, folder), sku=False))
     return out.withColumn("total_revenue", money("total_revenue"))
 
 
-@query("sku_stats", over("sku_stats", then="""
-    select order_date, sku, n_orders, round(total_revenue, 2) as total_revenue from sku_stats"""))
+@query("sku_stats", over("brand_days", then="""
+    select placed as order_date, brand as sku, n as n_orders, revenue as total_revenue from brand_days"""))
 def sku_stats(spark, folder):
     return stats.sku_stats(augmented(OrderViews(spark, folder))).withColumn("total_revenue", money("total_revenue"))
 
 
-@query("order_stats", over("order_stats", then="""
-    select order_date, n_orders, round(total_revenue, 2) as total_revenue from order_stats"""))
+@query("order_stats", over("days", then="""
+    select cast(day as timestamp) as order_date, n as n_orders, round(revenue, 2) as total_revenue from days"""))
 def order_stats(spark, folder):
     out = stats.order_stats(augmented(OrderViews(spark, folder), sku=False))
     return out.withColumn("total_revenue", money("total_revenue"))
@@ -80,19 +90,19 @@ def perf(spark, folder):
     return stats.company_perf(stats.company_stats(augmented(OrderViews(spark, folder), sku=False)))
 
 
-@query("company_perf", over("company_perf", then="""
-    select company, n_orders, round(total_revenue, 2) as total_revenue from company_perf"""))
+@query("company_perf", over("segments", then="""
+    select segment as company, n as n_orders, round(revenue, 2) as total_revenue from segments"""))
 def company_perf(spark, folder):
     return perf(spark, folder).withColumn("total_revenue", money("total_revenue"))
 
 
-@query("avg_orders", over("company_perf", then="""
-    select company, round(total_revenue / nullif(n_orders, 0), 2) as avg_order from company_perf"""))
+@query("avg_orders", over("sales", then="""
+    select segment as company, round(sum(amount) / count(*), 2) as avg_order from sales group by segment"""))
 def avg_orders(spark, folder):
     return stats.avg_orders(perf(spark, folder)).withColumn("avg_order", money("avg_order"))
 
 
-@query("min_order", over("company_perf", then="select min(n_orders) as min_order from company_perf"))
+@query("min_order", over("segments", then="select min(n) as min_order from segments"))
 def min_order(spark, folder):
     return stats.min_order(perf(spark, folder))
 
@@ -101,28 +111,29 @@ def summary(spark, folder):
     return stats.weekly_order_summary(stats.order_stats(augmented(OrderViews(spark, folder), sku=False)))
 
 
-@query("weekly_order_summary", over("weekly_order_summary", then="select * from weekly_order_summary"))
+@query("weekly_order_summary", over("days", then="""
+    select cast(day as timestamp) as order_date, n as num_orders from days"""))
 def weekly_order_summary(spark, folder):
     return summary(spark, folder)
 
 
-@query("big_orders_observed", over("weekly_order_summary", then="""
-    select order_date, num_orders from weekly_order_summary where num_orders >= 35"""))
+@query("big_orders_observed", over("days", then="""
+    select cast(day as timestamp) as order_date, n as num_orders from days where n >= 35"""))
 def big_orders_observed(spark, folder):
     return stats.big_orders(summary(spark, folder), capacity=35)
 
 
-@query("key_product_deepdive", over("sku_stats", then="""
-    select order_date, sku, n_orders, round(total_revenue, 2) as total_revenue
-    from sku_stats where sku = 'Brand#4'"""))
+@query("key_product_deepdive", over("brand_days", then="""
+    select placed as order_date, brand as sku, n as n_orders, revenue as total_revenue
+    from brand_days where brand = 'Brand#4'"""))
 def key_product_deepdive(spark, folder):
     one = stats.key_product_deepdive(stats.sku_stats(augmented(OrderViews(spark, folder))), "Brand#4")
     return one.withColumn("total_revenue", money("total_revenue"))
 
 
-@query("preview_sku", over("sku_stats", then="""
-    select order_date, sku, n_orders, round(total_revenue, 2) as total_revenue
-    from sku_stats where sku = 'Brand#4' order by order_date limit 5"""))
+@query("preview_sku", over("brand_days", then="""
+    select placed as order_date, brand as sku, n as n_orders, revenue as total_revenue
+    from brand_days where brand = 'Brand#4' order by placed limit 5"""))
 def preview_sku(spark, folder):
     one = stats.key_product_deepdive(stats.sku_stats(augmented(OrderViews(spark, folder))), "Brand#4")
     return stats.preview(one, ["order_date"], 5).withColumn("total_revenue", money("total_revenue"))
@@ -134,28 +145,27 @@ def preview_raw(spark, folder):
     return stats.preview(ids, ["order_id"], 3)
 
 
-@query("incremental_window", over("orders_cleaned", then="""
-    select user_id, sku, dt, order_total from orders_cleaned
-    where dt >= timestamp '1996-03-01' and dt <= timestamp '1996-06-01'"""))
+@query("incremental_window", over("lines", then="""
+    select user_id, brand as sku, placed as dt, amount as order_total from lines
+    where placed between timestamp '1996-03-01' and timestamp '1996-06-01'"""))
 def incremental_window(spark, folder):
     rows = cleaned.orders_cleaned(OrderViews(spark, folder).raw_orders(), *WINDOW)
     return rows.select("user_id", "sku", "dt", "order_total")
 
 
-@query("incremental_window_half_open", over("orders_augmented", then="""
-    select user_id, sku, company, order_date, order_total from orders_augmented
-    where order_date >= timestamp '1996-03-01' and order_date < timestamp '1996-06-01'"""))
+@query("incremental_window_half_open", over("sales", then="""
+    select user_id, brand as sku, segment as company, placed as order_date, amount as order_total from sales
+    where month(placed) between 3 and 5 and year(placed) = 1996"""))
 def incremental_window_half_open(spark, folder):
     v = OrderViews(spark, folder)
     rows = augment.orders_augmented(v.orders(), v.users(), v.locations(), *WINDOW, closed="left")
     return rows.select("user_id", "sku", "company", "order_date", "order_total")
 
 
-@query("weekly_rollup", over("order_stats", then="""
-    select time_bucket(interval 7 days, order_date, timestamp '2023-05-28') as week_start,
-           cast(sum(n_orders) as bigint) as n_orders, round(sum(total_revenue), 2) as total_revenue,
-           count(*) as n_days
-    from order_stats group by 1"""))
+@query("weekly_rollup", over("days", then="""
+    select cast(day - cast(dayofweek(day) as integer) as timestamp) as week_start,
+           cast(sum(n) as bigint) as n_orders, round(sum(revenue), 2) as total_revenue, count(*) as n_days
+    from days group by week_start"""))
 def weekly_rollup(spark, folder):
     days = stats.order_stats(augmented(OrderViews(spark, folder), sku=False))
     return windows.weekly_rollup(days).withColumn("total_revenue", money("total_revenue"))
@@ -181,28 +191,29 @@ def profile_row_counts(spark, folder):
     return rows.select("table_name", "n_rows", F.col("n_columns").cast("bigint").alias("n_columns"))
 
 
-# Name, type and tags of the columns listed by the catalog query.
+# Table, relation on the SQL side, column, its source there, type and tags.
 CATALOG = [
-    ("orders_augmented", "user_id", "bigint", "PII"),
-    ("orders_augmented", "quantity", "int", ""),
-    ("orders_augmented", "purchase_price", "double", ""),
-    ("orders_augmented", "sku", "string", ""),
-    ("orders_augmented", "dt", "timestamp_ntz", ""),
-    ("orders_augmented", "dt_2", "timestamp_ntz", ""),
-    ("orders_augmented", "order_date", "timestamp_ntz", ""),
-    ("orders_augmented", "order_total", "double", ""),
-    ("orders_augmented", "company", "string", ""),
-    ("orders_augmented", "state", "string", ""),
-    ("orders_augmented", "zip_code", "string", ""),
-    ("users_cleaned", "user_id", "bigint", "PII"),
-    ("users_cleaned", "created_at", "timestamp_ntz", ""),
-    ("users_cleaned", "company", "string", ""),
+    ("orders_augmented", "sales", "user_id", "user_id", "bigint", "PII"),
+    ("orders_augmented", "sales", "quantity", "items", "int", ""),
+    ("orders_augmented", "sales", "purchase_price", "price", "double", ""),
+    ("orders_augmented", "sales", "sku", "brand", "string", ""),
+    ("orders_augmented", "sales", "dt", "placed", "timestamp_ntz", ""),
+    ("orders_augmented", "sales", "dt_2", "placed", "timestamp_ntz", ""),
+    ("orders_augmented", "sales", "order_date", "placed", "timestamp_ntz", ""),
+    ("orders_augmented", "sales", "order_total", "amount", "double", ""),
+    ("orders_augmented", "sales", "company", "segment", "string", ""),
+    ("orders_augmented", "sales", "state", "nation", "string", ""),
+    ("orders_augmented", "sales", "zip_code", "zip", "string", ""),
+    ("users_cleaned", "members", "user_id", "user_id", "bigint", "PII"),
+    ("users_cleaned", "members", "created_at", "created_at", "timestamp_ntz", ""),
+    ("users_cleaned", "members", "company", "company", "string", ""),
 ]
 
 
-@query("column_catalog", over("orders_augmented", then=" union all ".join(
+@query("column_catalog", over("sales", "members", then=" union all ".join(
     f"select '{t}' as table_name, '{c}' as column_name, '{d}' as data_type, '{g}' as tags, "
-    f"count(*) as n_rows, count(*) - count({c}) as n_null from {t}" for t, c, d, g in CATALOG)))
+    f"count(*) as n_rows, sum(case when {x} is null then 1 else 0 end)::bigint as n_null from {r}"
+    for t, r, c, x, d, g in CATALOG)))
 def catalog(spark, folder):
     v = OrderViews(spark, folder)
     tables = {"orders_augmented": augmented(v), "users_cleaned": v.users()}
@@ -210,8 +221,8 @@ def catalog(spark, folder):
     return first.unionByName(second).drop("description")
 
 
-@query("column_tags_upper", over("users_cleaned", then=" union all ".join(
-    f"select '{c}' as column_name, '{d}' as data_type, {g} as tag, count(*) as n_rows from users_cleaned"
+@query("column_tags_upper", over("members", then=" union all ".join(
+    f"select '{c}' as column_name, '{d}' as data_type, {g} as tag, count(*) as n_rows from members"
     for c, d, g in [("USER_ID", "bigint", "'PII'"), ("CREATED_AT", "timestamp_ntz", "null"),
                     ("COMPANY", "string", "null")])))
 def column_tags_upper(spark, folder):
@@ -224,33 +235,32 @@ def country_stats_frame(spark, folder):
     return regression.country_stats(OrderViews(spark, folder).country_cells())
 
 
-@query("country_stats", over("country_stats", then="""
-    select country, pop_2022, pop_2023, continent, region, round(pop_change, 4) as pop_change
-    from country_stats"""))
+@query("country_stats", over("countries", then="""
+    select * exclude (pop_change), round(pop_change, 4) as pop_change from countries"""))
 def country_stats(spark, folder):
     out = country_stats_frame(spark, folder)
     return out.withColumn("pop_change", F.round("pop_change", 4))
 
 
-@query("check_country_stats", over("country_stats", then="""
-    select 'check_country_stats' as "check", count(*) > 0 as passed from country_stats"""))
+@query("check_country_stats", over("countries", then="""
+    select 'check_country_stats' as "check", exists (from countries) as passed"""))
 def check_country_stats(spark, folder):
     rows = country_stats_frame(spark, folder)
     return quality.check_not_empty(rows, "check_country_stats").select("check", "passed")
 
 
 _MEANS = """
-    means as (select continent, avg(pop_change) as mean, count(*) as n from country_stats
+    means as (select continent, avg(pop_change) as mean, count(*) as n from countries
               where pop_change is not null group by 1),
     base as (select coalesce(max(case when continent is null then mean end),
                              avg(case when continent is not null then mean end)) as m from means),
     scores as (select count(*) as n, sum((pop_change - mean) * (pop_change - mean)) as sse,
                       avg(abs(pop_change - mean)) as mae, var_pop(pop_change) * count(*) as total
-               from country_stats s join means on s.continent is not distinct from means.continent
+               from countries s join means on s.continent is not distinct from means.continent
                where pop_change is not null)"""
 
 
-@query("change_model", over("country_stats", extra=_MEANS, then="""
+@query("change_model", over("countries", extra=_MEANS, then="""
     select 'continent_' || means.continent as feature, round(mean - m, 4) as coefficient,
            round(m, 4) as intercept, scores.n as n_samples, round(1 - sse / total, 4) as r2,
            round(sqrt(sse / scores.n), 4) as rmse, round(mae, 4) as mae
@@ -261,13 +271,13 @@ def change_model(spark, folder):
     return model.withColumn("coefficient", F.round("coefficient", 4))
 
 
-@query("continent_stats", over("country_stats", extra=_MEANS, then="""
+@query("continent_stats", over("countries", extra=_MEANS, then="""
     select s.continent, coalesce(sum(pop_2022), 0) as pop_2022, coalesce(sum(pop_2023), 0) as pop_2023,
            round(coalesce(sum(pop_change), 0), 4) as pop_change,
            string_agg(country, '' order by country) as country,
            string_agg(region, '' order by region) as region,
            round(max(mean) - max(m), 4) as pop_change_factor
-    from country_stats s left join means on s.continent = means.continent cross join base
+    from countries s left join means on s.continent = means.continent cross join base
     where s.continent is not null group by 1"""))
 def continent_stats(spark, folder):
     rows = materialise(country_stats_frame(spark, folder), "countries")
@@ -280,7 +290,7 @@ def continent_stats(spark, folder):
 _SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 
 
-@query("one_hot", over("raw_users", then="select user_id, " + ", ".join(
-    f"cast(coalesce(company = '{s}', false) as integer) as company_{s}" for s in _SEGMENTS) + " from raw_users"))
+@query("one_hot", "select c_custkey as user_id, " + ", ".join(
+    f"case when c_mktsegment = '{s}' then 1 else 0 end as company_{s}" for s in _SEGMENTS) + " from customer")
 def one_hot(spark, folder):
     return regression.one_hot(OrderViews(spark, folder).raw_users().select("user_id", "company"), "company")

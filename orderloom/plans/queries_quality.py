@@ -20,16 +20,17 @@ def flat(verdicts):
     return verdicts.withColumn("metadata", F.array_join(parts, ";"))
 
 
-@query("check_not_null", over("orders_augmented", then="""
-    select user_id, order_date, sku, order_total, state from orders_augmented where company is null"""))
+@query("check_not_null", over("sales", then="""
+    select user_id, placed as order_date, brand as sku, amount as order_total, nation as state
+    from sales where segment is null"""))
 def check_not_null(spark, folder):
     rows = quality.not_null(augmented(OrderViews(spark, folder)), "company")
     return rows.select("user_id", "order_date", "sku", "order_total", "state")
 
 
-@query("check_not_null_verdict", over("orders_augmented", then="""
-    select 'user_id not null' as "check", count(*) = 0 as passed, 'ERROR' as severity,
-           'n_failing=' || count(*) as metadata from orders_augmented where user_id is null"""))
+@query("check_not_null_verdict", over("sales", then="""
+    select 'user_id not null' as "check", count(*) = count(user_id) as passed, 'ERROR' as severity,
+           'n_failing=' || (count(*) - count(user_id)) as metadata from sales"""))
 def check_not_null_verdict(spark, folder):
     rows = quality.not_null(augmented(OrderViews(spark, folder), sku=False), "user_id")
     return flat(quality.failing_rows_verdict(rows, "user_id not null", quality.ERROR))
@@ -60,62 +61,62 @@ def check_order_total(spark, folder):
     return quality.order_total_not_positive(cleaned.orders_cleaned(raw))
 
 
-@query("check_like_any", over("users_cleaned", then="""
-    select user_id, company from users_cleaned
-    where not (company like '%BUILD%' or company like '%MOB%' or company like 'HOUSE%')"""))
+@query("check_like_any", """
+    select c_custkey as user_id, c_mktsegment as company from customer
+    where c_acctbal >= 0 and not regexp_matches(c_mktsegment, 'BUILD|MOB|^HOUSE')""")
 def check_like_any(spark, folder):
     users = OrderViews(spark, folder).users().select("user_id", "company")
     return quality.like_patterns(users, "company", ["%BUILD%", "%MOB%", "HOUSE%"])
 
 
-@query("check_like_all", over("users_cleaned", then="""
-    select user_id, company from users_cleaned where not (company like '%U%' and company like '%I%')"""))
+@query("check_like_all", """
+    select c_custkey as user_id, c_mktsegment as company from customer
+    where c_acctbal >= 0 and (not contains(c_mktsegment, 'U') or not contains(c_mktsegment, 'I'))""")
 def check_like_all(spark, folder):
     users = OrderViews(spark, folder).users().select("user_id", "company")
     return quality.like_patterns(users, "company", ["%U%", "%I%"], match_on="all")
 
 
-@query("check_avg_orders", over("company_perf", then="""
-    select 'check_avg_orders' as "check", avg_order < 50 as passed, 'ERROR' as severity,
-           round(avg_order, 2) as actual_average
-    from (select company, total_revenue / nullif(n_orders, 0) as avg_order from company_perf
-          order by company nulls first limit 1)"""))
+@query("check_avg_orders", over("segments", then="""
+    select 'check_avg_orders' as "check", revenue / n < 50 as passed, 'ERROR' as severity,
+           round(revenue / n, 2) as actual_average
+    from segments order by segment nulls first limit 1"""))
 def check_avg_orders(spark, folder):
     out = quality.check_avg_orders(stats.avg_orders(perf(spark, folder)))
     actual = F.col("metadata")["actual average"].cast("double")
     return out.select("check", "passed", "severity", actual.alias("actual_average"))
 
 
-@query("check_users", over("raw_users", then="""
-    select 'check_users' as "check", un = 0 and mi = 0 as passed, 'WARN' as severity,
-           'missing=' || mi || ';unexpected=' || un as metadata
-    from (select (select count(*) from (select distinct company from raw_users)
-                  where company not in ('BUILDING', 'AUTOMOBILE', 'FURNITURE', 'DISCOUNT')) as un,
-                 (select count(*) from (values ('BUILDING'), ('AUTOMOBILE'), ('FURNITURE'), ('DISCOUNT')) e(v)
-                  where v not in (select company from raw_users where company is not null)) as mi)"""))
+@query("check_users", """
+    with wanted as (select unnest(['BUILDING', 'AUTOMOBILE', 'FURNITURE', 'DISCOUNT']) as v),
+         seen as (select distinct c_mktsegment as v from customer),
+         counts as (select (select count(*) from seen anti join wanted using (v)) as un,
+                           (select count(*) from wanted anti join seen using (v)) as mi)
+    select 'check_users' as "check", un + mi = 0 as passed, 'WARN' as severity,
+           'missing=' || mi || ';unexpected=' || un as metadata from counts""")
 def check_users(spark, folder):
     users = OrderViews(spark, folder).raw_users()
     return flat(quality.check_users(users, ["BUILDING", "AUTOMOBILE", "FURNITURE", "DISCOUNT"]))
 
 
-@query("check_users_difference", over("raw_users", then="""
-    select distinct company as value, 'unexpected' as side from raw_users
-    where company not in ('BUILDING', 'AUTOMOBILE', 'FURNITURE', 'DISCOUNT')
+@query("check_users_difference", """
+    with wanted as (select unnest(['BUILDING', 'AUTOMOBILE', 'FURNITURE', 'DISCOUNT']) as v),
+         seen as (select distinct c_mktsegment as v from customer)
+    select v as value, 'unexpected' as side from seen anti join wanted using (v)
     union all
-    select v, 'missing' from (values ('BUILDING'), ('AUTOMOBILE'), ('FURNITURE'), ('DISCOUNT')) e(v)
-    where v not in (select company from raw_users where company is not null)"""))
+    select v, 'missing' from wanted anti join seen using (v)""")
 def check_users_difference(spark, folder):
     users = OrderViews(spark, folder).raw_users()
     return quality.set_difference(users, "company", ["BUILDING", "AUTOMOBILE", "FURNITURE", "DISCOUNT"])
 
 
-@query("check_schema_change", over("users_cleaned", then="""
+@query("check_schema_change", over("members", then="""
     select 'company' as column_name, 'removed' as change, 'string' as old_type, null as new_type,
-           count(company) as old_values, 0 as new_values from users_cleaned
+           count(company) as old_values, 0 as new_values from members
     union all
-    select 'segment', 'added', null, 'string', 0, count(company) from users_cleaned
+    select 'segment', 'added', null, 'string', 0, count(company) from members
     union all
-    select 'user_id', 'retyped', 'bigint', 'string', count(user_id), count(user_id) from users_cleaned"""))
+    select 'user_id', 'retyped', 'bigint', 'string', count(user_id), count(user_id) from members"""))
 def check_schema_change(spark, folder):
     """Two stored builds of the users; the second renames one column and retypes another."""
     store = TableStore(spark, scratch_path(spark, "builds"))

@@ -17,7 +17,9 @@ from orderloom.sources.order_views import LOAD_EPOCH, OrderViews
 from orderloom.sources.tables import TableStore
 
 
-@query("src_full_refresh", over("raw_locations", then="select * from raw_locations"))
+@query("src_full_refresh", over("places", then="""
+    select c_custkey as l_user_id, c_name as l_street_address, n_name as l_state, r_name as l_country,
+           zip as l_zip_code, 1700000000 as _sling_loaded_at from places"""))
 def src_full_refresh(spark, folder):
     """Locations written as CSV and loaded as a table, twice: the second load replaces the first."""
     base = scratch_path(spark, "csv")
@@ -39,15 +41,15 @@ def src_csv_infer(spark, folder):
     return scanned.withColumn("order_id", F.col("order_id").cast("bigint"))
 
 
-@query("sink_table", over("users_cleaned", then="select * from users_cleaned"))
+@query("sink_table", over("members", then="select * from members"))
 def sink_table(spark, folder):
     store = TableStore.for_environment(spark, "LOCAL", {"LOCAL": scratch_path(spark, "store")})
     return store.replace(OrderViews(spark, folder).users(), "cleaned.users_cleaned")
 
 
-@query("sink_by_key", over("sku_stats", then="""
-    select order_date, sku, n_orders, round(total_revenue, 2) as total_revenue from sku_stats
-    where sku in ('Brand#4', 'Brand#17')"""))
+@query("sink_by_key", over("brand_days", then="""
+    select placed as order_date, brand as sku, n as n_orders, revenue as total_revenue
+    from brand_days where brand in ('Brand#4', 'Brand#17')"""))
 def sink_by_key(spark, folder):
     """Item statistics in one folder per item; two of them read back."""
     store = TableStore(spark, scratch_path(spark, "by-key"))
@@ -57,10 +59,10 @@ def sink_by_key(spark, folder):
     return two.select("order_date", "sku", "n_orders", F.round("total_revenue", 2).alias("total_revenue"))
 
 
-@query("refresh_models", over("orders_augmented", "company_perf", then="""
-    select o.user_id, round(sum(o.order_total), 2) as total_revenue,
-           round(sum(o.order_total) / nullif(max(c.total_revenue), 0), 6) as pct_revenue
-    from orders_augmented o left join company_perf c on o.company = c.company group by 1"""))
+@query("refresh_models", over("segments", then="""
+    select user_id, round(sum(amount), 2) as total_revenue,
+           round(sum(amount) / nullif(any_value(revenue), 0), 6) as pct_revenue
+    from sales left join segments using (segment) group by user_id"""))
 def refresh_models(spark, folder):
     """All models built one after another as stored tables, the dated ones by year; the last one is read."""
     store, v = TableStore(spark, scratch_path(spark, "warehouse")), OrderViews(spark, folder)

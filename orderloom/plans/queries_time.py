@@ -59,11 +59,10 @@ def backfill_range(spark, folder):
     )
 
 
-@query("sink_partition_overwrite", over("orders_cleaned", then="""
-    select date_trunc('month', dt) as month, count(*) as n,
-           cast(sum(case when dt >= timestamp '1997-01-01' and dt < timestamp '1998-01-01'
-                         then quantity + 1 else quantity end) as bigint) as items
-    from orders_cleaned where dt < timestamp '1997-03-01' or dt >= timestamp '1997-04-01' group by 1"""))
+@query("sink_partition_overwrite", over("lines", then="""
+    select date_trunc('month', placed) as month, count(*) as n,
+           cast(sum(items + case when year(placed) = 1997 then 1 else 0 end) as bigint) as items
+    from lines where not (year(placed) = 1997 and month(placed) = 3) group by all"""))
 def sink_partition_overwrite(spark, folder):
     """All orders stored by month, then one year replaced: corrected, and without its March."""
     store = TableStore(spark, scratch_path(spark, "months"))

@@ -24,68 +24,52 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
-# The shared relations of the SQL side, in the order they build on each other.
+# The shared relations of the SQL side. They are stated over the star-schema tables on
+# their own terms: a line finds its buyer in one lookup, and every total is taken
+# straight from the lines.
 RELATIONS = {
-    "raw_orders": """
-        select o_custkey as user_id, cast(o_orderkey as varchar) as order_id,
-               cast(l_quantity as integer) as quantity,
-               l_extendedprice / nullif(l_quantity, 0) as purchase_price,
-               p_brand as sku, o_orderdate as dt
-        from lineitem join orders on l_orderkey = o_orderkey
-             left join part on l_partkey = p_partkey""",
-    "raw_users": """
-        select c_custkey as user_id, c_mktsegment as company, c_acctbal < 0 as is_test_user,
+    "lines": """
+        select o_custkey as user_id, cast(l_quantity as integer) as items,
+               l_extendedprice / nullif(l_quantity, 0) as price, p_brand as brand, o_orderdate as placed,
+               cast(l_quantity as integer) * (l_extendedprice / nullif(l_quantity, 0)) as amount
+        from lineitem join orders on o_orderkey = l_orderkey left join part on p_partkey = l_partkey""",
+    "sales": """
+        select lines.*, buyer.segment, buyer.nation, buyer.zip
+        from lines left join (
+            select c_custkey, case when c_acctbal >= 0 then c_mktsegment end as segment,
+                   (select n_name from nation where n_nationkey = c_nationkey) as nation,
+                   right('00000' || c_nationkey, 5) as zip
+            from customer) buyer on buyer.c_custkey = lines.user_id""",
+    "days": """
+        select cast(placed as date) as day, count(*) as n, sum(amount) as revenue from sales group by day""",
+    "segments": """
+        select segment, count(*) as n, sum(amount) as revenue from sales group by segment""",
+    "brand_days": """
+        select placed, brand, count(*) as n, round(sum(amount), 2) as revenue from sales group by placed, brand""",
+    "members": """
+        select c_custkey as user_id, c_mktsegment as company,
                timestamp '2023-05-25 00:00:00' + to_days(cast(c_custkey % 365 as integer)) as created_at
-        from customer""",
-    "raw_locations": """
-        select c_custkey as l_user_id, c_name as l_street_address, n_name as l_state,
-               r_name as l_country, lpad(cast(c_nationkey as varchar), 5, '0') as l_zip_code,
-               1700000000 as _sling_loaded_at
-        from customer left join nation on c_nationkey = n_nationkey
-             left join region on n_regionkey = r_regionkey""",
-    "orders_cleaned": """
-        select user_id, quantity, purchase_price, sku, dt, dt as dt_2,
-               cast(dt as timestamp) as order_date, quantity * purchase_price as order_total
-        from raw_orders""",
-    "users_cleaned": """
-        select user_id, created_at, company from raw_users where not is_test_user""",
-    "locations_cleaned": """
-        select l_user_id as user_id, l_street_address as street_address, l_state as state,
-               l_country as country, l_zip_code as zip_code, _sling_loaded_at
-        from raw_locations""",
-    "orders_augmented": """
-        select o.*, u.company, l.state, l.zip_code
-        from orders_cleaned o left join users_cleaned u on o.user_id = u.user_id
-             left join locations_cleaned l on o.user_id = l.user_id""",
-    "company_stats": """
-        select order_date, company, count(*) as n_orders, sum(order_total) as total_revenue
-        from orders_augmented group by 1, 2""",
-    "sku_stats": """
-        select order_date, sku, count(*) as n_orders, sum(order_total) as total_revenue
-        from orders_augmented group by 1, 2""",
-    "order_stats": """
-        select date_trunc('day', order_date) as order_date, count(*) as n_orders,
-               sum(order_total) as total_revenue
-        from orders_augmented group by 1""",
-    "company_perf": """
-        select company, cast(sum(n_orders) as bigint) as n_orders, sum(total_revenue) as total_revenue
-        from company_stats group by 1""",
-    "weekly_order_summary": "select order_date, n_orders as num_orders from order_stats",
+        from customer where c_acctbal >= 0""",
+    "places": """
+        select c_custkey, c_name, right('00000' || c_nationkey, 5) as zip, n_name, r_name
+        from customer left join (nation left join region on r_regionkey = n_regionkey)
+             on n_nationkey = c_nationkey""",
     "points": """
-        select epoch_ns(order_date) / 1e18 - 1.6095 as x, cast(num_orders as double) as y
-        from weekly_order_summary""",
+        select epoch_ns(cast(day as timestamp)) / 1e18 - 1.6095 as x, cast(n as double) as y,
+               cast(day as timestamp) as moment
+        from days""",
     "loglinear": """
         select exp(regr_intercept(ln(y), x)) as a, regr_slope(ln(y), x) as b, count(*) as n
         from points where y > 0""",
-    "country_stats": """
-        select n_name as country, cast(n_users as double) as pop_2022, cast(n_orders as double) as pop_2023,
+    "countries": """
+        select n_name as country, cast(users as double) as pop_2022, cast(sold as double) as pop_2023,
                r_name as continent, r_name || ' ' || right(n_name, 1) as region,
-               (n_orders / nullif(cast(n_users as double), 0) - 1) * 100 as pop_change
-        from nation left join region on n_regionkey = r_regionkey
-             left join (select c_nationkey, count(*) as n_users, sum(n) as n_orders
-                        from customer left join (select o_custkey, count(*) as n from orders group by 1)
-                             on c_custkey = o_custkey
-                        group by 1) on n_nationkey = c_nationkey""",
+               100.0 * sold / nullif(users, 0) - 100 as pop_change
+        from nation left join region on r_regionkey = n_regionkey
+             left join (select c_nationkey, count(distinct c_custkey) as users,
+                               nullif(count(o_orderkey), 0) as sold
+                        from customer left join orders on o_custkey = c_custkey
+                        group by c_nationkey) on c_nationkey = n_nationkey""",
     "changed": """
         select source as location, case when lang = 'en' then '__repository__' else lang end as repository,
                lang || '/' || source || '/doc_' || cast(doc_id as varchar) as asset_key
@@ -95,16 +79,11 @@ RELATIONS = {
 
 # Needed by a relation, in build order.
 NEEDS = {
-    "orders_cleaned": ["raw_orders"],
-    "users_cleaned": ["raw_users"],
-    "locations_cleaned": ["raw_locations"],
-    "orders_augmented": ["orders_cleaned", "users_cleaned", "locations_cleaned"],
-    "company_stats": ["orders_augmented"],
-    "sku_stats": ["orders_augmented"],
-    "order_stats": ["orders_augmented"],
-    "company_perf": ["company_stats"],
-    "weekly_order_summary": ["order_stats"],
-    "points": ["weekly_order_summary"],
+    "sales": ["lines"],
+    "days": ["sales"],
+    "segments": ["sales"],
+    "brand_days": ["sales"],
+    "points": ["days"],
     "loglinear": ["points"],
 }
 
