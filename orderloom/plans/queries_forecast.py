@@ -66,6 +66,17 @@ def big_orders(spark, folder):
     return stats.big_orders(predicted(spark, folder)).withColumn("num_orders", F.round("num_orders", 3))
 
 
+@query("big_orders_tight", with_model(extra=_PREDICTED, then="""
+    select order_date, round(num_orders, 3) as num_orders from predicted
+    where num_orders >= (select 0.65 * min(num_orders) + 0.35 * max(num_orders) from predicted)"""))
+def big_orders_tight(spark, folder):
+    """A capacity inside the range of the forecast, so that at every scale some days reach it and some do not."""
+    days = predicted(spark, folder)
+    low, high = days.agg(F.min("num_orders"), F.max("num_orders")).first()
+    big = stats.big_orders(days, capacity=0.65 * low + 0.35 * high)
+    return big.withColumn("num_orders", F.round("num_orders", 3))
+
+
 _MONTHS = """
     months as (select unnest(generate_series(date_trunc('month', min(moment)), date_trunc('month', max(moment)),
                                              interval 1 month)) as month_start from points),

@@ -22,6 +22,8 @@ def build_session(name: str = "orderloom", cores: int | str | None = None, **set
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.sql.adaptive.enabled", "true")
+        # Many small queries in one session would otherwise compile their code again and again.
+        .config("spark.sql.codegen.cache.maxEntries", "2000")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
     for key, value in settings.items():
