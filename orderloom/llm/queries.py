@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import packing, tokens
+from orderloom.llm import packing, quality, tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -47,3 +47,13 @@ def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     )
     over = (F.col("c.n_tokens") > TOKEN_LIMIT).alias("over_limit")
     return counted.select("doc_id", "c.n_bytes", "c.n_tokens", over)
+
+
+@query
+def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts and verdict of each whole document; the line field is trained on its labels."""
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    model = quality.train(documents, table(spark, folder, "labels"))
+    judged = quality.judge(documents, model)
+    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "content_words"]
+    return judged.select("doc_id", *(f"quality.{n}" for n in [*names, "base_failed", "kept"]))

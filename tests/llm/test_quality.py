@@ -1,0 +1,119 @@
+"""Line field and counts against plain Python, and held-out accuracy."""
+
+import re
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from orderloom.llm import quality, texts
+
+TEXTS = [
+    None,
+    "",
+    " \t\n",
+    "one",
+    "a b c d e a b c d e",
+    "x y z\nx y z\n\nx y z\n  \n  ",
+    "\n\nlast",
+    "É# çà $$ *x*\r\nÉ# çà $$ *x*\r\n",
+    "w1 w2 w3 w4 w5 w6 " * 40,
+    "end\n",
+    "\x0b\x0cq\x1cq\x85r",
+    "same same same same same same",
+]
+
+
+def plain(text):
+    text = text or ""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    windows = Counter(tuple(words[i : i + 5]) for i in range(len(words) - 4))
+    hit = set()
+    for i in range(len(words) - 4):
+        if windows[tuple(words[i : i + 5])] > 1:
+            hit |= set(range(i, i + 5))
+    seen, again = set(), 0
+    for line in text.split("\n"):
+        if re.search(r"[^\x20\x09-\x0D]", line):
+            again += line in seen
+            seen.add(line)
+    return [len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), again, len(hit)]
+
+
+def counts(held):
+    out = []
+    for data, offsets in texts.slices(pa.array(held, pa.string())):
+        part = quality.Slice(data, offsets)
+        columns = (part.n_words, part.word_chars, part.n_symbols, part.n_dup_lines, part.n_repeat_words)
+        out += [list(map(int, row)) for row in zip(*columns)]
+    return out
+
+
+def test_counts_equal_plain_python():
+    assert counts(TEXTS) == [plain(t) for t in TEXTS]
+    rng = np.random.default_rng(5)
+    made = ["".join(rng.choice(list("ab é\n\t#"), rng.integers(0, 80))) for _ in range(300)]
+    assert counts(made) == [plain(t) for t in made]
+
+
+def test_slices_of_a_sliced_array():
+    held = pa.array(["drop", "ab cd", None, "é"], pa.string()).slice(1)
+    assert [(bytes(d), list(o)) for d, o in texts.slices(held, 3)] == [
+        (b"ab cd", [0, 5]),
+        (b"\xc3\xa9", [0, 0, 2]),
+    ]
+
+
+def test_decoding_finds_the_best_path():
+    rng = np.random.default_rng(2)
+    for _ in range(50):
+        field = quality.LineField(np.zeros(1), rng.normal(size=(2, 2)), rng.normal())
+        e = rng.normal(size=6).tolist()
+
+        def score(path):
+            steps = sum(field.steps[a, b] for a, b in zip(path, path[1:]))
+            return field.start * path[0] + steps + sum(x for x, s in zip(e, path) if s)
+
+        best = max((tuple((k >> i) & 1 for i in range(6)) for k in range(64)), key=score)
+        assert tuple(map(int, field.content(e))) == best
+
+
+def test_fit_separates_and_defaults_to_content():
+    good, bad = np.ones((3, quality.FEATURES)), -np.ones((2, quality.FEATURES))
+    field = quality.LineField.fit([good, bad] * 5, [1, 0] * 5)
+    assert field.content((good @ field.weights).tolist()) == [True] * 3
+    assert field.content((bad @ field.weights).tolist()) == [False] * 2
+    assert quality.LineField.fit([good], [1]).content([0.0, 0.0]) == [True, True]
+    assert quality.LineField.fit([], []).content([0.0]) == [True]
+
+
+def test_judge_keeps_rows_and_columns(spark):
+    rows = [(k % 3 if k else None, t, "own") for k, t in enumerate(TEXTS * 2)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, quality string").repartition(3)
+    out = quality.judge(df, quality.LineField())
+    assert out.columns == ["doc_id", "text", "quality"] and out.count() == len(rows)
+    for r in out.collect():
+        n, chars, symbols, lines, repeated = plain(r.text)
+        q = r.quality
+        assert (q.n_words, q.word_chars, q.n_symbols, q.n_dup_lines, q.n_repeat_words) == (
+            n, chars, symbols, lines, repeated,
+        )
+        assert q.base_failed == (n < 10 or 100 * repeated > 20 * n)
+        assert q.kept == (not q.base_failed) and q.content_words == n
+    assert quality.judge(df.limit(0), quality.LineField()).count() == 0
+
+
+@pytest.mark.parametrize("folder", ["/root/testdata/sf0.01"])
+def test_held_out_accuracy(spark, folder):
+    """Trained on half of the labels, judged on the other half that the base rules let pass."""
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    model = quality.train(docs, labels.where("doc_id % 2 = 0"))
+    rest = docs.join(labels.where("doc_id % 2 = 1").withColumnRenamed("quality", "label"), "doc_id")
+    judged = quality.judge(rest, model).where("not quality.base_failed").select("label", "quality.kept")
+    got = [(r.label, r.kept) for r in judged.collect()]
+    clean = [kept for label, kept in got if label == 1]
+    junk = [kept for label, kept in got if label == 0]
+    assert len(clean) > 50 and sum(clean) / len(clean) >= 0.98
+    assert not junk or sum(junk) / len(junk) <= 0.2
