@@ -88,8 +88,8 @@ def pack(pieces: DataFrame, length: str, capacity: int) -> DataFrame:
     """
     own = [c for c in pieces.columns if c not in ("sequence_id", "offset") and not c.startswith("_pack_")]
     size = F.col(length).cast("long")
-    kept = materialise(pieces.select(*own), "pieces").withColumn("_pack_row", F.monotonically_increasing_id())
-    kept = kept.withColumn(
+    numbered = pieces.select(*own).withColumn("_pack_row", F.monotonically_increasing_id())
+    kept = materialise(numbered, "pieces").withColumn(
         "_pack_size",
         F.when(size > capacity, F.raise_error(F.lit(f"a piece is longer than {capacity}")).cast("long"))
         .when(size >= 1, size),

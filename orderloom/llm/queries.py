@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import packing, quality, tokens
+from orderloom.llm import mixing, packing, quality, tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -57,3 +57,12 @@ def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     judged = quality.judge(documents, model)
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "content_words"]
     return judged.select("doc_id", *(f"quality.{n}" for n in [*names, "base_failed", "kept"]))
+
+
+@query
+def op7_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """How many words of each document the mix takes."""
+    documents = table(spark, folder, "documents")
+    mixed = mixing.mix(documents.select("doc_id", "source", mixing.word_count(F.col("text")).alias("words")), F.col("words"))
+    taken = (F.col("copies") * F.col("size")).alias("taken")
+    return mixed.select("doc_id", "size", "source_size", "target", taken)
