@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import mixing, packing, quality, tokens
+from orderloom.llm import line_dedup, mixing, packing, quality, tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -66,3 +66,41 @@ def op7_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.mix(documents.select("doc_id", "source", mixing.word_count(F.col("text")).alias("words")), F.col("words"))
     taken = (F.col("copies") * F.col("size")).alias("taken")
     return mixed.select("doc_id", "size", "source_size", "target", taken)
+
+
+@query
+def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines of each document, lines deleted, and a digest of what is left."""
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    left = line_dedup.dedup_lines(documents)
+    digest = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256")
+    return left.select("doc_id", "n_lines", "n_removed", digest)
+
+
+ORACLES["op1_line_dedup"] = r"""
+WITH split AS (
+  SELECT doc_id, text, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos FROM documents),
+counted AS (
+  SELECT *, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words FROM split),
+placed AS (
+  SELECT doc_id, pos, line, words, sum(words) OVER (PARTITION BY doc_id ORDER BY pos) - words AS word_at
+  FROM counted WHERE words > 0),
+ahead AS (
+  SELECT doc_id, pos, max(pos) OVER w AS last, max(word_at + words) OVER w - word_at AS held,
+         list(line) OVER w AS content
+  FROM placed WINDOW w AS (PARTITION BY doc_id ORDER BY word_at RANGE BETWEEN CURRENT ROW AND 49 FOLLOWING)),
+ranked AS (
+  SELECT doc_id, pos, last, row_number() OVER (PARTITION BY content ORDER BY doc_id, pos) AS nth
+  FROM ahead WHERE held >= 50),
+gone AS (
+  SELECT DISTINCT p.doc_id, p.pos FROM placed p JOIN ranked r
+  ON p.doc_id = r.doc_id AND p.pos BETWEEN r.pos AND r.last WHERE r.nth > 1),
+left_over AS (
+  SELECT s.doc_id, count(*) AS n_lines, count(g.pos) AS n_removed,
+         coalesce(string_agg(s.line, chr(10) ORDER BY s.pos) FILTER (WHERE g.pos IS NULL), '') AS rest,
+         bool_or(s.text IS NULL) AS missing
+  FROM counted s LEFT JOIN gone g ON s.doc_id = g.doc_id AND s.pos = g.pos GROUP BY s.doc_id)
+SELECT doc_id, CASE WHEN missing THEN 0 ELSE n_lines END AS n_lines, n_removed, sha256(rest) AS kept_sha256
+FROM left_over
+"""
