@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import line_dedup, mixing, packing, quality, tokens
+from orderloom.llm import line_dedup, minhash, mixing, packing, quality, tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -104,3 +104,14 @@ left_over AS (
 SELECT doc_id, CASE WHEN missing THEN 0 ELSE n_lines END AS n_lines, n_removed, sha256(rest) AS kept_sha256
 FROM left_over
 """
+
+
+@query
+def op8_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """The near-duplicate component of each document, by four-word shingles."""
+    documents = table(spark, folder, "documents")
+    found = minhash.near_duplicates(documents, size=4, percent=80)
+    kept = F.coalesce(F.col("id") == F.col("component"), F.lit(True))
+    return found.select(
+        F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"), kept.alias("kept")
+    )
