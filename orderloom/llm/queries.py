@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import line_dedup, minhash, mixing, packing, quality, tokens
+from orderloom.llm import line_dedup, minhash, mixing, packing, pivots, quality, tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -115,3 +115,13 @@ def op8_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(
         F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"), kept.alias("kept")
     )
+
+
+@query
+def op10_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Links and component of each vector at cosine 0.9 or more."""
+    found = pivots.near_duplicates(table(spark, folder, "embeddings"), threshold=0.9)
+    kept = F.coalesce(F.col("id") == F.col("component"), F.lit(True))
+    return found.select(
+        F.col("id").alias("vec_id"), "n_links", F.col("component").alias("component_id"), kept.alias("kept")
+    )
