@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import line_dedup, minhash, mixing, packing, pivots, quality, tokens
+from orderloom.llm import chat, line_dedup, minhash, mixing, packing, pivots, quality, tokens, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -125,3 +125,110 @@ def op10_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(
         F.col("id").alias("vec_id"), "n_links", F.col("component").alias("component_id"), kept.alias("kept")
     )
+
+
+# Rules of the url check: fixed values.
+URL_RULES = (
+    ("org/", "allow"),
+    ("example.org/es/", "block"),
+    ("example.org/en/1", "block"),
+    ("com/fr/", "allow"),
+    ("com/de/", "block"),
+)
+
+
+@query
+def op6_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    """Host, path, longest rule and verdict of each page."""
+    pages = table(spark, folder, "pages").select("page_id", "url")
+    return urls.judge_urls(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+ORACLES["op6_url_filters"] = r"""
+WITH rest AS (
+  SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS r FROM pages),
+hosts AS (SELECT page_id, r, regexp_extract(r, '^[^/?#]*') AS h FROM rest),
+parts AS (
+  SELECT page_id, translate(h, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(substr(r, length(h) + 1), '^[^?#]*') AS path FROM hosts),
+rules(rule, rule_host, rule_path, verdict) AS (VALUES
+  ('org/', 'org', '/', 'allow'), ('example.org/es/', 'example.org', '/es/', 'block'),
+  ('example.org/en/1', 'example.org', '/en/1', 'block'), ('com/fr/', 'com', '/fr/', 'allow'),
+  ('com/de/', 'com', '/de/', 'block'))
+SELECT p.page_id, p.host, p.path, max_by(r.rule, length(r.rule)) AS rule,
+       coalesce(max_by(r.verdict, length(r.rule)), 'allow') AS verdict
+FROM parts p LEFT JOIN rules r
+  ON (p.host = r.rule_host OR ends_with(p.host, '.' || r.rule_host)) AND starts_with(p.path, r.rule_path)
+GROUP BY p.page_id, p.host, p.path
+"""
+
+# What the two tools of the query accept.
+CALL_SCHEMAS = {
+    name: {
+        "properties": {
+            "text": {"type": "string", "maxLength": 600},
+            "words": {"type": "integer", "minimum": 5},
+        },
+        "required": ["text", "words"],
+        "additionalProperties": False,
+    }
+    for name in ("open", "continue")
+}
+
+
+@query
+def op2_tool_call_linking(spark: SparkSession, folder: str) -> DataFrame:
+    """Each user turn as a tool call, the assistant turn after it as its result.
+
+    A call builds on the call two turns before it.
+    """
+    turns = table(spark, folder, "conversations")
+    name = lambda turn: F.concat_ws("-", F.col("conv_id").cast("string"), turn.cast("string"))
+    words = mixing.word_count(F.col("text"))
+    calls = turns.where("role = 'user'").select(
+        F.col("conv_id").alias("conversation"),
+        name(F.col("turn")).alias("call_id"),
+        F.when(F.col("turn") >= 2, name(F.col("turn") - 2)).alias("after"),
+        F.col("turn").alias("seq"),
+        F.when(F.col("turn") == 0, "open").otherwise("continue").alias("tool"),
+        F.to_json(F.struct(words.alias("words"), "text")).alias("arguments"),
+    )
+    results = turns.where("role = 'assistant'").select(
+        F.col("conv_id").alias("conversation"),
+        name(F.col("turn") - 1).alias("call_id"),
+        F.col("turn").alias("seq"),
+        F.col("text").alias("result"),
+    )
+    linked = chat.link_calls(calls, results, CALL_SCHEMAS)
+    return linked.withColumnRenamed("conversation", "conv_id")
+
+
+ORACLES["op2_tool_call_linking"] = r"""
+WITH RECURSIVE calls AS (
+  SELECT conv_id, conv_id || '-' || turn AS call_id, CASE WHEN turn >= 2 THEN conv_id || '-' || (turn - 2) END AS after,
+         turn AS seq, CASE WHEN turn = 0 THEN 'open' ELSE 'continue' END AS tool, text,
+         len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words
+  FROM conversations WHERE role = 'user'),
+results AS (
+  SELECT conv_id, conv_id || '-' || (turn - 1) AS call_id, turn AS seq, text AS result
+  FROM conversations WHERE role = 'assistant'),
+leveled AS (
+  SELECT conv_id, call_id, 0 AS level FROM calls c
+  WHERE NOT EXISTS (SELECT 1 FROM calls p WHERE p.conv_id = c.conv_id AND p.call_id = c.after)
+  UNION ALL
+  SELECT c.conv_id, c.call_id, l.level + 1 FROM calls c JOIN leveled l ON c.conv_id = l.conv_id AND c.after = l.call_id),
+linked AS (
+  SELECT coalesce(c.conv_id, r.conv_id) AS conv_id, coalesce(c.call_id, r.call_id) AS call_id,
+         coalesce(c.seq, r.seq) AS seq, c.after, c.tool, c.text, c.words, r.result,
+         CASE WHEN c.call_id IS NULL THEN 'no_call' WHEN r.call_id IS NULL THEN 'no_result' ELSE 'linked' END AS status
+  FROM calls c FULL JOIN results r ON c.conv_id = r.conv_id AND c.call_id = r.call_id)
+SELECT k.conv_id, k.call_id, k.seq, l.level, k.status,
+       concat_ws('; ', CASE WHEN length(k.text) > 600 THEN 'text is longer than 600' END,
+                       CASE WHEN k.words < 5 THEN 'words is below 5' END) AS errors,
+       '{"after":' || coalesce(to_json(k.after)::VARCHAR, 'null')
+       || ',"arguments":' || CASE WHEN k.tool IS NULL THEN 'null'
+            ELSE '{"text":' || to_json(k.text)::VARCHAR || ',"words":' || k.words || '}' END
+       || ',"id":' || to_json(k.call_id)::VARCHAR || ',"result":' || coalesce(to_json(k.result)::VARCHAR, 'null')
+       || ',"tool":' || coalesce(to_json(k.tool)::VARCHAR, 'null') || '}' AS json
+FROM linked k LEFT JOIN leveled l ON k.conv_id = l.conv_id AND k.call_id = l.call_id
+"""
