@@ -1,17 +1,65 @@
-"""Stages over documents; each is written and read again as the documents of the next."""
+"""From raw documents to packed sequences.
+
+Each stage takes all that the one before it kept; ``run`` writes its result to shared storage and
+reads it again, so a lost executor repeats at most one stage. All stages but the last return the
+columns of ``documents``.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from orderloom.llm import line_dedup, minhash, mixing, packing, quality, tokens
+from orderloom.llm.queries import SEQUENCE_TOKENS, vocabulary
 from orderloom.session import materialise
 
-STAGES = []
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules keep; the line field is trained on the labelled ones."""
+    model = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality.judge(docs, model, into="_quality").where("_quality.kept").select(docs.columns)
+
+
+def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents without the lines of runs that stand in an earlier one; ``n_chars`` counted anew."""
+    left = line_dedup.dedup_lines(docs)
+    return left.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document of smallest identifier of each near-duplicate group; null identifiers stay."""
+    found = minhash.near_duplicates(docs)
+    copies = found.where("id != component").select(F.col("id").alias("doc_id")).distinct()
+    return docs.join(copies, "doc_id", "left_anti").select(docs.columns)
+
+
+def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix of sources takes it."""
+    sized = docs.withColumn("_words", mixing.word_count(F.col("text")))
+    return mixing.repeated(mixing.mix(sized, F.col("_words"))).select(docs.columns)
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents and where they lie in sequences of 2048 tokens."""
+    pieces = tokens.token_pieces(F.col("text"), vocabulary(), SEQUENCE_TOKENS)
+    return packing.pack(docs.select("doc_id", F.inline(pieces)), "length", SEQUENCE_TOKENS)
+
+
+STAGES = [
+    ("quality", quality_rules),
+    ("lines", line_dedup_stage),
+    ("near", near_dedup),
+    ("mix", source_mixing),
+    ("pack", best_fit_packing),
+]
+
+# The trained field, the signatures and the rounding are beyond SQL; tests compare each stage with plain Python.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply all stages to ``documents``."""
+    """All stages over ``documents``: one row per packed piece."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         docs = materialise(stage(spark, docs, sf_dir), f"stage-{name}")
