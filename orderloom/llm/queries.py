@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import chat, line_dedup, minhash, mixing, packing, pivots, quality, tokens, urls
+from orderloom.llm import chat, line_dedup, minhash, mixing, packing, pivots, quality, suffixes, tokens, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -232,3 +232,13 @@ SELECT k.conv_id, k.call_id, k.seq, l.level, k.status,
        || ',"tool":' || coalesce(to_json(k.tool)::VARCHAR, 'null') || '}' AS json
 FROM linked k LEFT JOIN leveled l ON k.conv_id = l.conv_id AND k.call_id = l.call_id
 """
+
+
+@query
+def op5_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Each document without the bytes of 100-byte strings that begin earlier too."""
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    left = suffixes.remove_repeats(documents, length=100)
+    return left.select(
+        "doc_id", "left.n_bytes", "left.n_removed", "left.n_spans", F.sha2("left.kept", 256).alias("kept_sha256")
+    )

@@ -38,7 +38,8 @@ _BYTE_VALUES = mix(np.arange(1, 257, dtype=np.uint64) * _STEP)
 
 def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of all texts and the offset of each; one more offset than texts."""
-    texts = pc.fill_null(texts, "").cast(pa.large_string())
+    wide = pa.large_binary() if pa.types.is_large_binary(texts.type) else pa.large_string()
+    texts = pc.fill_null(texts, b"" if wide == pa.large_binary() else "").cast(wide)
     _, offsets, data = texts.buffers()
     if not len(texts):
         return np.zeros(0, np.uint8), np.zeros(1, np.int64)
@@ -100,19 +101,35 @@ def lines(data: np.ndarray, offsets: np.ndarray) -> Runs:
     return Runs(starts[by_start], ends[by_end], starts_of[by_start])
 
 
+def _powers(base: np.uint64, n: int) -> np.ndarray:
+    """The powers of ``base`` up to ``n``; those for a slice are kept."""
+    if n > SLICE_BYTES + 4096:
+        out = np.full(n + 1, base, np.uint64)
+        out[0] = 1
+        return np.cumprod(out, out=out)
+    if base not in _KEPT:
+        _KEPT[base] = _powers(base, SLICE_BYTES + 4097)
+    return _KEPT[base]
+
+
+_KEPT: dict[np.uint64, np.ndarray] = {}
+
+
+def prefix_sums(data: np.ndarray) -> np.ndarray:
+    """Sums from which ``span_hashes`` takes the hash of any byte range."""
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_BYTE_VALUES[data] * _powers(_STEP, len(data))[: len(data)], out=sums[1:])
+    return sums
+
+
+def span_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each byte range, the same wherever the bytes stand."""
+    value = (sums[ends] - sums[starts]) * _powers(_STEP_BACK, len(sums))[starts]
+    return mix(value + (ends - starts).astype(np.uint64))
+
+
 def hashes(data: np.ndarray, runs: Runs) -> np.ndarray:
-    """A 64-bit hash of the bytes of each run, the same wherever the bytes stand."""
-    n = len(data)
-    powers = np.full(n + 1, _STEP, np.uint64)
-    powers[0] = 1
-    np.cumprod(powers, out=powers)
-    back = np.full(n + 1, _STEP_BACK, np.uint64)
-    back[0] = 1
-    np.cumprod(back, out=back)
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(_BYTE_VALUES[data] * powers[:n], out=sums[1:])
-    value = (sums[runs.ends] - sums[runs.starts]) * back[runs.starts]
-    return mix(value + (runs.ends - runs.starts).astype(np.uint64))
+    return span_hashes(prefix_sums(data), runs.starts, runs.ends)
 
 
 def shingles(word_hashes: np.ndarray, text: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
