@@ -17,6 +17,11 @@ START = (5.0, 5.0)
 HORIZON_DAYS = 30
 # A squared error this small against the squared data is rounding, not misfit.
 _ROUNDING = 1e-26
+# Relative step from which on the full step is taken, growth of the squared error that is rounding,
+# and the step below which one that does not shrink is rounding too.
+_NEAR = 1e-4
+_LEVEL = 1e-10
+_ROUNDED_STEP = 1e-9
 
 
 @dataclass(frozen=True)
@@ -101,7 +106,7 @@ def fit(
     summary: DataFrame,
     a_init: float = START[0],
     b_init: float = START[1],
-    tolerance: float = 1e-10,
+    tolerance: float = 1e-12,
     max_passes: int = 100,
     stored: bool = False,
 ) -> ForecastModel:
@@ -140,6 +145,10 @@ def fit(
         scored = [(s["sse"], c, s) for c, s in zip(ok, _normal_sums(points, u, ok)) if math.isfinite(s["sse"])]
         return min(scored, key=lambda item: item[0]) if scored else None
 
+    def relative(step, level: float, rate: float) -> float:
+        size = max(abs(step[0]) / max(abs(level), 1e-300), abs(step[1]) / max(abs(rate), 1e-6))
+        return size if math.isfinite(size) else math.inf
+
     def model(level: float, rate: float, sse: float) -> ForecastModel:
         b = rate / sd
         return ForecastModel(level * math.exp(-b * mean), b, sse, n)
@@ -153,20 +162,23 @@ def fit(
         if sse <= _ROUNDING * seen["yy"]:
             return model(level, rate, sse)
         steps = [_step(sums, t) for t in (0.0, damping, damping * 1e2, damping * 1e4)]
-        found = best([(level + dl, rate + dr) for dl, dr in steps])
-        if found is None or not found[0] < sse:
-            settled = any(abs(dl) <= 1e-6 * abs(level) and abs(dr) <= 1e-6 for dl, dr in steps)
-            if settled or damping > 1e12:
+        # Near the optimum the squared error is flat and cannot tell steps apart; the full step,
+        # which follows from the gradient, is exact there and is taken while the error stays level.
+        near = relative(steps[0], level, rate) <= _NEAR
+        found = best([(level + dl, rate + dr) for dl, dr in (steps[:1] if near else steps)])
+        if found is None or not found[0] < sse * (1 + _LEVEL if near else 1):
+            if near or damping > 1e12:
                 return model(level, rate, sse)
             damping *= 1e6
             continue
-        move = max(abs(found[1][0] - level) / max(abs(level), 1e-300), abs(found[1][1] - rate))
+        move = relative((found[1][0] - level, found[1][1] - rate), level, rate)
         sse, (level, rate), sums = found
         damping = max(damping / 10, 1e-12)
-        # Steps shrink by a steady factor near the optimum, which bounds what is left to go.
+        # Steps shrink by a steady factor near the optimum, which bounds what is left to go. Small
+        # steps that no longer shrink are the rounding of the gradient.
         shrink = move / before if before else 1.0
         left = move * shrink / (1 - shrink) if 0 < shrink < 0.5 else move
-        if left <= tolerance:
+        if left <= tolerance or (move <= _ROUNDED_STEP and shrink >= 0.5):
             return model(level, rate, sse)
         before = move
     raise RuntimeError(f"the curve did not settle in {max_passes} passes")

@@ -7,6 +7,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from orderloom.operators import forecast
+from orderloom.plans import queries_models
 
 START = datetime(2023, 5, 25)
 
@@ -44,6 +45,27 @@ def test_fit_is_the_least_squares_optimum(spark):
     assert model.sse == pytest.approx(float(r @ r), rel=1e-9)
 
 
+@pytest.mark.parametrize("scale", ["0.001", "0.01"])
+def test_fit_agrees_with_extended_precision(spark, scale):
+    """On the given orders the parameters are those of Newton steps in long double."""
+    days = queries_models.summary(spark, f"/root/testdata/sf{scale}")
+    model = forecast.fit(days)
+    data = days.select("order_date", "num_orders").collect()
+    ns = [np.longdouble((d - datetime(1970, 1, 1)) // timedelta(microseconds=1)) * 1000 for d, _ in data]
+    x = np.array(ns) / np.longdouble(10) ** 18 - np.longdouble(16095) / 10000
+    y = np.array([np.longdouble(int(n)) for _, n in data])
+    a, b = np.longdouble(model.a), np.longdouble(model.b)
+    for _ in range(30):
+        e = np.exp(b * x)
+        r, de, dr = y - a * e, e, a * x * e
+        ll, lr, rr = de @ de, de @ dr, dr @ dr
+        # Second derivatives make these steps Newton's, so they end at the optimum whatever its curvature.
+        lr2, rr2 = lr - r @ (x * e), rr - r @ (a * x * x * e)
+        det = ll * rr2 - lr2 * lr2
+        a, b = a + (rr2 * (de @ r) - lr2 * (dr @ r)) / det, b + (ll * (dr @ r) - lr2 * (de @ r)) / det
+    assert model.a == pytest.approx(float(a), rel=1e-11) and model.b == pytest.approx(float(b), rel=1e-11)
+
+
 def test_fit_needs_two_points(spark):
     with pytest.raises(ValueError):
         forecast.fit(summary(spark, [1.0]))
