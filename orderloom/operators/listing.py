@@ -1,7 +1,9 @@
 """Listings of changed tables: filter by reason, group by code location, render.
 
 A listing row is ``asset_path array<string>, changed_reasons array<string>,
-location string, repository string``.
+location string, repository string``. ``from_documents`` makes such rows from nested
+JSON documents. A rendering is one row per key with its position, so a group of any size
+has the same form; the document or command is the ordered concatenation of its rows.
 """
 
 from __future__ import annotations
@@ -26,8 +28,6 @@ CHANGE_REASONS = [
 DEFAULT_REASONS = "NEW,CODE_VERSION"
 WHOLE_LOCATION = "__repository__"
 
-KEYS_PER_CHUNK = 1000
-
 
 def parse_reasons(text: str) -> list[str]:
     """A comma-separated list, any case and spacing, checked against the known reasons."""
@@ -52,43 +52,63 @@ def changed_counts(changed: DataFrame) -> DataFrame:
     return changed.groupBy("location", "repository").agg(F.count(F.lit(1)).alias("n_changed"))
 
 
-def key_chunks(changed: DataFrame, keys_per_chunk: int = KEYS_PER_CHUNK) -> DataFrame:
-    """The sorted keys of each group as numbered lists of at most ``keys_per_chunk`` keys.
+def changed_totals(listing: DataFrame, reasons: str | Iterable[str] = DEFAULT_REASONS) -> DataFrame:
+    """One row: assets listed, assets with a wanted reason, and groups that have such assets."""
+    counts = changed_counts(changed_assets(listing, reasons))
+    listed = listing.agg(F.count(F.lit(1)).alias("n_listed"))
+    found = counts.agg(
+        F.coalesce(F.sum("n_changed"), F.lit(0)).alias("n_changed"), F.count(F.lit(1)).alias("n_groups")
+    )
+    return listed.join(found)
+
+
+# The form of the documents: fixed values.
+NODES = (
+    "array<struct<assetKey:struct<path:array<string>>,changedReasons:array<string>,"
+    "repository:struct<name:string,location:struct<name:string>>>>"
+)
 
-    A group of usual size is one list; one that holds a large share of all keys becomes
-    many lists of bounded size, and the lists in order are the whole.
+
+def from_documents(documents: DataFrame, column: str = "document") -> DataFrame:
+    """Listing rows of JSON documents, each an array of nested asset nodes.
+
+    A document that is no such array gives no row; an absent part of a node is NULL.
     """
-    numbered = number_rows(changed, ["asset_key"], within=["location", "repository"], column="_pos")
-    chunk = F.floor(F.col("_pos") / keys_per_chunk).cast("int")
-    return (
-        numbered.groupBy("location", "repository", chunk.alias("chunk_no"))
-        .agg(F.array_sort(F.collect_list("asset_key")).alias("asset_keys"))
+    node = F.col("node")
+    return documents.select(F.explode(F.from_json(column, NODES)).alias("node")).select(
+        node["assetKey"]["path"].alias("asset_path"),
+        node["changedReasons"].alias("changed_reasons"),
+        node["repository"]["location"]["name"].alias("location"),
+        node["repository"]["name"].alias("repository"),
     )
 
 
+def numbered_keys(changed: DataFrame) -> DataFrame:
+    """The keys of each group with their position in order, from 0."""
+    return number_rows(changed, ["asset_key"], within=["location", "repository"], column="position")
+
+
 def display_name() -> Column:
     """``location/repository``, or the location alone for its unnamed repository."""
     whole = F.col("repository") == WHOLE_LOCATION
     return F.when(whole, F.col("location")).otherwise(F.concat_ws("/", "location", "repository"))
 
 
-def render_json(changed: DataFrame, keys_per_chunk: int = KEYS_PER_CHUNK) -> DataFrame:
-    """The groups as JSON lists under their display name.
+def render_json(changed: DataFrame) -> DataFrame:
+    """The elements of the JSON list of each display name, one row per key: position and text.
 
     Of two groups with the same name the later one, by location and repository, stands.
     """
-    groups = changed_counts(changed).where(F.col("n_changed") > 0)
+    groups = changed_counts(changed).withColumn("name", display_name())
     kept = (
-        groups.withColumn("name", display_name())
-        .groupBy("name")
+        groups.groupBy("name")
         .agg(F.max(F.struct("location", "repository")).alias("g"))
         .select("name", "g.location", "g.repository")
     )
-    return (
-        key_chunks(changed, keys_per_chunk)
-        .join(kept, ["location", "repository"])
-        .select("name", "chunk_no", F.to_json("asset_keys").alias("asset_keys"))
-    )
+    # A list of one, without its brackets, is the element as JSON text.
+    element = F.regexp_replace(F.to_json(F.array("asset_key")), r"^\[|\]$", "").alias("element")
+    keys = numbered_keys(changed).join(kept, ["location", "repository"])
+    return keys.select("name", "position", element)
 
 
 def render_lines(changed: DataFrame) -> DataFrame:
@@ -97,17 +117,15 @@ def render_lines(changed: DataFrame) -> DataFrame:
     return changed.orderBy("location", "repository", "asset_key").select(line.alias("line"))
 
 
-def render_commands(
-    changed: DataFrame, job: str, launcher: str = "launch", keys_per_chunk: int = KEYS_PER_CHUNK
-) -> DataFrame:
-    """One launch command per list of keys."""
-    options = F.transform("asset_keys", lambda k: F.format_string("--asset-key 'key:\"%s\"'", k))
-    command = F.concat_ws(
-        " ", F.lit(launcher), F.lit("--location"), "location", F.lit("--job"), F.lit(job), F.array_join(options, " ")
-    )
-    return key_chunks(changed, keys_per_chunk).select(
-        "location", "repository", "chunk_no", command.alias("command")
-    )
+def render_commands(changed: DataFrame, job: str, launcher: str = "launch") -> DataFrame:
+    """The parts of the launch command of each group, one row per key, to be joined by spaces.
+
+    The part at position 0 opens with the launcher, the location and the job.
+    """
+    option = F.format_string("--asset-key 'key:\"%s\"'", "asset_key")
+    opening = F.concat_ws(" ", F.lit(launcher), F.lit("--location"), "location", F.lit("--job"), F.lit(job), option)
+    part = F.when(F.col("position") == 0, opening).otherwise(option)
+    return numbered_keys(changed).select("location", "repository", "position", part.alias("part"))
 
 
 def table_key(path: str, name: str, overrides: dict[str, str] | None = None) -> Column:

@@ -10,23 +10,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderloom.functions.joins import broadcast_if_small
-from orderloom.session import materialise
-
-# The six columns of the country table in page order.
-COUNTRY_COLUMNS = [
-    "country",
-    "Population (1 July 2022)",
-    "Population (1 July 2023)",
-    "Change",
-    "UN Continental Region[1]",
-    "UN Statistical Subregion[1]",
-]
-COUNTRY_NAMES = {
-    "Population (1 July 2022)": "pop_2022",
-    "Population (1 July 2023)": "pop_2023",
-    "UN Continental Region[1]": "continent",
-    "UN Statistical Subregion[1]": "region",
-}
+from orderloom.functions.ranks import number_rows
+
+# The columns of the country table by position; the fourth of the page is not kept.
+COUNTRY_COLUMNS = ["country", "pop_2022", "pop_2023", "change", "continent", "region"]
 
 
 def to_number(column: str):
@@ -39,7 +26,7 @@ def country_stats(cells: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
 
     Columns after the six are carried along when ``keep`` names them.
     """
-    named = cells.toDF(*COUNTRY_COLUMNS, *keep).drop("Change").withColumnsRenamed(COUNTRY_NAMES)
+    named = cells.toDF(*COUNTRY_COLUMNS, *keep).drop("change")
     return (
         named.withColumn("pop_2022", to_number("pop_2022"))
         .withColumn("pop_2023", to_number("pop_2023"))
@@ -47,21 +34,31 @@ def country_stats(cells: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def category_values(df: DataFrame, column: str, limit: int = 1000) -> list:
-    """Sorted levels of a column; more levels than ``limit`` is an error, not a cut."""
-    rows = df.select(column).where(F.col(column).isNotNull()).distinct().limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"{column} has more than {limit} levels: too many to become columns")
-    return sorted(r[0] for r in rows)
+def bad_numbers(cells: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """One row per cell with text that is no number: ``keep``, the column, its text."""
+    named = cells.toDF(*COUNTRY_COLUMNS, *keep)
+    tried = F.array(
+        *[
+            F.struct(F.lit(c).alias("column_name"), F.col(c).alias("text"), to_number(c).alias("number"))
+            for c in ("pop_2022", "pop_2023")
+        ]
+    )
+    return named.select(*keep, F.inline(tried)).where("text is not null and number is null").drop("number")
 
 
-def one_hot(df: DataFrame, column: str, values: Sequence | None = None) -> DataFrame:
-    """Replace ``column`` by one 0/1 column per level; NULL is all zeros."""
-    levels = category_values(df, column) if values is None else list(values)
-    flags = [F.coalesce((F.col(column) == v).cast("int"), F.lit(0)).alias(f"{column}_{v}") for v in levels]
+def one_hot(df: DataFrame, column: str, values: Sequence) -> DataFrame:
+    """Replace ``column`` by one 0/1 column for each stated level; NULL and other levels are all zeros."""
+    flags = [F.coalesce((F.col(column) == v).cast("int"), F.lit(0)).alias(f"{column}_{v}") for v in values]
     return df.select(*[c for c in df.columns if c != column], *flags)
 
 
+def one_hot_rows(df: DataFrame, column: str) -> DataFrame:
+    """The ones of a one-hot coding as rows, for any number of levels; NULL has none."""
+    feature = F.concat(F.lit(f"{column}_"), F.col(column).cast("string")).alias("feature")
+    others = [c for c in df.columns if c != column]
+    return df.where(F.col(column).isNotNull()).select(*others, feature, F.lit(1).alias("value"))
+
+
 def change_model(stats: DataFrame, group: str = "continent", target: str = "pop_change") -> DataFrame:
     """Least squares of ``target`` on the one-hot levels of ``group``, one row per level.
 
@@ -69,16 +66,14 @@ def change_model(stats: DataFrame, group: str = "continent", target: str = "pop_
     form: the intercept is the plain mean of the level means and a coefficient is the
     distance of its level from it. Rows without a level, if any, sit at the intercept,
     which then is their mean. Rows without a target are left out. The input is read
-    twice, for the means and for the errors against them, so it is best a stored table.
+    several times, for the means and for the errors against them, so it is best a stored
+    table; the means are a row per level and are not stored.
     """
     data = stats.dropna(subset=[target]).select(group, target)
-    means = materialise(
-        data.groupBy(group).agg(
-            F.count(F.lit(1)).alias("n"),
-            F.avg(target).alias("mean"),
-            (F.var_pop(target) * F.count(F.lit(1))).alias("within"),
-        ),
-        "group-means",
+    means = data.groupBy(group).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.avg(target).alias("mean"),
+        (F.var_pop(target) * F.count(F.lit(1))).alias("within"),
     )
     known = F.when(F.col(group).isNotNull(), F.col("mean"))
     scores = means.agg(
@@ -123,35 +118,19 @@ def group_sums(df: DataFrame, key: str) -> DataFrame:
     )
 
 
-def group_texts(df: DataFrame, key: str, limit: int = 1 << 26) -> DataFrame:
-    """Every text column of a key joined into one text, in the order of the text.
+def text_parts(df: DataFrame, key: str) -> DataFrame:
+    """The texts of a key as rows: ``key, column_name, position, part``.
 
-    One value has to fit one cell, so the length is measured first; a longer one is
-    an error that names ``text_parts`` as the way to get it.
+    The joined text of a column is its parts in order, whatever its size. NULL keys and
+    texts are dropped.
     """
     texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType) and f.name != key]
-    kept = df.where(F.col(key).isNotNull())
-    if not texts:
-        return kept.select(key).distinct()
-    sizes = kept.groupBy(key).agg(*[F.sum(F.octet_length(c)).alias(c) for c in texts])
-    longest = sizes.agg(F.max(F.greatest(F.lit(0), *texts))).first()[0] or 0
-    if longest > limit:
-        raise ValueError(f"a joined text would take {longest} bytes; read it with text_parts")
-    joined = [
-        F.coalesce(F.expr(f"listagg(`{c}`, '') within group (order by `{c}`)"), F.lit("")).alias(c)
-        for c in texts
-    ]
-    return kept.groupBy(key).agg(*joined)
-
-
-def text_parts(df: DataFrame, key: str, column: str) -> DataFrame:
-    """The joined text of a key as rows in its order, for texts of any size."""
-    rows = df.where(F.col(key).isNotNull() & F.col(column).isNotNull()).select(key, F.col(column).alias("part"))
-    return rows.orderBy(key, "part")
+    each = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("part")) for c in texts])
+    rows = df.where(F.col(key).isNotNull()).select(key, F.inline(each)).where(F.col("part").isNotNull())
+    return number_rows(rows, ["part"], within=[key, "column_name"], column="position")
 
 
 def continent_stats(stats: DataFrame, model: DataFrame) -> DataFrame:
-    """Sums of all columns per continent with the coefficient of the continent, matched by key."""
+    """Sums of all numbers per continent with the coefficient of the continent, matched by key."""
     factor = model.select("continent", F.col("coefficient").alias("pop_change_factor"))
-    sums = group_sums(stats, "continent").join(group_texts(stats, "continent"), "continent")
-    return sums.join(factor, "continent", "left")
+    return group_sums(stats, "continent").join(factor, "continent", "left")

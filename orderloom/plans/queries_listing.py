@@ -8,9 +8,6 @@ from orderloom.operators import listing, versions
 from orderloom.plans.registry import over, query
 from orderloom.sources.order_views import OrderViews
 
-KEYS = 5
-
-
 def changed(spark, folder):
     return listing.changed_assets(OrderViews(spark, folder).listing())
 
@@ -32,27 +29,55 @@ def changed_assets_lines(spark, folder):
     return listing.render_lines(changed(spark, folder))
 
 
-_CHUNKS = f"""
-    numbered as (select *, (row_number() over (partition by location, repository order by asset_key) - 1) // {KEYS}
-                        as chunk_no from changed)"""
+_NUMBERED = """
+    numbered as (select *, row_number() over (partition by location, repository order by asset_key) - 1 as position
+                 from changed)"""
 
 
-@query("changed_assets_json", over("changed", extra=_CHUNKS, then="""
+@query("changed_assets_json", over("changed", extra=_NUMBERED, then="""
     select case when repository = '__repository__' then location else location || '/' || repository end as name,
-           cast(chunk_no as integer) as chunk_no,
-           '[' || string_agg('"' || asset_key || '"', ',' order by asset_key) || ']' as asset_keys
-    from numbered group by 1, 2"""))
+           position, '"' || asset_key || '"' as element from numbered"""))
 def changed_assets_json(spark, folder):
-    return listing.render_json(changed(spark, folder), keys_per_chunk=KEYS)
-
-
-@query("changed_assets_commands", over("changed", extra=_CHUNKS, then="""
-    select location, repository, cast(chunk_no as integer) as chunk_no,
-           'launch --location ' || location || ' --job nightly '
-           || string_agg('--asset-key ''key:"' || asset_key || '"''', ' ' order by asset_key) as command
-    from numbered group by 1, 2, 3"""))
+    return listing.render_json(changed(spark, folder))
+
+
+@query("changed_assets_json_collisions", over("changed", then="""
+    select name, row_number() over (partition by name order by asset_key) - 1 as position,
+           '"' || asset_key || '"' as element
+    from (select location || '/de' as name, asset_key from changed where repository = '__repository__'
+          union all
+          select location || '/' || repository, asset_key from changed
+          where repository not in ('__repository__', 'de') or repository = 'de' and location not in (
+              select location from changed where repository = '__repository__'))"""))
+def changed_assets_json_collisions(spark, folder):
+    """The whole locations are called as the German ones are; of two groups of one name the later stands."""
+    whole = F.col("repository") == listing.WHOLE_LOCATION
+    named = F.when(whole, F.concat("location", F.lit("/de"))).otherwise(F.col("location"))
+    return listing.render_json(changed(spark, folder).withColumn("location", named))
+
+
+@query("changed_assets_commands", over("changed", extra=_NUMBERED, then="""
+    select location, repository, position,
+           case when position = 0 then 'launch --location ' || location || ' --job nightly ' else '' end
+           || '--asset-key ''key:"' || asset_key || '"''' as part from numbered"""))
 def changed_assets_commands(spark, folder):
-    return listing.render_commands(changed(spark, folder), job="nightly", keys_per_chunk=KEYS)
+    return listing.render_commands(changed(spark, folder), job="nightly")
+
+
+@query("changed_assets_nested", over("changed", then="""
+    select (select count(*) from documents) as n_listed, (select count(*) from changed) as n_changed,
+           (select count(*) from (select distinct location, repository from changed)) as n_groups"""))
+def changed_assets_nested(spark, folder):
+    """The totals of the listing read from nested documents, one for each asset."""
+    flat = OrderViews(spark, folder).listing()
+    place = F.struct(F.col("repository").alias("name"), F.struct(F.col("location").alias("name")).alias("location"))
+    node = F.struct(
+        F.struct(F.col("asset_path").alias("path")).alias("assetKey"),
+        F.col("changed_reasons").alias("changedReasons"),
+        place.alias("repository"),
+    )
+    documents = flat.select(F.to_json(F.array(node)).alias("document"))
+    return listing.changed_totals(listing.from_documents(documents))
 
 
 @query("changed_by_hash", """

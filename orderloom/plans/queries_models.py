@@ -274,8 +274,6 @@ def change_model(spark, folder):
 @query("continent_stats", over("countries", extra=_MEANS, then="""
     select s.continent, coalesce(sum(pop_2022), 0) as pop_2022, coalesce(sum(pop_2023), 0) as pop_2023,
            round(coalesce(sum(pop_change), 0), 4) as pop_change,
-           string_agg(country, '' order by country) as country,
-           string_agg(region, '' order by region) as region,
            round(max(mean) - max(m), 4) as pop_change_factor
     from countries s left join means on s.continent = means.continent cross join base
     where s.continent is not null group by 1"""))
@@ -287,10 +285,49 @@ def continent_stats(spark, folder):
     )
 
 
+@query("continent_texts", over("countries", then="""
+    select continent, column_name, row_number() over (partition by continent, column_name order by part) - 1 as position,
+           part
+    from (select continent, 'country' as column_name, country as part from countries
+          union all select continent, 'region', region from countries)
+    where continent is not null and part is not null"""))
+def continent_texts(spark, folder):
+    """The joined texts of each continent, part by part."""
+    return regression.text_parts(country_stats_frame(spark, folder), "continent")
+
+
+@query("country_bad_cells", """
+    select p_partkey, column_name, text from (
+        select p_partkey, 'pop_2022' as column_name, p_size || left(p_type, 1) as text from part where p_partkey % 3 = 0
+        union all
+        select p_partkey, 'pop_2023', p_brand from part where p_partkey % 2 = 0)""")
+def country_bad_cells(spark, folder):
+    """A country table of the parts in which every third and every second number is spoilt by letters."""
+    part = OrderViews(spark, folder).table("part")
+    size = F.col("p_size").cast("string")
+    cells = part.select(
+        "p_name",
+        F.when(F.col("p_partkey") % 3 == 0, F.concat(size, F.left("p_type", F.lit(1)))).otherwise(size).alias("a"),
+        F.when(F.col("p_partkey") % 2 == 0, F.col("p_brand")).otherwise(F.concat(F.lit(" 1,"), size)).alias("b"),
+        F.lit("x").alias("c"),
+        "p_brand",
+        "p_type",
+        "p_partkey",
+    )
+    return regression.bad_numbers(cells, keep=["p_partkey"])
+
+
 _SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 
 
 @query("one_hot", "select c_custkey as user_id, " + ", ".join(
     f"case when c_mktsegment = '{s}' then 1 else 0 end as company_{s}" for s in _SEGMENTS) + " from customer")
 def one_hot(spark, folder):
-    return regression.one_hot(OrderViews(spark, folder).raw_users().select("user_id", "company"), "company")
+    return regression.one_hot(OrderViews(spark, folder).raw_users().select("user_id", "company"), "company", _SEGMENTS)
+
+
+@query("one_hot_rows", """
+    select c_custkey as user_id, 'company_' || c_mktsegment as feature, 1 as value from customer
+    where c_mktsegment is not null""")
+def one_hot_rows(spark, folder):
+    return regression.one_hot_rows(OrderViews(spark, folder).raw_users().select("user_id", "company"), "company")

@@ -37,23 +37,37 @@ def test_renderings(nodes):
     lines = [r[0] for r in listing.render_lines(changed).collect()]
     assert lines == ["loc\t__repository__\tA/b", "loc\t__repository__\tA/z", "loc\trepo\tc", "loc/repo\t__repository__\td"]
     # Two groups share the name loc/repo: the later one stands.
-    assert rows(listing.render_json(changed)) == [("loc", 0, '["A/b","A/z"]'), ("loc/repo", 0, '["d"]')]
-    commands = dict(rows(listing.render_commands(changed, "nightly").select("location", "command").where("repository = '__repository__'")))
-    assert commands["loc"] == "launch --location loc --job nightly --asset-key 'key:\"A/b\"' --asset-key 'key:\"A/z\"'"
+    assert rows(listing.render_json(changed)) == [("loc", 0, '"A/b"'), ("loc", 1, '"A/z"'), ("loc/repo", 0, '"d"')]
+    commands = listing.render_commands(changed, "nightly").where("location = 'loc' and repository = '__repository__'")
+    whole = " ".join(r["part"] for r in commands.orderBy("position").collect())
+    assert whole == "launch --location loc --job nightly --asset-key 'key:\"A/b\"' --asset-key 'key:\"A/z\"'"
 
 
-def test_a_large_group_becomes_bounded_lists(spark):
-    nodes = spark.range(1000).select(
-        F.array(F.lit("k"), F.lpad((F.col("id") * 37 % 1000).cast("string"), 4, "0")).alias("asset_path"),
+def test_a_large_group_has_the_same_form(spark):
+    nodes = spark.range(5000).select(
+        F.array(F.lit("k"), F.lpad((F.col("id") * 37 % 5000).cast("string"), 4, "0")).alias("asset_path"),
         F.array(F.lit("NEW")).alias("changed_reasons"),
         F.when(F.col("id") % 10 < 9, "hot").otherwise("cold").alias("location"),
         F.lit("r").alias("repository"),
     )
-    chunks = listing.key_chunks(listing.changed_assets(nodes), keys_per_chunk=64).orderBy("location", "chunk_no").collect()
-    hot = [c for c in chunks if c["location"] == "hot"]
-    assert [len(c["asset_keys"]) for c in hot] == [64] * 14 + [4]
-    whole = [k for c in hot for k in c["asset_keys"]]
-    assert whole == sorted(whole) and len(set(whole)) == 900
+    keys = listing.render_json(listing.changed_assets(nodes)).where("name = 'hot/r'").orderBy("position").collect()
+    assert [k["position"] for k in keys] == list(range(4500))
+    whole = [k["element"] for k in keys]
+    assert whole == sorted(whole) and len(set(whole)) == 4500
+
+
+def test_nested_documents(spark, nodes):
+    documents = spark.createDataFrame(
+        [
+            ('[{"assetKey":{"path":["A","z"]},"changedReasons":["NEW"],"repository":{"name":"r","location":{"name":"l"}}},'
+             '{"assetKey":{"path":["q"]},"changedReasons":[]}]',),
+            ("no document",),
+            (None,),
+        ],
+        "document string",
+    )
+    assert rows(listing.from_documents(documents)) == [(["A", "z"], ["NEW"], "l", "r"), (["q"], [], None, None)]
+    assert rows(listing.changed_totals(nodes)) == [(6, 4, 3)]
 
 
 def test_keys_and_kinds(spark):
