@@ -266,7 +266,7 @@ def repeated_spans(documents: DataFrame, length: int) -> DataFrame:
     asked = scanned.where("not again")
     wanted = asked.groupBy(*_KEY).agg(F.collect_list(F.struct("name", "place")).alias("wanted"))
     contexts = materialise(
-        documents.join(wanted, _KEY).mapInArrow(
+        documents.join(wanted.hint("merge"), _KEY).mapInArrow(
             lambda batches: _contexts(batches, length), "name long, doc long, tie int, place long, bytes binary"
         ),
         "contexts",
@@ -360,5 +360,5 @@ def remove_repeats(
         }
     )
     none = F.array().cast("array<struct<start:bigint,end:bigint>>")
-    joined = keyed.join(spans, ["_doc", "_tie"], "left").withColumn("_spans", F.coalesce("_spans", none))
+    joined = keyed.join(spans.hint("merge"), ["_doc", "_tie"], "left").withColumn("_spans", F.coalesce("_spans", none))
     return joined.withColumn(into, _cut(F.col(text), F.col("_spans"))).drop("_doc", "_tie", "_spans")
