@@ -23,7 +23,7 @@ CHUNKS = 16
 ERRORS = 1
 _WIDTH = SYMBOLS // CHUNKS
 # Shingles that one task compares at a time.
-BLOCK_SHINGLES = 2_000_000
+BLOCK_SHINGLES = 500_000
 
 _MULTIPLY = texts.mix(np.arange(1, SYMBOLS + 1, dtype=np.uint64)) | np.uint64(1)
 _ADD = texts.mix(np.arange(101, SYMBOLS + 101, dtype=np.uint64))
@@ -203,8 +203,9 @@ def near_duplicates(
 
     keyed = classes.select(F.col("class").alias("b"), F.explode(chunk_keys(F.col("signature"))).alias("key"))
     first = keyed.groupBy("key").agg(F.min("b").alias("a"), F.max("b").alias("last"))
-    shared = first.where("a != last").drop("last")
-    near = components(keyed.join(shared, "key").where("a != b").select("a", "b"))
+    # Stored, so that the join reads plain shuffles, which adaptive execution can split at a common key.
+    shared = materialise(first.where("a != last").drop("last"), "keys")
+    near = components(keyed.join(shared.hint("merge"), "key").where("a != b").select("a", "b"))
 
     mass = classes.groupBy(F.col("class").alias("id")).agg(F.sum("n_shingles").alias("mass"))
     grouped = materialise(near.join(mass, "id"), "groups")
@@ -222,8 +223,9 @@ def near_duplicates(
         F.xxhash64("component", pair)
     )
     placed = placed.select("id", F.col("component").alias("group"), task.alias("task"))
+    # What meets the texts grows with them, so it is never broadcast.
     compared = (
-        held.join(placed, "id")
+        held.join(placed.hint("merge"), "id")
         .groupBy("task")
         .applyInArrow(_compare(size, percent), "a long, b long")
     )
