@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Mapping
 from dataclasses import dataclass
 from datetime import timedelta
 
@@ -96,44 +97,65 @@ def _deadlines_between(low: Column, high: Column, rule: Deadline) -> Column:
     return F.transform(starts, lambda s: from_zone(s + seconds(rule.at.total_seconds()), rule.zone))
 
 
-def freshness_deadline(df: DataFrame, ts: str, start: str, end: str, rule: Deadline) -> DataFrame:
-    """For each deadline in ``[start, end]``: rows landed in ``[deadline - lower bound, deadline]``.
+def freshness_deadlines(df: DataFrame, ts: str, start: str, end: str, rules: Mapping[str, Deadline]) -> DataFrame:
+    """For each rule and deadline in ``[start, end]``: rows landed in ``[deadline - lower bound, deadline]``.
 
-    Rows are counted per time slot first, so what goes on grows with the calendar and
-    not with the rows. A slot names the few deadlines it can serve and meets them by
-    equality; deadlines that nothing served stay with a count of zero.
+    Rows are counted once, by the finest time slot that any rule needs, so what goes on
+    grows with the calendar and not with the rows or rules. A slot names the few deadlines
+    of each rule it can serve and meets them by equality; deadlines that nothing served
+    stay with a count of zero.
     """
     low, high = ntz_literal(start), ntz_literal(end)
-    back = seconds(rule.lower_bound.total_seconds())
-    spark = df.sparkSession
-    due = (
-        spark.range(1)
-        .select(F.explode(F.array_distinct(_deadlines_between(low, high, rule))).alias("deadline"))
-        .where(F.col("deadline").between(low, high))
-    )
-    slot = math.gcd(*(int(t.total_seconds()) for t in (rule.at, rule.lower_bound, rule.offset_step)))
+    calendar = df.sparkSession.range(1)
+
+    def due_of(name: str, rule: Deadline) -> Column:
+        found = F.array_distinct(_deadlines_between(low, high, rule))
+        return F.transform(found, lambda d: F.struct(F.lit(name).alias("rule"), d.alias("deadline")))
+
+    def served_by_slot(name: str, rule: Deadline) -> Column:
+        back = seconds(rule.lower_bound.total_seconds())
+        found = F.array_distinct(_deadlines_between(F.col("_slot"), F.col("_slot") + back, rule))
+        return F.transform(
+            found,
+            lambda d: F.struct(
+                F.lit(name).alias("rule"), d.alias("deadline"), (F.col("_slot") >= d - back).alias("_late_enough")
+            ),
+        )
+
+    due = [due_of(name, rule) for name, rule in rules.items()]
+    candidates = [served_by_slot(name, rule) for name, rule in rules.items()]
+    wanted = calendar.select(F.inline(F.concat(*due))).where(F.col("deadline").between(low, high))
+    longest = max(rule.lower_bound for rule in rules.values())
+    spans = [t for rule in rules.values() for t in (rule.at, rule.lower_bound, rule.offset_step)]
+    slot = math.gcd(*(int(t.total_seconds()) for t in spans))
     times = (
-        df.where(as_ntz(ts).between(low - back, high))
+        df.where(as_ntz(ts).between(low - seconds(longest.total_seconds()), high))
         .select(as_ntz(ts).alias("_ts"), F.window(as_ntz(ts), f"{slot} seconds").alias("_w"))
         .groupBy(F.col("_w.start").alias("_slot"), (F.col("_ts") == F.col("_w.start")).alias("_exact"))
         .agg(F.count(F.lit(1)).alias("_n"))
     )
-    candidates = _deadlines_between(F.col("_slot"), F.col("_slot") + back, rule)
     # Deadlines start a slot, so within that slot only a row at its very start is in time.
     in_time = (F.col("_slot") < F.col("deadline")) | ((F.col("_slot") == F.col("deadline")) & F.col("_exact"))
     served = (
-        times.select("_slot", "_exact", "_n", F.explode(F.array_distinct(candidates)).alias("deadline"))
-        .where(in_time & (F.col("_slot") >= F.col("deadline") - back))
-        .groupBy("deadline")
+        times.select("_slot", "_exact", "_n", F.inline(F.concat(*candidates)))
+        .where(in_time & F.col("_late_enough"))
+        .groupBy("rule", "deadline")
         .agg(F.sum("_n").alias("n_rows"))
     )
-    return due.join(served, "deadline", "left").select(
+    return wanted.join(served, ["rule", "deadline"], "left").select(
+        "rule",
         "deadline",
         F.coalesce("n_rows", F.lit(0)).alias("n_rows"),
         (F.coalesce("n_rows", F.lit(0)) > 0).alias("on_time"),
     )
 
 
+def freshness_deadline(df: DataFrame, ts: str, start: str, end: str, rule: Deadline) -> DataFrame:
+    """``freshness_deadlines`` of a single rule."""
+    return freshness_deadlines(df, ts, start, end, {"": rule}).drop("rule")
+
+
+
 def arrival_gaps(df: DataFrame, key: str, ts: str, slice_width: timedelta = timedelta(days=1)) -> DataFrame:
     """Per key: number, mean, deviation and maximum of the seconds between neighbouring arrivals, and the last gap.
 

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from orderloom.operators import augment, cleaned, quality, regression, stats, windows
 from orderloom.operators.profile import annotate, column_catalog, profile_tables, tag_columns
 from orderloom.plans.registry import over, query
-from orderloom.session import materialise
+from orderloom.session import materialise, scratch_path
 from orderloom.sources.order_views import OrderViews
+from orderloom.sources.tables import TableStore
 
 WINDOW = ("1996-03-01", "1996-06-01")
 
@@ -127,7 +128,10 @@ def big_orders_observed(spark, folder):
     select placed as order_date, brand as sku, n as n_orders, revenue as total_revenue
     from brand_days where brand = 'Brand#4'"""))
 def key_product_deepdive(spark, folder):
-    one = stats.key_product_deepdive(stats.sku_stats(augmented(OrderViews(spark, folder))), "Brand#4")
+    """Item statistics in one folder per item; the folder of one item is read."""
+    store = TableStore(spark, scratch_path(spark, "by-key"))
+    store.replace_by_key(stats.sku_stats(augmented(OrderViews(spark, folder))), "marketing.key_product_deepdive", "sku")
+    one = store.read_key("marketing.key_product_deepdive", "sku", "Brand#4")
     return one.withColumn("total_revenue", money("total_revenue"))
 
 

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import json
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from orderloom.functions.timestamps import ntz_literal
 from orderloom.operators import enrichment, ingest, regression, stats
 from orderloom.plans import refresh
 from orderloom.plans.queries_models import augmented
@@ -57,21 +60,68 @@ def sink_by_key(spark, folder):
     return stored.select("order_date", "sku", "n_orders", F.round("total_revenue", 2).alias("total_revenue"))
 
 
-@query("refresh_models", over("segments", then="""
-    select user_id, round(sum(amount), 2) as total_revenue,
-           round(sum(amount) / nullif(any_value(revenue), 0), 6) as pct_revenue
-    from sales left join segments using (segment) group by user_id"""))
+@query("refresh_rebuild", over("days", then="""
+    select cast(day as timestamp) as order_date, n as n_orders, round(revenue, 2) as total_revenue
+    from days where day < date '1998-01-01'"""))
+def refresh_rebuild(spark, folder):
+    """All models rebuilt after the orders of the last year were taken out: nothing of them stays."""
+    store, v = TableStore(spark, scratch_path(spark, "warehouse")), OrderViews(spark, folder)
+    store.replace(v.raw_users(), refresh.USERS)
+    store.replace(v.raw_locations(), refresh.LOCATIONS)
+    for last in ("1999-01-01", "1998-01-01"):
+        store.replace_window(v.raw_orders().where(F.col("dt") < ntz_literal(last)), refresh.ORDERS, "dt", grain="year")
+        refresh.refresh_models(store, grain="year")
+    stored = store.read_window(refresh.ORDER_STATS)
+    return stored.select("order_date", "n_orders", F.round("total_revenue", 2).alias("total_revenue"))
+
+
+@query("refresh_models", over("sales", "segments", "brand_days", "members", "places", then="""
+    select 'cleaned.orders_cleaned' as table_name, count(*) as n_rows, round(sum(amount), 0) as total from lines
+    union all select 'cleaned.orders_aggregated', count(*), round(sum(amount), 0) from lines
+    union all select 'cleaned.users_cleaned', count(*), sum(user_id) from members
+    union all select 'cleaned.locations_cleaned', count(*), sum(c_custkey) from places
+    union all select 'analytics.orders_augmented', count(*), round(sum(amount), 0) from sales
+    union all select 'analytics.company_stats', count(*), round(sum(revenue), 0)
+        from (select placed, segment, sum(amount) as revenue from sales group by 1, 2)
+    union all select 'analytics.sku_stats', count(*), round(sum(revenue), 0)
+        from (select placed, brand, sum(amount) as revenue from sales group by 1, 2)
+    union all select 'analytics.order_stats', count(*), round(sum(revenue), 0)
+        from (select placed, sum(amount) as revenue from sales group by 1)
+    union all select 'analytics.weekly_order_summary', count(*), round(sum(n), 0)
+        from (select placed, count(*) as n from sales group by 1)
+    union all select 'analytics.company_perf', count(*), round(sum(revenue), 0) from segments
+    union all select 'marketing.top_users', count(*), round(sum(revenue), 0)
+        from (select user_id, sum(amount) as revenue from sales group by 1)
+    union all select 'marketing.avg_orders', count(*), round(sum(revenue / n), 0) from segments
+    union all select 'marketing.min_order', 1, min(n) from segments"""))
 def refresh_models(spark, folder):
-    """All models built one after another as stored tables, the dated ones by year; the last one is read."""
+    """All models built one after another as stored tables, the dated ones by year: rows and a sum of each."""
     store, v = TableStore(spark, scratch_path(spark, "warehouse")), OrderViews(spark, folder)
     store.replace_window(v.raw_orders(), refresh.ORDERS, "dt", grain="year")
     store.replace(v.raw_users(), refresh.USERS)
     store.replace(v.raw_locations(), refresh.LOCATIONS)
     refresh.refresh_models(store, grain="year")
-    shares = store.read(refresh.TOP_USERS)
-    return shares.select(
-        "user_id", F.round("total_revenue", 2).alias("total_revenue"), F.round("pct_revenue", 6).alias("pct_revenue")
-    )
+    summed = {
+        refresh.ORDERS_CLEANED: "order_total",
+        refresh.ORDERS_AGGREGATED: "order_total",
+        refresh.USERS_CLEANED: "user_id",
+        refresh.LOCATIONS_CLEANED: "user_id",
+        refresh.ORDERS_AUGMENTED: "order_total",
+        refresh.COMPANY_STATS: "total_revenue",
+        refresh.SKU_STATS: "total_revenue",
+        refresh.ORDER_STATS: "total_revenue",
+        refresh.WEEKLY_SUMMARY: "num_orders",
+        refresh.COMPANY_PERF: "total_revenue",
+        refresh.TOP_USERS: "total_revenue",
+        refresh.AVG_ORDERS: "avg_order",
+        refresh.MIN_ORDER: "min_order",
+    }
+    counted = [
+        store.read(table).agg(F.count(F.lit(1)).alias("n_rows"), F.round(F.sum(column), 0).cast("double").alias("total"))
+        .select(F.lit(table).alias("table_name"), "n_rows", "total")
+        for table, column in summed.items()
+    ]
+    return reduce(DataFrame.unionByName, counted)
 
 
 # Order headers as payload pages of one id block each; an id occurs once, so a page is bounded.
@@ -112,12 +162,48 @@ def multi_partition_load(spark, folder):
     return ingest.load_partitions(order_pages(spark, folder), RAW_ORDERS, "1996-02-01", "1996-08-01")
 
 
+def mixed_pages(spark, folder):
+    """A page for each order: good, with two spoilt values, broken off, or followed by more text."""
+    orders = OrderViews(spark, folder).table("orders")
+    kind, key = F.col("o_orderkey") % 5, F.col("o_orderkey").cast("string")
+    price = F.when(kind == 1, F.lit('"much"')).otherwise(F.col("o_totalprice").cast("string"))
+    text = F.concat(
+        F.lit('{"user_id":{"0":'), F.col("o_custkey").cast("string"), F.lit('.0},"order_id":{"0":"'), key,
+        F.lit('"},"purchase_price":{"0":'), price, F.lit('},"quantity":{"0":'),
+        F.when(kind == 1, "1.5").otherwise("2.0"), F.lit("}}"),
+    )
+    broken = F.left(text, F.length(text) - 1)
+    page = F.when(kind == 2, broken).when(kind == 3, F.concat(text, F.lit(" and more"))).otherwise(text)
+    return orders.select("o_orderkey", page.alias("payload"))
+
+
 @query("payloads_rejected", """
-    select doc_id, n_chars from documents""")
+    select o_orderkey from orders where o_orderkey % 5 in (2, 3)
+    union all select -1 - doc_id from documents""")
 def payloads_rejected(spark, folder):
-    """Plain documents are not such payloads, so every one of them is handed back."""
-    docs = OrderViews(spark, folder).table("documents").select("doc_id", "n_chars", F.col("text").alias("payload"))
-    return payloads.rejected(docs, RAW_ORDERS).select("doc_id", "n_chars")
+    """Of good, partly bad and broken pages and plain documents, those that are no payload."""
+    docs = OrderViews(spark, folder).table("documents")
+    texts = docs.select((-1 - F.col("doc_id")).alias("o_orderkey"), F.col("text").alias("payload"))
+    return payloads.rejected(mixed_pages(spark, folder).unionByName(texts), RAW_ORDERS).select("o_orderkey")
+
+
+@query("payload_bad_values", """
+    select o_orderkey, 0 as row_index, unnest(['purchase_price', 'quantity']) as column_name,
+           unnest(['much', '1.5']) as text
+    from orders where o_orderkey % 5 = 1""")
+def payload_bad_values(spark, folder):
+    return payloads.bad_values(mixed_pages(spark, folder), RAW_ORDERS)
+
+
+@query("payload_good_values", """
+    select o_orderkey, o_custkey as user_id, cast(o_orderkey as varchar) as order_id,
+           case when o_orderkey % 5 = 1 then null else 2 end as quantity,
+           case when o_orderkey % 5 = 1 then null else o_totalprice end as purchase_price
+    from orders where o_orderkey % 5 not in (2, 3)""")
+def payload_good_values(spark, folder):
+    """A spoilt value empties its own cell only; whole numbers may be written with a fraction."""
+    rows = payloads.decode(mixed_pages(spark, folder), RAW_ORDERS)
+    return rows.select("o_orderkey", "user_id", "order_id", "quantity", "purchase_price")
 
 
 _PAGE_NUMBERS = "cast(length(url) as double)", "cast(length(html) as double)"
@@ -130,6 +216,20 @@ _PAGE_NUMBERS = "cast(length(url) as double)", "cast(length(html) as double)"
     from pages""")
 def src_html_table(spark, folder):
     """Every page with a six-column table put in front of its whole text, read as the country table."""
+    return country_pages(spark, folder, behind=False)
+
+
+@query("src_html_all", f"""
+    select page_id, 'Page ' || page_id as country, {_PAGE_NUMBERS[0]} as pop_2022, {_PAGE_NUMBERS[1]} as pop_2023,
+           split_part(url, '/', 4) as continent, url as region,
+           round(({_PAGE_NUMBERS[1]} / nullif({_PAGE_NUMBERS[0]}, 0) - 1) * 100, 4) as pop_change
+    from pages""")
+def src_html_all(spark, folder):
+    """All tables of every page; the table stands behind the text, so the page is read to its end."""
+    return country_pages(spark, folder, behind=True)
+
+
+def country_pages(spark, folder, behind: bool):
     cells = [
         F.concat(F.lit("Page "), F.col("page_id").cast("string")),
         F.length("url").cast("string"),
@@ -141,8 +241,10 @@ def src_html_table(spark, folder):
     head = "<table><thead><tr>" + "".join(f"<th>c{i}</th>" for i in range(6)) + "</tr></thead><tr>"
     body = [part for cell in cells for part in (F.lit("<td>"), cell, F.lit("</td>"))]
     pages = OrderViews(spark, folder).table("pages")
-    with_table = pages.select("page_id", F.concat(F.lit(head), *body, F.lit("</tr></table>"), "html").alias("html"))
-    named = html_tables.positional(html_tables.table_rows(with_table), regression.COUNTRY_COLUMNS)
+    table = [F.lit(head), *body, F.lit("</tr></table>")]
+    with_table = pages.select("page_id", F.concat(*(["html", *table] if behind else [*table, "html"])).alias("html"))
+    rows = html_tables.table_rows(with_table, first_only=not behind)
+    named = html_tables.positional(rows, regression.COUNTRY_COLUMNS)
     cells_first = named.select(*[F.col(f"`{c}`") for c in regression.COUNTRY_COLUMNS], "page_id")
     out = regression.country_stats(cells_first, keep=["page_id"])
     return out.withColumn("pop_change", F.round("pop_change", 4))

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import time
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.functions.timestamps import nearest_hour, ntz_literal, start_of_day
@@ -9,11 +13,11 @@ from orderloom.operators import cleaned, freshness
 from orderloom.operators.usage import usage_hourly
 from orderloom.operators.windows import daily_partitions, partitions_with_rows
 from orderloom.plans.registry import over, query
-from orderloom.session import scratch_path
+from orderloom.session import materialise, scratch_path
 from orderloom.sources.order_views import OrderViews
 from orderloom.sources.tables import TableStore
-from orderloom.streaming.arrivals import append_arrivals
-from orderloom.streaming.latest import refresh_latest
+from orderloom.streaming.arrivals import append_arrivals, files_since
+from orderloom.streaming.latest import land_by_day, refresh_latest
 from orderloom.streaming.windows import run_window_counts
 
 HALF_MONTH = "2024-01-15 12:00:00"
@@ -122,11 +126,7 @@ def freshness_deadline(spark, folder):
         "hourly": freshness.HOURLY_DEADLINE,
         "monday": freshness.MONDAY_DEADLINE,
     }
-    checked = [
-        freshness.freshness_deadline(events, "ts", "2024-01-01", "2024-02-01", rule).withColumn("rule", F.lit(name))
-        for name, rule in rules.items()
-    ]
-    return checked[0].unionByName(checked[1]).unionByName(checked[2])
+    return freshness.freshness_deadlines(events, "ts", "2024-01-01", "2024-02-01", rules)
 
 
 @query("freshness_anomaly", """
@@ -203,12 +203,58 @@ def incremental_latest(spark, folder):
         return counts.agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total"))
 
     for late in (False, True):
-        _drop_files(events, landing, late)
+        cut = F.col("ts") >= ntz_literal(HALF_MONTH)
+        land_by_day(events.where(cut if late else ~cut), landing, "ts")
         refresh_latest(spark, landing, events.schema, store, "analytics.event_stats", build, "ts", f"{base}/cursor")
     rows = store.read("analytics.event_stats")
     return rows.select(F.col("ts").alias("day"), "event_type", "n", F.round("total", 2).alias("total"))
 
 
+@query("incremental_touched", """
+    select date_trunc('day', ts) as day, event_type, count(*) as n, round(sum(value), 2) as total
+    from events group by 1, 2""")
+def incremental_touched(spark, folder):
+    """Every day that an arrival has rows for is rebuilt, so late rows of earlier days count too."""
+    base = scratch_path(spark, "touched")
+    landing, store = f"{base}/landing", TableStore(spark, f"{base}/store")
+    events = OrderViews(spark, folder).table("events").select("ts", "event_type", "value")
+
+    def build(day):
+        counts = day.groupBy(start_of_day("ts").alias("ts"), "event_type")
+        return counts.agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total"))
+
+    # Uneven ids come first, so both arrivals have rows of every day.
+    ids = OrderViews(spark, folder).table("events").select("event_id", "ts", "event_type", "value")
+    for rest in (1, 0):
+        land_by_day(ids.where(F.col("event_id") % 2 == rest).select(*events.columns), landing, "ts")
+        refresh_latest(
+            spark, landing, events.schema, store, "analytics.event_stats", build, "ts", f"{base}/cursor", days="touched"
+        )
+    rows = store.read("analytics.event_stats")
+    return rows.select(F.col("ts").alias("day"), "event_type", "n", F.round("total", 2).alias("total"))
+
+
+@query("files_replaced", """
+    select 'first' as cursor, count(*) as n_rows from events where event_id % 3 = 0
+    union all select 'nothing new', 0
+    union all select 'replaced', count(*) from events where event_id % 3 = 1""")
+def files_replaced(spark, folder):
+    """A cursor by modification time: files once, nothing twice, and a replaced file again."""
+    base = scratch_path(spark, "replaced")
+    events = OrderViews(spark, folder).table("events").select("event_id", "user_id")
+    events.where("event_id % 3 = 0").write.mode("overwrite").parquet(base)
+    cursor, counts = 0, []
+    for label, rest in (("first", 0), ("nothing new", None), ("replaced", 1)):
+        if rest is not None:
+            time.sleep(1.1)  # some stores keep modification times to the second
+            events.where(F.col("event_id") % 3 == rest).write.mode("overwrite").parquet(base)
+        rows, cursor = files_since(spark, base, events.schema, cursor)
+        counted = rows.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(label).alias("cursor"), "n_rows")
+        # Stored, since the files are replaced afterwards.
+        counts.append(materialise(counted, "cursor"))
+    return reduce(DataFrame.unionByName, counts)
+
+
 @query("stream_window_counts", """
     select time_bucket(interval 6 hours, ts, timestamp '2024-01-01') as window_start, event_type,
            count(*) as n, round(sum(value), 2) as total

@@ -3,13 +3,10 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_LOCAL_SCRATCH: dict[str, str] = {}
-
 
 def build_session(name: str = "orderloom", cores: int | str | None = None, **settings) -> SparkSession:
     """A local session for tests and benchmarks; a cluster brings its own session."""
@@ -33,20 +30,29 @@ def build_session(name: str = "orderloom", cores: int | str | None = None, **set
     return spark
 
 
+def scratch_root(spark: SparkSession) -> str:
+    """The folder of this application for intermediate tables.
+
+    It lies in the shared folder that ``spark.checkpoint.dir`` names or, where none is
+    named, in the warehouse, which all executors reach as well.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{root.rstrip('/')}/orderloom/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, tag: str) -> str:
-    """A fresh path in the shared folder the session names in ``spark.checkpoint.dir``.
+    """A fresh path in the application's folder for intermediate tables."""
+    return f"{scratch_root(spark)}/{tag}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove the intermediate tables of this application.
 
-    A machine-local folder is used only by a local master that names none.
+    They outlive the frames that read them, since nothing tells when the last one is done;
+    a job calls this at its end.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        app = spark.sparkContext.applicationId
-        if app not in _LOCAL_SCRATCH:
-            _LOCAL_SCRATCH[app] = tempfile.mkdtemp(prefix="orderloom-")
-        root = _LOCAL_SCRATCH[app]
-    return f"{root.rstrip('/')}/orderloom/{tag}-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialise(df: DataFrame, tag: str) -> DataFrame:

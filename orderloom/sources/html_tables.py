@@ -9,7 +9,11 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-ROWS_SCHEMA = "page_id bigint, table_no int, row_no int, is_header boolean, cells array<string>"
+ROWS_SCHEMA = "page_id bigint, table_no int, row_no int, is_header boolean, cells array<string>, error string"
+
+# The bounds of the HTML standard for spans.
+MOST_COLUMNS = 1000
+MOST_ROWS = 65534
 
 
 class _Found(Exception):
@@ -33,9 +37,14 @@ class _TableReader(HTMLParser):
         self.carried: dict[int, tuple[int, str]] = {}
 
     @staticmethod
-    def _span(attrs: dict, name: str) -> int:
-        text = attrs.get(name) or "1"
-        return max(int(text), 1) if text.isdigit() else 1
+    def _span(attrs: dict, name: str, most: int) -> int:
+        """A span within its bounds; 0 rows are all that follow, other odd values are 1."""
+        text = (attrs.get(name) or "").strip()
+        if not (text.isascii() and text.isdecimal()):
+            return 1
+        # Longer numbers are above any bound.
+        span = most if len(text) > 9 else min(int(text), most)
+        return span or (most if name == "rowspan" else 1)
 
     def handle_starttag(self, tag, attrs):
         if tag in ("script", "style"):
@@ -62,7 +71,10 @@ class _TableReader(HTMLParser):
                 self.row = []
             found = dict(attrs)
             self.cell, self.cell_tag = [], tag
-            self.cell_span = (self._span(found, "colspan"), self._span(found, "rowspan"))
+            self.cell_span = (
+                self._span(found, "colspan", MOST_COLUMNS),
+                self._span(found, "rowspan", MOST_ROWS),
+            )
         elif tag == "br" and self.cell is not None:
             self.cell.append(" ")
 
@@ -144,18 +156,24 @@ def _read_tables(html: str, first_only: bool) -> list[list[tuple[bool, list[str]
 def table_rows(pages: DataFrame, page_id: str = "page_id", html: str = "html", first_only: bool = True) -> DataFrame:
     """Rows of the first table with text (or of all such outermost tables) of each page.
 
-    Only the two named columns reach Python; pages without a table give no row.
+    Only the two named columns reach Python; pages without a table give no row. A page that
+    cannot be read gives one row with its ``error``, which is NULL otherwise.
     """
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             found = []
             for page, text in zip(batch["page_id"], batch["html"]):
-                tables = _read_tables(text, first_only) if text else []
+                try:
+                    tables = _read_tables(text, first_only) if text else []
+                except (ValueError, AssertionError, RecursionError) as reason:
+                    found.append((page, None, None, None, None, f"{type(reason).__name__}: {reason}"))
+                    continue
                 for table_no, rows in enumerate(tables):
                     for row_no, (header, cells) in enumerate(rows):
-                        found.append((page, table_no, row_no, header, cells))
-            yield pd.DataFrame(found, columns=["page_id", "table_no", "row_no", "is_header", "cells"])
+                        found.append((page, table_no, row_no, header, cells, None))
+            out = pd.DataFrame(found, columns=["page_id", "table_no", "row_no", "is_header", "cells", "error"])
+            yield out.astype({"table_no": "Int32", "row_no": "Int32", "is_header": "boolean"})
 
     # A page with no tag of the kind cannot hold a table, so it stays out of Python.
     narrow = pages.where(F.lower(html).contains("<table")).select(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,6 +13,7 @@ from orderloom.functions.timestamps import as_ntz, ntz_literal
 from orderloom.operators.windows import in_window
 
 GRAINS = {"day": "part_day", "month": "part_month", "year": "part_year"}
+KEY_PART = "part_key"
 
 
 def part_value(ts, grain: str = "day") -> Column:
@@ -18,6 +21,23 @@ def part_value(ts, grain: str = "day") -> Column:
     return day if grain == "day" else F.trunc(day, grain)
 
 
+def check_boundary(moment: str, grain: str) -> None:
+    """Raise unless the moment is the beginning of a partition."""
+    at = datetime.fromisoformat(str(moment))
+    floor = at.replace(hour=0, minute=0, second=0, microsecond=0)
+    if grain != "day":
+        floor = floor.replace(day=1)
+    if grain == "year":
+        floor = floor.replace(month=1)
+    if at != floor:
+        raise ValueError(f"{moment} is not the beginning of a {grain}")
+
+
+def key_value(key) -> Column:
+    """The folder value of a key; the text in front keeps it from being read as a number."""
+    return F.concat(F.lit("key-"), key.cast("string"))
+
+
 class TableStore:
     """Parquet tables under ``root/schema/name``; the root is chosen per environment."""
 
@@ -69,49 +89,79 @@ class TableStore:
         """Replace the partitions of the half-open window ``[start, end)`` and no others.
 
         Rows outside the window are not written. A partition of the window that gets
-        no new row ends up empty. ``rebalance`` lets adaptive execution split a
-        partition value that holds many rows and merge small ones, so file sizes
-        follow the data. Window ends must lie on partition boundaries.
+        no new row ends up empty. Without a window the whole table is replaced.
+        ``rebalance`` lets adaptive execution split a partition value that holds many
+        rows and merge small ones, so file sizes follow the data. Window ends that are
+        no partition boundaries are an error. What was rewritten is told from the names
+        of files; no row is read for it.
         """
-        part = GRAINS[grain]
-        rows = in_window(df, expr, start, end, closed="left") if start is not None else df
+        part, windowed = GRAINS[grain], start is not None
+        if windowed:
+            check_boundary(start, grain)
+            check_boundary(end, grain)
+        rows = in_window(df, expr, start, end, closed="left") if windowed else df
         rows = rows.withColumn(part, part_value(expr, grain))
-        replacing = start is not None and self.exists(table)
-        before = self._window_files(table, part, start, end) if replacing else {}
+        before = self._window_files(table, part, start, end) if windowed else {}
         (
             rows.hint("rebalance", part)
             .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
+            .option("partitionOverwriteMode", "dynamic" if windowed else "static")
             .partitionBy(part)
             .parquet(self.path(table))
         )
-        after = self._window_files(table, part, start, end) if before else {}
+        after = self._window_files(table, part, start, end) if windowed else {}
         emptied = [value for value, files in before.items() if after.get(value) == files]
-        if start is not None and not replacing and not self.exists(table):
+        if not self._folders(table):
             # No row at all: an empty first partition still gives the new table its columns.
-            emptied = [str(start)[:10]]
+            emptied = [str(start)[:10]] if windowed else ["1970-01-01"]
         for value in emptied:
             empty = rows.drop(part).limit(0)
             empty.write.mode("overwrite").parquet(f"{self.path(table)}/{part}={value}")
-        return self.read(table)
-
-    def _window_files(self, table: str, part: str, start: str, end: str) -> dict:
-        """A hash of file names for each partition in the window: one entry per calendar partition.
+        return self.read(table, rows.schema)
+
+    def _folders(self, table: str, folder: str = "", files: bool = False) -> list[str]:
+        """Names of the partition folders of a table, or of the files in one of them."""
+        hadoop = self.spark._jvm.org.apache.hadoop.fs
+        path = hadoop.Path(f"{self.path(table)}/{folder}".rstrip("/"))
+        system = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if not system.exists(path):
+            return []
+        found = [(s.getPath().getName(), s.isDirectory()) for s in system.listStatus(path)]
+        return [name for name, is_folder in found if is_folder != files and not name.startswith(("_", "."))]
+
+    def newest_part(self, table: str, part: str) -> str | None:
+        """The highest value among the partition folders; no file is opened."""
+        values = [f.partition("=")[2] for f in self._folders(table) if f.startswith(f"{part}=")]
+        return max((v for v in values if not v.startswith("__")), default=None)
+
+    def _window_files(self, table: str, part: str, start: str, end: str) -> dict[str, list[str]]:
+        """The file names of each partition in the window: one entry per calendar partition.
 
         A replaced partition holds files of new names, so an unchanged entry marks one
         that the write did not touch.
         """
-        held = self.read(table).where((F.col(part) >= ntz_literal(start)) & (F.col(part) < ntz_literal(end)))
-        named = held.select(part, F.xxhash64("_metadata.file_name").alias("file_hash"))
-        return dict(named.groupBy(part).agg(F.max("file_hash")).collect())
+        first, last = str(start)[:10], str(end)[:10]
+        values = [f.partition("=")[2] for f in self._folders(table) if f.startswith(f"{part}=")]
+        held = [v for v in values if first <= v < last]
+        return {v: sorted(self._folders(table, f"{part}={v}", files=True)) for v in held}
 
     def replace_by_key(self, df: DataFrame, table: str, key: str) -> DataFrame:
-        """One folder per key value; only the keys present in ``df`` are replaced."""
+        """One folder per key value; only the keys present in ``df`` are replaced.
+
+        The key itself stays in the files, so it keeps its type and spelling.
+        """
         (
-            df.hint("rebalance", key)
+            df.withColumn(KEY_PART, key_value(F.col(key)))
+            .hint("rebalance", KEY_PART)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(key)
+            .partitionBy(KEY_PART)
             .parquet(self.path(table))
         )
-        return self.read(table)
+        return self.read(table).drop(KEY_PART)
+
+    def read_key(self, table: str, key: str, value) -> DataFrame:
+        """The rows of one key; only its folder is read."""
+        wanted = F.lit(value)
+        rows = self.read(table).where((F.col(KEY_PART) == key_value(wanted)) & (F.col(key) == wanted))
+        return rows.drop(KEY_PART)

@@ -74,3 +74,20 @@ def test_catalog_has_tags_and_nulls(spark):
     ]
     tagged = profile.tag_columns(got, {"user_id": "PII"})
     assert rows(tagged.select("column_name", "tag")) == [("company", None), ("user_id", "PII")]
+
+
+def test_averages_of_nothing_fail_the_check(spark):
+    none = spark.createDataFrame([], "company string, avg_order double")
+    assert [r.passed for r in quality.check_avg_orders(none).collect()] == [False]
+    some = spark.createDataFrame([("b", 1.0), (None, 90.0), ("a", 99.0)], "company string, avg_order double")
+    assert [r.passed for r in quality.check_avg_orders(some).collect()] == [False]
+    assert [r.passed for r in quality.check_avg_orders(some.where("company = 'b'")).collect()] == [True]
+
+
+def test_builds_that_agree_are_not_read(spark, tmp_path):
+    spark.range(5).selectExpr("id as a", "id as b").write.parquet(str(tmp_path / "t"))
+    same = spark.read.parquet(str(tmp_path / "t"))
+    plan = quality.schema_changes(same, same)._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan" not in plan
+    plan = quality.schema_changes(same, same.withColumnRenamed("b", "c"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "count(a" not in plan

@@ -6,6 +6,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from orderloom import session
 from orderloom.schemas import LOCATIONS_FILE, RAW_USERS
 from orderloom.sources import files, html_tables, payloads
 from orderloom.sources.tables import TableStore
@@ -147,3 +148,102 @@ def test_one_folder_per_key(spark, tmp_path, days):
     got = dict(store.read("m.k").groupBy("d").count().collect())
     assert got == {1: 3, 2: 1, 3: 3, 4: 3}
     assert store.exists("m.k") and not store.exists("m.other")
+
+
+def test_a_full_rebuild_leaves_nothing_behind(spark, tmp_path, days):
+    store = TableStore(spark, str(tmp_path))
+    store.replace_window(days, "s.t", "t")
+    assert store.replace_window(days.where("d = 2"), "s.t", "t").select("d").distinct().count() == 1
+    empty = store.replace_window(days.limit(0), "s.t", "t")
+    assert empty.count() == 0 and empty.columns == ["d", "h", "t", "part_day"]
+
+
+@pytest.mark.parametrize("ends, grain", [
+    (("2024-01-01", "2024-01-08"), "month"), (("2024-02-01", "2025-01-01"), "year"),
+    (("2024-01-01 06:00:00", "2024-01-02"), "day"),
+])
+def test_windows_that_cut_a_partition_are_refused(spark, tmp_path, days, ends, grain):
+    store = TableStore(spark, str(tmp_path))
+    store.replace_window(days, "s.t", "t", grain=grain)
+    with pytest.raises(ValueError, match="not the beginning"):
+        store.replace_window(days.limit(0), "s.t", "t", *ends, grain=grain)
+    assert store.read("s.t").count() == days.count()
+
+
+def test_keys_keep_their_spelling(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path))
+    df = spark.createDataFrame([("007", 1), ("7", 2), ("true", 3), ("2024-01-01", 4), (None, 5)], "sku string, n int")
+    assert rows(store.replace_by_key(df, "m.k", "sku").select("sku", "n")) == rows(df)
+    store.replace_by_key(spark.createDataFrame([("007", 9)], "sku string, n int"), "m.k", "sku")
+    assert rows(store.read_key("m.k", "sku", "007").select("sku", "n")) == [("007", 9)]
+    assert rows(store.read_key("m.k", "sku", "7").select("sku", "n")) == [("7", 2)]
+    plan = store.read_key("m.k", "sku", "7")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(part_key" in plan
+
+
+def test_one_bad_value_empties_one_cell(spark):
+    schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.BooleanType()), T.StructField("t", T.TimestampNTZType())])
+    pages = [
+        (1, '{"a":{"0":1,"1":"x","2":3.0,"3":1.5,"k":4},"b":{"0":true,"1":"yes"},"t":{"0":"soon","1":0}}'),
+        (2, '{"a":{"0":1}} and more'), (3, '{"a":{"0":1}},{"a":{"0":2}}'), (4, '{"a":{"0":99999999999999999999}}'), (5, '[{"a":{"0":1}}]'),
+    ]
+    df = spark.createDataFrame(pages, "page int, payload string")
+    got = {(r.page, r.row_index): (r.a, r.b, r.t) for r in payloads.decode(df, schema).collect()}
+    assert got == {
+        (1, 0): (1, True, None), (1, 1): (None, None, datetime(1970, 1, 1)), (1, 2): (3, None, None), (1, 3): (None, None, None),
+        (1, None): (4, None, None), (4, 0): (None, None, None),
+    }
+    assert rows(payloads.bad_values(df, schema)) == [
+        (1, 0, "t", "soon"), (1, 1, "a", "x"), (1, 1, "b", "yes"), (1, 3, "a", "1.5"), (4, 0, "a", "99999999999999999999"),
+    ]
+    assert [r[0] for r in rows(payloads.rejected(df, schema))] == [2, 3, 5]
+
+
+def test_odd_spans_do_not_stop_the_job(spark):
+    cells = {
+        1: "<td colspan='\u00b2'>x</td>", 2: "<td colspan=1000000000>x</td>", 3: "<td colspan=-3>x</td><td colspan='two'>y</td>",
+        4: f"<td colspan={'9' * 5000}>x</td>", 5: "<td rowspan=0>x</td><td>y</td></tr><tr><td>z</td></tr><tr><td>w</td>",
+    }
+    pages = spark.createDataFrame([(k, f"<table><tr>{c}</tr></table>") for k, c in cells.items()], "page_id long, html string")
+    got = {}
+    for r in html_tables.table_rows(pages).orderBy("page_id", "row_no").collect():
+        assert r.error is None
+        got.setdefault(r.page_id, []).append(list(r.cells))
+    assert got[1] == [["x"]] and got[3] == [["x", "y"]]
+    assert len(got[2][0]) == len(got[4][0]) == 1000
+    assert got[5] == [["x", "y"], ["x", "z"], ["x", "w"]]
+
+
+def test_a_page_that_fails_is_a_row(spark, monkeypatch):
+    def fail(html, first_only):
+        raise ValueError("odd page")
+
+    monkeypatch.setattr(html_tables, "_read_tables", fail)
+    pages = spark.createDataFrame([(1, "<table><tr><td>x</td></tr></table>")], "page_id long, html string")
+    out = html_tables.table_rows(pages)
+    assert out.collect()[0].error == "ValueError: odd page"
+    assert html_tables.positional(out, ["a"]).count() == 0
+
+
+class Settings:
+    """A session of which only settings are asked."""
+
+    def __init__(self, **settings):
+        self.conf, self.settings = self, {k.replace("_", "."): v for k, v in settings.items()}
+        self.sparkContext = self
+        self.applicationId = "app-1"
+
+    def get(self, key, default=None):
+        return self.settings.get(key, default)
+
+
+def test_scratch_lies_in_shared_folders(spark, tmp_path, monkeypatch):
+    shared = {"spark_checkpoint_dir": "s3a://b/tmp/", "spark_sql_warehouse_dir": "s3a://b/w"}
+    assert session.scratch_root(Settings(**shared)) == "s3a://b/tmp/orderloom/app-1"
+    del shared["spark_checkpoint_dir"]
+    assert session.scratch_root(Settings(**shared)) == "s3a://b/w/orderloom/app-1"
+    monkeypatch.setattr(session, "scratch_root", lambda _: f"{tmp_path}/orderloom/app")
+    assert session.materialise(spark.range(3), "t").count() == 3
+    assert len(list(tmp_path.glob("orderloom/app/t-*"))) == 1
+    session.clear_scratch(spark)
+    assert list(tmp_path.glob("orderloom/*")) == []

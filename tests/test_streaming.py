@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from orderloom.sources.tables import TableStore
 from orderloom.streaming.arrivals import append_arrivals, files_since
-from orderloom.streaming.latest import refresh_latest
+from orderloom.streaming.latest import land_by_day, refresh_latest
 from orderloom.streaming.windows import run_window_counts, window_counts
 
 SCHEMA = "t timestamp_ntz, k string, value double"
@@ -74,13 +74,27 @@ def test_only_the_latest_day_is_rebuilt(spark, tmp_path):
     def state():
         return {r["t"].day: r["n"] for r in store.read("a.t").collect()}
 
-    batch(spark, 0, 30).write.parquet(landing)
+    land_by_day(batch(spark, 0, 30), landing, "t")
     refresh_latest(spark, landing, schema, store, "a.t", build, "t", cursor)
     assert state() == {2: 6}
     # Late rows for the first day: the latest day is built again, the first is not.
-    batch(spark, 3, 2).write.mode("append").parquet(landing)
+    land_by_day(batch(spark, 3, 2), landing, "t")
     refresh_latest(spark, landing, schema, store, "a.t", build, "t", cursor)
     assert state() == {2: 6}
-    batch(spark, 30, 30).write.mode("append").parquet(landing)
+    land_by_day(batch(spark, 30, 30), landing, "t")
     refresh_latest(spark, landing, schema, store, "a.t", build, "t", cursor)
     assert state() == {2: 6, 3: 12}
+
+
+def test_touched_days_are_rebuilt(spark, tmp_path):
+    landing, cursor = str(tmp_path / "landing"), str(tmp_path / "cursor")
+    store = TableStore(spark, str(tmp_path / "store"))
+    schema = batch(spark, 0, 1).schema
+
+    def build(day):
+        return day.groupBy(F.date_trunc("day", "t").cast("timestamp_ntz").alias("t")).agg(F.count("*").alias("n"))
+
+    for first, count in ((0, 60), (3, 2), (50, 1)):
+        land_by_day(batch(spark, first, count), landing, "t")
+        refresh_latest(spark, landing, schema, store, "a.t", build, "t", cursor, days="touched")
+    assert {r["t"].day: r["n"] for r in store.read("a.t").collect()} == {1: 26, 2: 24, 3: 13}
