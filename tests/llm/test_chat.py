@@ -1,0 +1,73 @@
+"""Linking, order, validation and serialisation of tool calls."""
+
+import json
+
+import pytest
+
+from orderloom.llm import chat
+
+CALLS = "conversation long, call_id string, after string, seq long, tool string, arguments string"
+RESULTS = "conversation long, call_id string, seq long, result string"
+SCHEMAS = {
+    "add": {
+        "properties": {"a": {"type": "integer", "minimum": 0, "maximum": 9}, "b": {"type": "number"}, "c": {"enum": ["x", "y"]}},
+        "required": ["a", "b"],
+        "additionalProperties": False,
+    },
+    "say": {"properties": {"text": {"type": "string", "maxLength": 3}}},
+}
+
+
+def linked(spark, calls, results):
+    out = chat.link_calls(spark.createDataFrame(calls, CALLS), spark.createDataFrame(results, RESULTS), SCHEMAS)
+    return {(r.conversation, r.call_id, r.seq): r for r in out.collect()}
+
+
+def test_links_and_levels(spark):
+    calls = [(1, f"c{k}", f"c{k - 1}" if k else None, k, "say", '{"text":"a"}') for k in range(21)]
+    calls += [(2, "a", "b", 1, "say", "{}"), (2, "b", "a", 2, "say", "{}"), (2, "c", "b", 3, "say", "{}"), (2, "d", "gone", 4, "say", "{}")]
+    results = [(1, "c3", 9, "late"), (1, "c3", 4, "early"), (1, "lost", 5, "r"), (2, "d", 5, None), (9, "c3", 1, "other")]
+    got = linked(spark, calls, results)
+    assert [got[1, f"c{k}", k].level for k in range(21)] == list(range(21))
+    assert got[1, "c3", 3].status == "linked" and json.loads(got[1, "c3", 3].json)["result"] == "early"
+    assert got[1, "c4", 4].status == "no_result"
+    assert [got[2, c, s].status for c, s in (("a", 1), ("b", 2), ("c", 3))] == ["cycle"] * 3
+    assert got[2, "a", 1].level is None and got[2, "d", 4].level == 0 and got[2, "d", 4].status == "linked"
+    assert got[1, "lost", 5].status == got[9, "c3", 1].status == "no_call"
+    assert len(got) == 27
+
+
+def test_odd_identifiers(spark):
+    calls = [(1, "x", None, 1, "say", "{}"), (1, "x", "x", 2, "say", "{}"), (1, None, None, 3, "say", "{}"), (None, "x", None, 4, "say", "{}")]
+    results = [(1, "x", 5, "r"), (1, None, 6, "s"), (None, "x", 7, "t")]
+    got = linked(spark, calls, results)
+    assert got[1, "x", 1].level == got[1, "x", 2].level == 0
+    assert {got[k].status for k in ((1, None, 3), (None, "x", 4), (1, None, 6), (None, "x", 7))} == {"no_id"}
+    assert len(got) == 6
+    none = spark.createDataFrame([], CALLS), spark.createDataFrame([], RESULTS)
+    assert chat.link_calls(*none, SCHEMAS).count() == 0
+
+
+@pytest.mark.parametrize("tool, arguments, errors, kept", [
+    ("add", '{"b": 1.50, "a": 3}', "", '{"a":3,"b":1.5}'),
+    ("add", '{"a": true, "z": 1}', "a is no integer; b is missing; z is not known", '{"a":true,"z":1}'),
+    ("add", '{"a": -1, "b": "1", "c": "w"}', "a is below 0; b is no number; c is not allowed", '{"a":-1,"b":"1","c":"w"}'),
+    ("add", '{"a": 10, "b": 1e3}', "a is above 9", '{"a":10,"b":1000.0}'),
+    ("say", '{"text": "é\\u00e9\\n\\ud83d\\ude00x"}', "text is longer than 3", '{"text":"éé\\n\U0001f600x"}'),
+    ("say", "[1, {\"b\": null, \"a\": 2}]", "arguments are no object", '[1,{"a":2,"b":null}]'),
+    ("say", '{"a": 1, "a": 2}', "arguments are no JSON", None),
+    ("say", "{", "arguments are no JSON", None),
+    ("say", '{"a": NaN}', "arguments are no JSON", None),
+    ("say", None, "arguments are no JSON", None),
+    ("say", "[" * 100_000, "arguments are no JSON", None),
+    ("who", "{}", "unknown tool", "{}"),
+])
+def test_arguments(tool, arguments, errors, kept):
+    call = {"after": None, "arguments": arguments, "id": "i", "result": "\ud800", "tool": tool}
+    found, message = chat.format_call(call, SCHEMAS)
+    assert found == errors and list(json.loads(message)) == sorted(call)
+    if kept:
+        assert f'"arguments":{kept},' in message
+    else:
+        assert json.loads(message)["arguments"] == arguments
+    assert '"result":"?"' in message
