@@ -22,26 +22,22 @@ def augmented(v: OrderViews, sku: bool = True):
     return augment.orders_augmented(v.orders(sku), v.users(), v.locations())
 
 
-@query("top_users", over("segments", then="""
-    select user_id, round(sum(amount), 2) as total_revenue,
-           round(sum(amount) / nullif(any_value(revenue), 0), 6) as pct_revenue
-    from sales left join segments using (segment) group by user_id"""))
+@query("top_users", over("companies", then="""
+    select user_id, round(sum(order_total), 2) as total_revenue,
+           round(sum(order_total) / nullif(any_value(revenue), 0), 6) as pct_revenue
+    from sales left join companies using (company) group by user_id"""))
 def top_users(spark, folder):
     v = OrderViews(spark, folder)
     shares = stats.top_users_from_orders(v.orders(sku=False), v.users(), v.locations())
     return shares.select("user_id", money("total_revenue"), F.round("pct_revenue", 6).alias("pct_revenue"))
 
 
-@query("orders_cleaned", over("lines", then="""
-    select user_id, items as quantity, price as purchase_price, brand as sku, placed as dt, placed as dt_2,
-           placed as order_date, amount as order_total from lines"""))
+@query("orders_cleaned", over("lines", then="select * from lines"))
 def orders_cleaned(spark, folder):
     return OrderViews(spark, folder).orders()
 
 
-@query("orders_aggregated", over("lines", then="""
-    select user_id, items as quantity, price as purchase_price, brand as sku, placed as dt, placed as dt_2,
-           placed as order_date, amount as order_total from lines"""))
+@query("orders_aggregated", over("lines", then="select * from lines"))
 def orders_aggregated(spark, folder):
     return cleaned.orders_aggregated(OrderViews(spark, folder).orders())
 
@@ -52,30 +48,26 @@ def users_cleaned(spark, folder):
 
 
 @query("locations_cleaned", over("places", then="""
-    select c_custkey as user_id, c_name as street_address, n_name as state, r_name as country, zip as zip_code,
+    select c_custkey as user_id, c_name as street_address, n_name as state, r_name as country, zip_code,
            1700000000 as _sling_loaded_at from places"""))
 def locations_cleaned(spark, folder):
     return OrderViews(spark, folder).locations()
 
 
-@query("orders_augmented", over("sales", then="""
-    select user_id, items as quantity, price as purchase_price, brand as sku, placed as dt, placed as dt_2,
-           placed as order_date, amount as order_total, segment as company, nation as state, zip as zip_code
-    from sales"""))
+@query("orders_augmented", over("sales", then="select * from sales"))
 def orders_augmented(spark, folder):
     return augmented(OrderViews(spark, folder))
 
 
 @query("company_stats", over("sales", then="""
-    select placed as order_date, segment as company, count(*) as n_orders, round(sum(amount), 2) as total_revenue
+    select order_date, company, count(*) as n_orders, round(sum(order_total), 2) as total_revenue
     from sales group by all"""))
 def company_stats(spark, folder):
     out = stats.company_stats(augmented(OrderViews(spark, folder), sku=False))
     return out.withColumn("total_revenue", money("total_revenue"))
 
 
-@query("sku_stats", over("brand_days", then="""
-    select placed as order_date, brand as sku, n as n_orders, revenue as total_revenue from brand_days"""))
+@query("sku_stats", over("sku_days", then="select * from sku_days"))
 def sku_stats(spark, folder):
     return stats.sku_stats(augmented(OrderViews(spark, folder))).withColumn("total_revenue", money("total_revenue"))
 
@@ -91,19 +83,19 @@ def perf(spark, folder):
     return stats.company_perf(stats.company_stats(augmented(OrderViews(spark, folder), sku=False)))
 
 
-@query("company_perf", over("segments", then="""
-    select segment as company, n as n_orders, round(revenue, 2) as total_revenue from segments"""))
+@query("company_perf", over("companies", then="""
+    select company, n_orders, round(revenue, 2) as total_revenue from companies"""))
 def company_perf(spark, folder):
     return perf(spark, folder).withColumn("total_revenue", money("total_revenue"))
 
 
 @query("avg_orders", over("sales", then="""
-    select segment as company, round(sum(amount) / count(*), 2) as avg_order from sales group by segment"""))
+    select company, round(sum(order_total) / count(*), 2) as avg_order from sales group by company"""))
 def avg_orders(spark, folder):
     return stats.avg_orders(perf(spark, folder)).withColumn("avg_order", money("avg_order"))
 
 
-@query("min_order", over("segments", then="select min(n) as min_order from segments"))
+@query("min_order", over("companies", then="select min(n_orders) as min_order from companies"))
 def min_order(spark, folder):
     return stats.min_order(perf(spark, folder))
 
@@ -124,9 +116,8 @@ def big_orders_observed(spark, folder):
     return stats.big_orders(summary(spark, folder), capacity=35)
 
 
-@query("key_product_deepdive", over("brand_days", then="""
-    select placed as order_date, brand as sku, n as n_orders, revenue as total_revenue
-    from brand_days where brand = 'Brand#4'"""))
+@query("key_product_deepdive", over("sku_days", then="""
+    select * from sku_days where sku = 'Brand#4'"""))
 def key_product_deepdive(spark, folder):
     """Item statistics in one folder per item; the folder of one item is read."""
     store = TableStore(spark, scratch_path(spark, "by-key"))
@@ -135,9 +126,8 @@ def key_product_deepdive(spark, folder):
     return one.withColumn("total_revenue", money("total_revenue"))
 
 
-@query("preview_sku", over("brand_days", then="""
-    select placed as order_date, brand as sku, n as n_orders, revenue as total_revenue
-    from brand_days where brand = 'Brand#4' order by placed limit 5"""))
+@query("preview_sku", over("sku_days", then="""
+    select * from sku_days where sku = 'Brand#4' order by order_date limit 5"""))
 def preview_sku(spark, folder):
     one = stats.key_product_deepdive(stats.sku_stats(augmented(OrderViews(spark, folder))), "Brand#4")
     return stats.preview(one, ["order_date"], 5).withColumn("total_revenue", money("total_revenue"))
@@ -150,16 +140,16 @@ def preview_raw(spark, folder):
 
 
 @query("incremental_window", over("lines", then="""
-    select user_id, brand as sku, placed as dt, amount as order_total from lines
-    where placed between timestamp '1996-03-01' and timestamp '1996-06-01'"""))
+    select user_id, sku, dt, order_total from lines
+    where dt between timestamp '1996-03-01' and timestamp '1996-06-01'"""))
 def incremental_window(spark, folder):
     rows = cleaned.orders_cleaned(OrderViews(spark, folder).raw_orders(), *WINDOW)
     return rows.select("user_id", "sku", "dt", "order_total")
 
 
 @query("incremental_window_half_open", over("sales", then="""
-    select user_id, brand as sku, segment as company, placed as order_date, amount as order_total from sales
-    where month(placed) between 3 and 5 and year(placed) = 1996"""))
+    select user_id, sku, company, order_date, order_total from sales
+    where month(order_date) between 3 and 5 and year(order_date) = 1996"""))
 def incremental_window_half_open(spark, folder):
     v = OrderViews(spark, folder)
     rows = augment.orders_augmented(v.orders(), v.users(), v.locations(), *WINDOW, closed="left")
@@ -195,29 +185,29 @@ def profile_row_counts(spark, folder):
     return rows.select("table_name", "n_rows", F.col("n_columns").cast("bigint").alias("n_columns"))
 
 
-# Table, relation on the SQL side, column, its source there, type and tags.
+# Table, relation on the SQL side, column, type and tags.
 CATALOG = [
-    ("orders_augmented", "sales", "user_id", "user_id", "bigint", "PII"),
-    ("orders_augmented", "sales", "quantity", "items", "int", ""),
-    ("orders_augmented", "sales", "purchase_price", "price", "double", ""),
-    ("orders_augmented", "sales", "sku", "brand", "string", ""),
-    ("orders_augmented", "sales", "dt", "placed", "timestamp_ntz", ""),
-    ("orders_augmented", "sales", "dt_2", "placed", "timestamp_ntz", ""),
-    ("orders_augmented", "sales", "order_date", "placed", "timestamp_ntz", ""),
-    ("orders_augmented", "sales", "order_total", "amount", "double", ""),
-    ("orders_augmented", "sales", "company", "segment", "string", ""),
-    ("orders_augmented", "sales", "state", "nation", "string", ""),
-    ("orders_augmented", "sales", "zip_code", "zip", "string", ""),
-    ("users_cleaned", "members", "user_id", "user_id", "bigint", "PII"),
-    ("users_cleaned", "members", "created_at", "created_at", "timestamp_ntz", ""),
-    ("users_cleaned", "members", "company", "company", "string", ""),
+    ("orders_augmented", "sales", "user_id", "bigint", "PII"),
+    ("orders_augmented", "sales", "quantity", "int", ""),
+    ("orders_augmented", "sales", "purchase_price", "double", ""),
+    ("orders_augmented", "sales", "sku", "string", ""),
+    ("orders_augmented", "sales", "dt", "timestamp_ntz", ""),
+    ("orders_augmented", "sales", "dt_2", "timestamp_ntz", ""),
+    ("orders_augmented", "sales", "order_date", "timestamp_ntz", ""),
+    ("orders_augmented", "sales", "order_total", "double", ""),
+    ("orders_augmented", "sales", "company", "string", ""),
+    ("orders_augmented", "sales", "state", "string", ""),
+    ("orders_augmented", "sales", "zip_code", "string", ""),
+    ("users_cleaned", "members", "user_id", "bigint", "PII"),
+    ("users_cleaned", "members", "created_at", "timestamp_ntz", ""),
+    ("users_cleaned", "members", "company", "string", ""),
 ]
 
 
 @query("column_catalog", over("sales", "members", then=" union all ".join(
     f"select '{t}' as table_name, '{c}' as column_name, '{d}' as data_type, '{g}' as tags, "
-    f"count(*) as n_rows, sum(case when {x} is null then 1 else 0 end)::bigint as n_null from {r}"
-    for t, r, c, x, d, g in CATALOG)))
+    f"count(*) as n_rows, sum(case when {c} is null then 1 else 0 end)::bigint as n_null from {r}"
+    for t, r, c, d, g in CATALOG)))
 def catalog(spark, folder):
     v = OrderViews(spark, folder)
     tables = {"orders_augmented": augmented(v), "users_cleaned": v.users()}

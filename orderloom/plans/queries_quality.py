@@ -21,8 +21,8 @@ def flat(verdicts):
 
 
 @query("check_not_null", over("sales", then="""
-    select user_id, placed as order_date, brand as sku, amount as order_total, nation as state
-    from sales where segment is null"""))
+    select user_id, order_date, sku, order_total, state
+    from sales where company is null"""))
 def check_not_null(spark, folder):
     rows = quality.not_null(augmented(OrderViews(spark, folder)), "company")
     return rows.select("user_id", "order_date", "sku", "order_total", "state")
@@ -77,10 +77,10 @@ def check_like_all(spark, folder):
     return quality.like_patterns(users, "company", ["%U%", "%I%"], match_on="all")
 
 
-@query("check_avg_orders", over("segments", then="""
-    select 'check_avg_orders' as "check", revenue / n < 50 as passed, 'ERROR' as severity,
-           round(revenue / n, 2) as actual_average
-    from segments order by segment nulls first limit 1"""))
+@query("check_avg_orders", over("companies", then="""
+    select 'check_avg_orders' as "check", revenue / n_orders < 50 as passed, 'ERROR' as severity,
+           round(revenue / n_orders, 2) as actual_average
+    from companies order by company nulls first limit 1"""))
 def check_avg_orders(spark, folder):
     out = quality.check_avg_orders(stats.avg_orders(perf(spark, folder)))
     actual = F.col("metadata")["actual average"].cast("double")

@@ -22,7 +22,7 @@ from orderloom.sources.tables import TableStore
 
 @query("src_full_refresh", over("places", then="""
     select c_custkey as l_user_id, c_name as l_street_address, n_name as l_state, r_name as l_country,
-           zip as l_zip_code, 1700000000 as _sling_loaded_at from places"""))
+           zip_code as l_zip_code, 1700000000 as _sling_loaded_at from places"""))
 def src_full_refresh(spark, folder):
     """Locations written as CSV and loaded as a table, twice: the second load replaces the first."""
     base = scratch_path(spark, "csv")
@@ -50,8 +50,7 @@ def sink_table(spark, folder):
     return store.replace(OrderViews(spark, folder).users(), "cleaned.users_cleaned")
 
 
-@query("sink_by_key", over("brand_days", then="""
-    select placed as order_date, brand as sku, n as n_orders, revenue as total_revenue from brand_days"""))
+@query("sink_by_key", over("sku_days", then="select * from sku_days"))
 def sink_by_key(spark, folder):
     """Item statistics in one folder per item, read back as one table."""
     store = TableStore(spark, scratch_path(spark, "by-key"))
@@ -75,25 +74,25 @@ def refresh_rebuild(spark, folder):
     return stored.select("order_date", "n_orders", F.round("total_revenue", 2).alias("total_revenue"))
 
 
-@query("refresh_models", over("sales", "segments", "brand_days", "members", "places", then="""
-    select 'cleaned.orders_cleaned' as table_name, count(*) as n_rows, round(sum(amount), 0) as total from lines
-    union all select 'cleaned.orders_aggregated', count(*), round(sum(amount), 0) from lines
+@query("refresh_models", over("companies", "members", "places", then="""
+    select 'cleaned.orders_cleaned' as table_name, count(*) as n_rows, round(sum(order_total), 0) as total from lines
+    union all select 'cleaned.orders_aggregated', count(*), round(sum(order_total), 0) from lines
     union all select 'cleaned.users_cleaned', count(*), sum(user_id) from members
     union all select 'cleaned.locations_cleaned', count(*), sum(c_custkey) from places
-    union all select 'analytics.orders_augmented', count(*), round(sum(amount), 0) from sales
+    union all select 'analytics.orders_augmented', count(*), round(sum(order_total), 0) from sales
     union all select 'analytics.company_stats', count(*), round(sum(revenue), 0)
-        from (select placed, segment, sum(amount) as revenue from sales group by 1, 2)
+        from (select order_date, company, sum(order_total) as revenue from sales group by 1, 2)
     union all select 'analytics.sku_stats', count(*), round(sum(revenue), 0)
-        from (select placed, brand, sum(amount) as revenue from sales group by 1, 2)
+        from (select order_date, sku, sum(order_total) as revenue from sales group by 1, 2)
     union all select 'analytics.order_stats', count(*), round(sum(revenue), 0)
-        from (select placed, sum(amount) as revenue from sales group by 1)
+        from (select order_date, sum(order_total) as revenue from sales group by 1)
     union all select 'analytics.weekly_order_summary', count(*), round(sum(n), 0)
-        from (select placed, count(*) as n from sales group by 1)
-    union all select 'analytics.company_perf', count(*), round(sum(revenue), 0) from segments
+        from (select order_date, count(*) as n from sales group by 1)
+    union all select 'analytics.company_perf', count(*), round(sum(revenue), 0) from companies
     union all select 'marketing.top_users', count(*), round(sum(revenue), 0)
-        from (select user_id, sum(amount) as revenue from sales group by 1)
-    union all select 'marketing.avg_orders', count(*), round(sum(revenue / n), 0) from segments
-    union all select 'marketing.min_order', 1, min(n) from segments"""))
+        from (select user_id, sum(order_total) as revenue from sales group by 1)
+    union all select 'marketing.avg_orders', count(*), round(sum(revenue / n_orders), 0) from companies
+    union all select 'marketing.min_order', 1, min(n_orders) from companies"""))
 def refresh_models(spark, folder):
     """All models built one after another as stored tables, the dated ones by year: rows and a sum of each."""
     store, v = TableStore(spark, scratch_path(spark, "warehouse")), OrderViews(spark, folder)

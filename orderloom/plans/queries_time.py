@@ -64,9 +64,9 @@ def backfill_range(spark, folder):
 
 
 @query("sink_partition_overwrite", over("lines", then="""
-    select date_trunc('month', placed) as month, count(*) as n,
-           cast(sum(items + case when year(placed) = 1997 then 1 else 0 end) as bigint) as items
-    from lines where not (year(placed) = 1997 and month(placed) = 3) group by all"""))
+    select date_trunc('month', order_date) as month, count(*) as n,
+           cast(sum(quantity + case when year(order_date) = 1997 then 1 else 0 end) as bigint) as items
+    from lines where not (year(order_date) = 1997 and month(order_date) = 3) group by all"""))
 def sink_partition_overwrite(spark, folder):
     """All orders stored by month, then one year replaced: corrected, and without its March."""
     store = TableStore(spark, scratch_path(spark, "months"))

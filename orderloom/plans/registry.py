@@ -29,29 +29,31 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 # straight from the lines.
 RELATIONS = {
     "lines": """
-        select o_custkey as user_id, cast(l_quantity as integer) as items,
-               l_extendedprice / nullif(l_quantity, 0) as price, p_brand as brand, o_orderdate as placed,
-               cast(l_quantity as integer) * (l_extendedprice / nullif(l_quantity, 0)) as amount
+        select o_custkey as user_id, cast(l_quantity as integer) as quantity,
+               l_extendedprice / nullif(l_quantity, 0) as purchase_price, p_brand as sku,
+               o_orderdate as dt, o_orderdate as dt_2, o_orderdate as order_date,
+               cast(l_quantity as integer) * (l_extendedprice / nullif(l_quantity, 0)) as order_total
         from lineitem join orders on o_orderkey = l_orderkey left join part on p_partkey = l_partkey""",
     "sales": """
-        select lines.*, buyer.segment, buyer.nation, buyer.zip
+        select lines.*, buyer.company, buyer.state, buyer.zip_code
         from lines left join (
-            select c_custkey, case when c_acctbal >= 0 then c_mktsegment end as segment,
-                   (select n_name from nation where n_nationkey = c_nationkey) as nation,
-                   right('00000' || c_nationkey, 5) as zip
+            select c_custkey, case when c_acctbal >= 0 then c_mktsegment end as company,
+                   (select n_name from nation where n_nationkey = c_nationkey) as state,
+                   right('00000' || c_nationkey, 5) as zip_code
             from customer) buyer on buyer.c_custkey = lines.user_id""",
     "days": """
-        select cast(placed as date) as day, count(*) as n, sum(amount) as revenue from sales group by day""",
-    "segments": """
-        select segment, count(*) as n, sum(amount) as revenue from sales group by segment""",
-    "brand_days": """
-        select placed, brand, count(*) as n, round(sum(amount), 2) as revenue from sales group by placed, brand""",
+        select cast(order_date as date) as day, count(*) as n, sum(order_total) as revenue from sales group by day""",
+    "companies": """
+        select company, count(*) as n_orders, sum(order_total) as revenue from sales group by company""",
+    "sku_days": """
+        select order_date, sku, count(*) as n_orders, round(sum(order_total), 2) as total_revenue
+        from sales group by order_date, sku""",
     "members": """
         select c_custkey as user_id, c_mktsegment as company,
                timestamp '2023-05-25 00:00:00' + to_days(cast(c_custkey % 365 as integer)) as created_at
         from customer where c_acctbal >= 0""",
     "places": """
-        select c_custkey, c_name, right('00000' || c_nationkey, 5) as zip, n_name, r_name
+        select c_custkey, c_name, right('00000' || c_nationkey, 5) as zip_code, n_name, r_name
         from customer left join (nation left join region on r_regionkey = n_regionkey)
              on n_nationkey = c_nationkey""",
     "points": """
@@ -81,8 +83,8 @@ RELATIONS = {
 NEEDS = {
     "sales": ["lines"],
     "days": ["sales"],
-    "segments": ["sales"],
-    "brand_days": ["sales"],
+    "companies": ["sales"],
+    "sku_days": ["sales"],
     "points": ["days"],
     "loglinear": ["points"],
 }
