@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.functions.joins import BROADCAST_BYTES, measured_bytes
+from orderloom.functions.joins import BROADCAST_BYTES, small
 from orderloom.operators.windows import in_window
 
 
@@ -21,7 +21,7 @@ def orders_augmented(
     """Left join of orders with users and with locations on the user.
 
     Unmatched orders keep NULLs; a user listed twice doubles that user's orders.
-    Sides measured to be small are broadcast and the orders stay where they are.
+    Sides known or measured to be small are broadcast and the orders stay where they are.
     Larger ones are merged with each other first, which gives the same rows: the
     orders then meet a single shuffled join, whose hot users adaptive execution can split.
     """
@@ -29,7 +29,7 @@ def orders_augmented(
         orders = in_window(orders, "order_date", start, end, closed)
     company = users.select("user_id", "company")
     place = locations.select("user_id", "state", "zip_code")
-    if measured_bytes(company, place) <= broadcast_limit:
+    if small(broadcast_limit, company, place):
         joined = orders.join(F.broadcast(company), "user_id", "left")
         joined = joined.join(F.broadcast(place), "user_id", "left")
     else:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.functions.joins import BROADCAST_BYTES, broadcast_if_small, measured_bytes
+from orderloom.functions.joins import broadcast_if_small
 from orderloom.functions.timestamps import start_of_day
 from orderloom.operators.windows import in_window
 
@@ -62,8 +62,8 @@ def top_users_from_orders(orders: DataFrame, users: DataFrame, locations: DataFr
 
     Orders are summed per user before the joins; the number of user and location rows
     a user has multiplies that sum exactly as the joins would multiply the orders. The
-    per-user result also gives the company totals, so orders are read once. The totals
-    have a row per company; the company names of the users tell if they can be broadcast.
+    per-user result also gives the company totals, so orders are read once. Adaptive
+    execution knows the size of the totals before it joins them.
     """
     spent = orders.groupBy("user_id").agg(F.sum("order_total").alias("_spent"))
     memberships = users.groupBy("user_id", "company").agg(F.count(F.lit(1)).alias("_m"))
@@ -78,8 +78,6 @@ def top_users_from_orders(orders: DataFrame, users: DataFrame, locations: DataFr
         )
     )
     perf = sums.groupBy("company").agg(F.sum("_part").alias("total_revenue"))
-    if measured_bytes(users.select("company").distinct()) <= BROADCAST_BYTES:
-        perf = F.broadcast(perf)
     return _shares(sums, perf)
 
 
@@ -102,6 +100,17 @@ def avg_orders(perf: DataFrame) -> DataFrame:
     return perf.select("company", F.try_divide("total_revenue", "n_orders").alias("avg_order"))
 
 
+def dedupe_latest(df: DataFrame, key: str, at: str) -> DataFrame:
+    """The latest row of each key, for tables that are loaded again and again; a NULL time is earliest.
+
+    Of rows of one time the greatest, column by column, stays. Rows are compared in the map tasks
+    first, so a key with very many rows is one row per task.
+    """
+    latest = F.max(F.struct(F.col(at), *[F.col(c) for c in df.columns if c not in (key, at)])).alias("_row")
+    kept = df.groupBy(key).agg(latest)
+    return kept.select(*[F.col(c) if c == key else F.col(f"_row.`{c}`") for c in df.columns])
+
+
 def min_order(perf: DataFrame) -> DataFrame:
     """The smallest order count of a company, as one row."""
     return perf.agg(F.min("n_orders").alias("min_order"))

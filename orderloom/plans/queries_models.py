@@ -95,6 +95,19 @@ def avg_orders(spark, folder):
     return stats.avg_orders(perf(spark, folder)).withColumn("avg_order", money("avg_order"))
 
 
+@query("users_latest", """
+    select user_id, max(company) as company, created_at from (
+        select c_custkey % 500 as user_id, c_mktsegment as company,
+               timestamp '2023-05-25' + to_days(cast(c_custkey % 365 as integer)) as created_at from customer)
+    where (user_id, created_at) in (
+        select c_custkey % 500, max(timestamp '2023-05-25' + to_days(cast(c_custkey % 365 as integer)))
+        from customer group by 1) group by user_id, created_at""")
+def users_latest(spark, folder):
+    """Users that were loaded several times, once each."""
+    users = OrderViews(spark, folder).raw_users().select((F.col("user_id") % 500).alias("user_id"), "company", "created_at")
+    return stats.dedupe_latest(users, "user_id", "created_at")
+
+
 @query("min_order", over("companies", then="select min(n_orders) as min_order from companies"))
 def min_order(spark, folder):
     return stats.min_order(perf(spark, folder))
@@ -243,7 +256,7 @@ def check_country_stats(spark, folder):
     return quality.check_not_empty(rows, "check_country_stats").select("check", "passed")
 
 
-_MEANS = """
+MEANS = """
     means as (select continent, avg(pop_change) as mean, count(*) as n from countries
               where pop_change is not null group by 1),
     base as (select coalesce(max(case when continent is null then mean end),
@@ -254,7 +267,7 @@ _MEANS = """
                where pop_change is not null)"""
 
 
-@query("change_model", over("countries", extra=_MEANS, then="""
+@query("change_model", over("countries", extra=MEANS, then="""
     select 'continent_' || means.continent as feature, round(mean - m, 4) as coefficient,
            round(m, 4) as intercept, scores.n as n_samples, round(1 - sse / total, 4) as r2,
            round(sqrt(sse / scores.n), 4) as rmse, round(mae, 4) as mae
@@ -265,7 +278,7 @@ def change_model(spark, folder):
     return model.withColumn("coefficient", F.round("coefficient", 4))
 
 
-@query("continent_stats", over("countries", extra=_MEANS, then="""
+@query("continent_stats", over("countries", extra=MEANS, then="""
     select s.continent, coalesce(sum(pop_2022), 0) as pop_2022, coalesce(sum(pop_2023), 0) as pop_2023,
            round(coalesce(sum(pop_change), 0), 4) as pop_change,
            round(max(mean) - max(m), 4) as pop_change_factor

@@ -36,6 +36,15 @@ def check_not_null_verdict(spark, folder):
     return flat(quality.failing_rows_verdict(rows, "user_id not null", quality.ERROR))
 
 
+@query("check_not_null_failing_verdict", over("sales", then="""
+    select 'company not null' as "check", count(*) = count(company) as passed, 'ERROR' as severity,
+           'n_failing=' || (count(*) - count(company)) as metadata from sales"""))
+def check_not_null_failing_verdict(spark, folder):
+    """Orders of left-out users have no company."""
+    rows = quality.not_null(augmented(OrderViews(spark, folder), sku=False), "company")
+    return flat(quality.failing_rows_verdict(rows, "company not null", quality.ERROR))
+
+
 @query("check_greater_than_zero", """
     select c_custkey, c_name, c_acctbal from customer where c_acctbal <= 0""")
 def check_greater_than_zero(spark, folder):

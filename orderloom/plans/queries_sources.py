@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from orderloom.functions.timestamps import ntz_literal
 from orderloom.operators import enrichment, ingest, regression, stats
 from orderloom.plans import refresh
-from orderloom.plans.queries_models import augmented
+from orderloom.plans.queries_models import MEANS, augmented
 from orderloom.plans.registry import over, query
 from orderloom.schemas import LOCATIONS_FILE, RAW_ORDERS
 from orderloom.session import scratch_path
@@ -123,6 +123,34 @@ def refresh_models(spark, folder):
     return reduce(DataFrame.unionByName, counted)
 
 
+@query("country_chain", over("countries", extra=MEANS, then="""
+    select 'countries.continent_stats' as table_name, s.continent as name,
+           round(coalesce(sum(pop_change), 0), 4) as total, round(max(mean) - max(m), 4) as coefficient
+    from countries s left join means on s.continent = means.continent cross join base
+    where s.continent is not null group by 2
+    union all
+    select 'countries.change_model', 'continent_' || continent, scores.n, round(mean - m, 4)
+    from means cross join base cross join scores where continent is not null"""))
+def country_chain(spark, folder):
+    """The country job; its linear model and its result are read back from their tables."""
+    store = TableStore(spark, scratch_path(spark, "countries"))
+    refresh.run_country_chain(store, OrderViews(spark, folder).country_cells())
+    continents, model = store.read(refresh.CONTINENT_STATS), store.read(refresh.CHANGE_MODEL)
+    return continents.select(
+        F.lit(refresh.CONTINENT_STATS).alias("table_name"),
+        F.col("continent").alias("name"),
+        F.round("pop_change", 4).alias("total"),
+        F.round("pop_change_factor", 4).alias("coefficient"),
+    ).unionByName(
+        model.select(
+            F.lit(refresh.CHANGE_MODEL).alias("table_name"),
+            F.col("feature").alias("name"),
+            F.col("n_samples").cast("double").alias("total"),
+            F.round("coefficient", 4).alias("coefficient"),
+        )
+    )
+
+
 # Order headers as payload pages of one id block each; an id occurs once, so a page is bounded.
 PAGE_IDS = 512
 

@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 
-from orderloom.operators import augment, cleaned, forecast, ingest, profile, quality, stats
+from orderloom.operators import augment, cleaned, forecast, ingest, profile, quality, regression, stats
 from orderloom.operators.enrichment import enrich
 from orderloom.schemas import RAW_ORDERS, RAW_USERS
 from orderloom.sources.tables import TableStore
@@ -23,6 +23,8 @@ TOP_USERS, AVG_ORDERS = "marketing.top_users", "marketing.avg_orders"
 MIN_ORDER, DEEPDIVE = "marketing.min_order", "marketing.key_product_deepdive"
 MODEL, PREDICTED = "forecasting.order_forecast_model", "forecasting.predicted_orders"
 BIG_ORDERS, ALL_ORDERS = "forecasting.big_orders", "forecasting.all_orders"
+COUNTRY_STATS, CHANGE_MODEL = "countries.country_stats", "countries.change_model"
+CONTINENT_STATS = "countries.continent_stats"
 MODEL_STATS, ENRICHED = "forecasting.model_stats_by_month", "enrichment.enriched_data"
 
 
@@ -86,6 +88,13 @@ def run_forecast(store: TableStore, capacity: float = 50) -> forecast.ForecastMo
     return model
 
 
+def run_country_chain(store: TableStore, cells: DataFrame) -> DataFrame:
+    """The country table, its linear model and the continents with their coefficient, each stored."""
+    rows = store.replace(regression.country_stats(cells), COUNTRY_STATS)
+    model = store.replace(regression.change_model(rows), CHANGE_MODEL)
+    return store.replace(regression.continent_stats(rows, model), CONTINENT_STATS)
+
+
 def load_model(store: TableStore) -> forecast.ForecastModel:
     return forecast.ForecastModel.from_frame(store.read(MODEL))
 

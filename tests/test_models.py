@@ -4,6 +4,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from orderloom.functions import joins
 from orderloom.operators import augment, cleaned, stats, windows
 from orderloom.schemas import RAW_LOCATIONS, RAW_ORDERS, RAW_USERS
 
@@ -142,3 +143,17 @@ def test_item_filter_reaches_the_partitions(spark, raw, tmp_path):
     stats.sku_stats(augment.orders_augmented(*raw)).write.partitionBy("sku").parquet(str(tmp_path / "t"))
     one = stats.key_product_deepdive(spark.read.parquet(str(tmp_path / "t")), "s1")
     assert "PartitionFilters: [isnotnull(sku" in one._jdf.queryExecution().executedPlan().toString()
+
+
+def test_latest_row_of_each_key(spark):
+    data = [(1, "a", 1, None), (1, "b", 3, {"k": 1}), (1, "c", 2, None), (2, "x", None, None), (None, "n", 5, None), (3, "p", 1, None), (3, "q", 1, None)]
+    df = spark.createDataFrame([r[:3] for r in data], "id int, v string, t int")
+    assert rows(stats.dedupe_latest(df, "id", "t")) == [(None, "n", 5), (1, "b", 3), (2, "x", None), (3, "q", 1)]
+
+
+def test_files_tell_the_size_of_plain_tables(spark, tmp_path):
+    spark.range(1000).selectExpr("id", "id % 7 as k").write.parquet(str(tmp_path / "t"))
+    plain = spark.read.parquet(str(tmp_path / "t"))
+    assert joins.planned_bytes(plain.where("k = 3").select("id")) > 0
+    assert joins.planned_bytes(plain.groupBy("k").count()) is None
+    assert joins.small(1 << 20, plain, plain.groupBy("k").count()) and not joins.small(10, plain)
