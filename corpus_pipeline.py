@@ -22,8 +22,12 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents without the lines of runs that stand in an earlier one; ``n_chars`` counted anew."""
+    """The documents without the lines of runs that stand in an earlier one; ``n_chars`` counted anew.
+
+    A copy of which no word is left goes as a whole.
+    """
     left = line_dedup.dedup_lines(docs)
+    left = left.where((F.col("n_removed") == 0) | F.regexp_like("text", F.lit(mixing.WORD)))
     return left.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
 
 
