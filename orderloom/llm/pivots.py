@@ -179,7 +179,7 @@ def near_duplicates(
     some = F.transform("near", lambda a: F.transform(F.filter("near", lambda b: b > a), lambda b: F.struct(a.alias("p"), b.alias("q"))))
     entries = indexed.select(*keys, "id", "times", "near", F.inline(F.flatten(some)))
     lists = entries.groupBy("size", "p", "q").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    lists = lists.withColumn("blocks", F.ceil(F.col("n") / BLOCK_VECTORS).cast("int"))
+    lists = materialise(lists.withColumn("blocks", F.ceil(F.col("n") / BLOCK_VECTORS).cast("int")), "lists")
     placed = entries.join(lists, ["size", "p", "q"])
     tasks = max(1, -(-indexed.count() * NEAREST * (NEAREST - 1) // 2 // TASK_ENTRIES))
     placed = placed.withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
