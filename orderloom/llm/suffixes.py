@@ -156,8 +156,8 @@ def _contexts(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Rec
         name, place = (asked.field(k).to_numpy(zero_copy_only=False) for k in range(2))
         start = offsets[of] + (place >> 16)
         size = (place & 255) + length
-        held = data.tobytes()
-        blobs = [held[a : a + n] for a, n in zip(start.tolist(), size.tolist())]
+        held = memoryview(data)
+        blobs = [held[a : a + n].tobytes() for a, n in zip(start.tolist(), size.tolist())]
         doc, tie = (batch.column(c).to_numpy(zero_copy_only=False)[of] for c in _KEY)
         for a in range(0, len(of), 20_000):
             b = slice(a, a + 20_000)
@@ -301,6 +301,20 @@ LEFT = T.StructType(
 )
 
 
+def cut_spans(data: np.ndarray, offsets: np.ndarray, begin: np.ndarray, end: np.ndarray):
+    """Bytes, removed bytes, removed runs of each text, and the bytes left of all; spans may overlap."""
+    edge = np.zeros(len(data) + 1, np.int32)
+    np.add.at(edge, begin, 1)
+    np.add.at(edge, end, -1)
+    gone = np.cumsum(edge[:-1]) > 0
+    inner = np.ones(len(data) + 1, bool)
+    inner[offsets] = False
+    opens = gone.copy()
+    opens[1:] &= ~gone[:-1] | ~inner[1:-1]
+    within = [np.concatenate([[0], np.cumsum(flags)])[offsets] for flags in (gone, opens)]
+    return np.diff(offsets), *(np.diff(counted) for counted in within), data[~gone]
+
+
 def _cut(text: Column, spans: Column) -> Column:
     def cut(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for held, ranges in batches:
@@ -308,27 +322,27 @@ def _cut(text: Column, spans: Column) -> Column:
             found = ranges.flatten()
             begin, end = (found.field(k).to_numpy(zero_copy_only=False) for k in range(2))
             count = np.diff(ranges.offsets.to_numpy())
-            base = offsets[np.repeat(np.arange(len(held)), count)]
-            edge = np.zeros(len(data) + 1, np.int32)
-            np.add.at(edge, base + begin, 1)
-            np.add.at(edge, base + end, -1)
-            gone = np.cumsum(edge[:-1]) > 0
-            sums = np.concatenate([[0], np.cumsum(gone)])
-            opens = gone.copy()
-            inner = np.ones(len(data) + 1, bool)
-            inner[offsets] = False
-            opens[1:] &= ~gone[:-1] | ~inner[1:-1]
-            opened = np.concatenate([[0], np.cumsum(opens)])
-            size = np.diff(offsets)
-            removed = sums[offsets[1:]] - sums[offsets[:-1]]
-            kept_ends = np.concatenate([[0], np.cumsum(size - removed)])
+            place = np.concatenate([[0], np.cumsum(count)])
+            base = np.repeat(offsets[:-1], count)
+            parts = []
+            for first, last in texts.row_slices(offsets):
+                low, own = offsets[first], slice(place[first], place[last])
+                own_base = base[own] - low
+                parts.append(
+                    cut_spans(
+                        data[low : offsets[last]],
+                        offsets[first : last + 1] - low,
+                        begin[own] + own_base,
+                        end[own] + own_base,
+                    )
+                )
+            size, removed, runs, left = (np.concatenate(c) for c in zip(*parts)) if parts else [np.zeros(0, np.int64)] * 4
+            ends = np.concatenate([[0], np.cumsum(size - removed)]).astype(np.int64)
             kept = pa.Array.from_buffers(
-                pa.large_binary(), len(held), [None, pa.py_buffer(kept_ends.astype(np.int64)), pa.py_buffer(data[~gone])]
-            )
-            columns = [size, removed, opened[offsets[1:]] - opened[offsets[:-1]]]
-            yield pa.StructArray.from_arrays(
-                [*(pa.array(c.astype(np.int64)) for c in columns), kept.cast(pa.binary())], LEFT.names
+                pa.large_binary(), len(held), [None, pa.py_buffer(ends), pa.py_buffer(left.astype(np.uint8))]
             )
+            columns = [pa.array(c.astype(np.int64)) for c in (size, removed, runs)]
+            yield pa.StructArray.from_arrays([*columns, kept.cast(pa.binary())], LEFT.names)
 
     return F.arrow_udf(cut, LEFT)(text, spans)
 

@@ -49,15 +49,21 @@ def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return held, ends - base
 
 
+def row_slices(offsets: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
+    """Runs of rows (first, one past the last) of about ``limit`` bytes; a longer text is alone."""
+    first, n = 0, len(offsets) - 1
+    while first < n:
+        last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + limit, "right")) - 1)
+        last = min(last, n)
+        yield first, last
+        first = last
+
+
 def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """``buffers`` in runs of whole texts of about ``limit`` bytes, in order."""
     data, offsets = buffers(texts)
-    first = 0
-    while first < len(texts):
-        last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + limit, "right")) - 1)
-        last = min(last, len(texts))
+    for first, last in row_slices(offsets, limit):
         yield data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first]
-        first = last
 
 
 @dataclass
