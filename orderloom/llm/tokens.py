@@ -9,6 +9,7 @@ characters; other chunks are worked out each time they occur.
 
 from __future__ import annotations
 
+import functools
 import heapq
 import json
 import re
@@ -26,6 +27,9 @@ from pyspark.sql import types as T
 
 CACHE_ENTRIES = 1_000_000
 CACHE_CHARS = 48
+# A text with a run of white space as long as this is encoded by the tokenizers library itself:
+# tiktoken goes back over such runs on a stack that ends at a million characters.
+LIBRARY_WHITE = 100_000
 
 # The white space of Unicode, and the published pattern of byte-level pre-tokens.
 _WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -33,6 +37,8 @@ _PRE_TOKENS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+
 
 _CHUNKS = re.compile(f"[{_WHITE}]*[^{_WHITE}]+|[{_WHITE}]+").findall
 
+_WHITE_RUNS = re.compile(f"[{_WHITE}]+").finditer
+
 _HELD = "_orderloom_llm_held"
 
 COUNTS = T.StructType([T.StructField("n_bytes", T.LongType()), T.StructField("n_tokens", T.LongType())])
@@ -147,12 +153,14 @@ class Encoder:
     """Token ids of whole texts for a byte-level vocabulary, as the tokenizers library gives them.
 
     The vocabulary file is the library's; the ids are looked up by tiktoken, which is five times
-    as fast. Strings of added tokens become their ids.
+    as fast. Texts with ``LIBRARY_WHITE`` characters of white space in a row go to the library
+    itself. Strings of added tokens become their ids.
     """
 
     def __init__(self, path: str):
         import tiktoken
 
+        self.path = path
         spec = MergeCounter.load(path)
         bytes_of = {letter: bytes([b]) for b, letter in byte_letters().items()}
         added = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
@@ -162,7 +170,15 @@ class Encoder:
             "own", pat_str=_PRE_TOKENS, mergeable_ranks=ranks, special_tokens=added
         )
 
+    @functools.cached_property
+    def library(self):
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
+
     def __call__(self, text: str) -> np.ndarray:
+        if len(text) >= LIBRARY_WHITE and any(m.end() - m.start() >= LIBRARY_WHITE for m in _WHITE_RUNS(text)):
+            return np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32)
         return self.encoding.encode_to_numpy(text, allowed_special="all")
 
 

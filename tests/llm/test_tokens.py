@@ -52,3 +52,20 @@ def test_other_vocabularies_are_refused(tmp_path):
     (tmp_path / "v.json").write_text(json.dumps(spec))
     with pytest.raises(ValueError, match="not supported"):
         tokens.MergeCounter(str(tmp_path / "v.json"))
+
+
+@pytest.mark.parametrize("text", [
+    " " * 1_000_001 + "x", "a" + "\n" * 1_000_001, "b　<|endoftext|>" + "　\n" * 500_001 + "<|endoftext|>  é x",
+    "x" + " \t" * 50_000 + "y", "x" + " " * 99_999 + "y",
+])
+def test_long_white_space(text):
+    library = Tokenizer.from_file(PATH)
+    assert tokens.Encoder(PATH)(text).tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_pieces_of_long_white_space(spark):
+    df = spark.createDataFrame([(1, "x" + "\n" * 1_000_001), (2, "y")], "doc_id long, text string")
+    pieces = df.select("doc_id", F.inline(tokens.token_pieces(F.col("text"), PATH, 2048)))
+    got = dict(pieces.groupBy("doc_id").agg(F.sum("length")).collect())
+    ids = Tokenizer.from_file(PATH).encode("x" + "\n" * 1_000_001, add_special_tokens=False).ids
+    assert got == {1: len(ids) + 1, 2: 2}
