@@ -123,7 +123,7 @@ def levels(nodes: DataFrame) -> DataFrame:
         )
 
 
-def link_calls(calls: DataFrame, results: DataFrame, schemas: Mapping) -> DataFrame:
+def link_calls(calls: DataFrame, results: DataFrame, schemas: Mapping, every_result: bool = False) -> DataFrame:
     """One row per call, and per result without a call, with its message as canonical JSON.
 
     ``calls``: conversation, call_id, after (the call it builds on, or null), seq, tool, arguments
@@ -134,14 +134,20 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: Mapping) -> DataFr
 
     Calls and results meet by a join on the identifiers. Of several results of a call the first by seq
     counts, then by text; of calls that share an identifier the first by seq says what it comes after, and
-    each is kept as a row. A null conversation or identifier links with nothing. A conversation is never
-    gathered: it is the ordered concatenation of its rows, however long. Other columns are not used;
+    each is kept as a row. The further results are left out, or with ``every_result`` kept as well: each
+    in one more row of the first call of its identifier, by seq, after, tool and arguments, with that
+    result in its message, or in one more row without a call. A null conversation or identifier links
+    with nothing. A conversation is never gathered: it is the ordered concatenation of its rows, however long. Other columns are not used;
     empty tables give empty tables.
     """
     keys = ["conversation", "call_id"]
     calls = calls.select(*keys, "after", "seq", "tool", "arguments")
     named = F.col("conversation").isNotNull() & F.col("call_id").isNotNull()
     answers = results.select(*keys, F.struct("seq", "result").alias("answer")).where(named)
+    if every_result:
+        # Equal results count one by one; a fixed copy, so that all passes see the same ones.
+        answers = materialise(answers.groupBy(*keys, "answer").agg(F.count(F.lit(1)).alias("times")), "results")
+    given = answers
     answers = answers.groupBy(*keys).agg(F.min("answer").alias("answer"))
     nodes = calls.where(named).groupBy(*keys).agg(F.min(F.struct("seq", "after")).alias("first"))
     nodes = materialise(nodes.select(*keys, F.col("first.after").alias("after")), "calls")
@@ -155,6 +161,17 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: Mapping) -> DataFr
         .otherwise("linked"),
     )
     alone = answers.join(nodes.select(*keys), keys, "left_anti")
+    if every_result:
+        # The first result of an identifier has its rows already, so it stands here once less.
+        further = given.join(answers.withColumnRenamed("answer", "least"), keys)
+        more = (F.col("times") - F.col("answer").eqNullSafe(F.col("least")).cast("long")).cast("int")
+        further = further.select(*keys, "answer", F.explode(F.array_repeat(F.lit(0), more)).alias("_")).drop("_")
+        unit = F.struct("seq", "after", "tool", "arguments")
+        leading = calls.where(named).groupBy(*keys).agg(F.min(unit).alias("call"))
+        leading = leading.select(*keys, "call.*").join(ordered, keys)
+        status = F.when(F.col("level").isNull(), "cycle").otherwise("linked")
+        rows = rows.unionByName(further.join(leading, keys).withColumn("status", status))
+        alone = alone.unionByName(further.join(nodes.select(*keys), keys, "left_anti"))
     lonely = alone.select(
         *keys, F.lit(None).cast("string").alias("after"), F.col("answer.seq").alias("seq"),
         F.lit(None).cast("string").alias("tool"), F.lit(None).cast("string").alias("arguments"),

@@ -199,7 +199,7 @@ def op2_tool_call_linking(spark: SparkSession, folder: str) -> DataFrame:
         F.col("turn").alias("seq"),
         F.col("text").alias("result"),
     )
-    linked = chat.link_calls(calls, results, CALL_SCHEMAS)
+    linked = chat.link_calls(calls, results, CALL_SCHEMAS, every_result=True)
     return linked.withColumnRenamed("conversation", "conv_id")
 
 

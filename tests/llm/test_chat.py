@@ -2,9 +2,11 @@
 
 import json
 
+import duckdb
 import pytest
+from test_queries import same_form
 
-from orderloom.llm import chat
+from orderloom.llm import chat, queries
 
 CALLS = "conversation long, call_id string, after string, seq long, tool string, arguments string"
 RESULTS = "conversation long, call_id string, seq long, result string"
@@ -71,3 +73,31 @@ def test_arguments(tool, arguments, errors, kept):
     else:
         assert json.loads(message)["arguments"] == arguments
     assert '"result":"?"' in message
+
+
+def test_every_result_is_kept(spark):
+    calls = [(1, "a", None, 0, "say", "{}"), (1, "a", None, 3, "say", "{}"), (2, "c", "c", 1, "say", "{}")]
+    results = [(1, "a", 2, "late"), (1, "a", 1, "early"), (1, "a", 1, "early"), (1, "a", 5, None), (1, "a", 5, None)]
+    results += [(1, "lost", 4, "x"), (1, "lost", 4, "x"), (1, "lost", 6, "y"), (1, None, 7, "z"), (1, None, 7, "z")]
+    results += [(2, "c", 2, "p"), (2, "c", 3, "q")]
+    frames = spark.createDataFrame(calls, CALLS), spark.createDataFrame(results, RESULTS)
+    rows = chat.link_calls(*frames, SCHEMAS, every_result=True).collect()
+    got = sorted((r.call_id or "", r.seq, r.status, json.loads(r.json)["result"] or "") for r in rows)
+    assert got == [
+        ("", 7, "no_id", "z"), ("", 7, "no_id", "z"),
+        ("a", 0, "linked", ""), ("a", 0, "linked", ""), ("a", 0, "linked", "early"), ("a", 0, "linked", "early"),
+        ("a", 0, "linked", "late"), ("a", 3, "linked", "early"), ("c", 1, "cycle", "p"), ("c", 1, "cycle", "q"),
+        ("lost", 4, "no_call", "x"), ("lost", 4, "no_call", "x"), ("lost", 6, "no_call", "y"),
+    ]
+
+
+def test_query_equals_sql_where_assistant_turns_repeat(spark, tmp_path):
+    turns = [(1, 0, "user", "a b c d e"), (1, 1, "assistant", "r"), (1, 1, "assistant", "s"), (1, 1, "assistant", "s"),
+             (1, 2, "user", "f"), (2, 1, "assistant", "t"), (2, 1, "assistant", "u"), (2, 1, "assistant", "u")]
+    spark.createDataFrame(turns, "conv_id long, turn int, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    df = queries.QUERIES["op2_tool_call_linking"](spark, str(tmp_path))
+    with duckdb.connect() as con:
+        con.execute(f"create view conversations as select * from '{tmp_path}/conversations.parquet/*.parquet'")
+        result = con.execute(queries.ORACLES["op2_tool_call_linking"])
+        expected = same_form([d[0] for d in result.description], result.fetchall())
+    assert same_form(df.columns, [tuple(r) for r in df.collect()]) == expected and df.count() == 7
