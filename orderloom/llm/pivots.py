@@ -21,8 +21,10 @@ MOST_PIVOTS = 4096
 # pivots within one group of copies would be in another order for each of them.
 SAMPLE_TIMES = 4
 SPREAD = 0.6
-# A vector is described by so many nearest pivots; two vectors meet if they share two of them.
+# A vector is described by so many nearest pivots; two vectors meet if they share two of them. With
+# more pivots close vectors share fewer, so each doubling of NEAREST_PIVOTS adds one.
 NEAREST = 6
+NEAREST_PIVOTS = 128
 # Vectors of a list that one task compares at a time, and entries of small lists in one task.
 BLOCK_VECTORS = 2048
 TASK_ENTRIES = 20_000
@@ -63,8 +65,14 @@ def choose_pivots(classes: DataFrame) -> dict[int, np.ndarray]:
     return pivots
 
 
+def nearest_count(known: int) -> int:
+    """How many of ``known`` pivots describe a vector: 6 of 128, 11 of 4096."""
+    more = int(np.ceil(np.log2(known / NEAREST_PIVOTS))) if known > NEAREST_PIVOTS else 0
+    return min(NEAREST + more, known)
+
+
 def nearest_pivots(vector: Column, pivots: dict[int, np.ndarray]) -> Column:
-    """The numbers of the ``NEAREST`` pivots of a vector's dimension, ascending.
+    """The numbers of the ``nearest_count`` nearest pivots of a vector's dimension, ascending.
 
     With fewer than two such pivots, -1 fills up: a stand-in that all vectors of the dimension share.
     """
@@ -80,7 +88,7 @@ def nearest_pivots(vector: Column, pivots: dict[int, np.ndarray]) -> Column:
                 if known is not None:
                     rows = unit_rows(batch.take(pa.array(own)).flatten().to_numpy().reshape(len(own), size))
                     dots = rows @ known.T
-                    count = min(NEAREST, len(known))
+                    count = nearest_count(len(known))
                     near = np.sort(np.argpartition(-dots, count - 1, axis=1)[:, :count], axis=1)
                 if near.shape[1] < 2:
                     fill = np.full((len(own), 2 - near.shape[1]), -1) - np.arange(2 - near.shape[1])[::-1]
@@ -181,7 +189,8 @@ def near_duplicates(
     lists = entries.groupBy("size", "p", "q").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     lists = materialise(lists.withColumn("blocks", F.ceil(F.col("n") / BLOCK_VECTORS).cast("int")), "lists")
     placed = entries.join(lists, ["size", "p", "q"])
-    tasks = max(1, -(-indexed.count() * NEAREST * (NEAREST - 1) // 2 // TASK_ENTRIES))
+    most = max([NEAREST, *(nearest_count(len(known)) for known in pivots.values())])
+    tasks = max(1, -(-indexed.count() * most * (most - 1) // 2 // TASK_ENTRIES))
     placed = placed.withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     placed = placed.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     pair = F.struct(F.least("own", "with").alias("low"), F.greatest("own", "with").alias("high"))

@@ -82,3 +82,19 @@ def test_recall(spark):
     links = sum(n for n, _ in found(df).values()) / 2
     exact = (np.triu(both @ both.T, 1) >= 0.9).sum()
     assert links <= exact and links >= 0.9 * exact, links / exact
+
+
+def test_recall_at_most_pivots(spark, monkeypatch):
+    """Links at the threshold are found with as many pivots as there can be."""
+    rng = np.random.default_rng(9)
+    known = pivots.unit_rows(rng.normal(size=(pivots.MOST_PIVOTS, 64)))
+    monkeypatch.setattr(pivots, "choose_pivots", lambda classes: {64: known})
+    base = pivots.unit_rows(rng.normal(size=(1500, 64)))
+    other = rng.normal(size=base.shape)
+    other = pivots.unit_rows(other - (other * base).sum(1, keepdims=True) * base)
+    angle = np.arccos(rng.uniform(0.9, 0.91, (len(base), 1)))
+    both = np.concatenate([base, np.cos(angle) * base + np.sin(angle) * other])
+    df = spark.createDataFrame([(k, v.tolist(), 0) for k, v in enumerate(both)], "vec_id long, embedding array<double>, label int")
+    links = sum(n for n, _ in found(df).values()) / 2
+    exact = (np.triu(both @ both.T, 1) >= 0.9).sum()
+    assert links <= exact and links >= 0.97 * exact, links / exact
