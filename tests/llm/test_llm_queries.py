@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from test_line_dedup import plain as plain_lines
 from test_minhash import plain_components
-from test_quality import plain as plain_counts
+from test_quality_rules import plain as plain_counts
 from test_queries import FOLDERS, compare
 
 import __spark_entry__ as contract
