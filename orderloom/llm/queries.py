@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import chat, line_dedup, minhash, mixing, packing, pivots, quality, suffixes, tokens, urls
+from orderloom.llm import (
+    centroids,
+    chat,
+    line_dedup,
+    middle,
+    minhash,
+    mixing,
+    packing,
+    pivots,
+    quality,
+    suffixes,
+    tokens,
+    toxicity,
+    urls,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -242,3 +256,95 @@ def op5_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return left.select(
         "doc_id", "left.n_bytes", "left.n_removed", "left.n_spans", F.sha2("left.kept", 256).alias("kept_sha256")
     )
+
+
+@query
+def op11_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    """Form, cut lengths and digests of each whole document for fill-in-middle training."""
+    cut = middle.fill_in_middle(table(spark, folder, "documents").select("doc_id", "text"))
+    digest = lambda text: F.sha2(text.cast("binary"), 256)
+    return cut.select(
+        "doc_id",
+        "fim.n",
+        "fim.form",
+        "fim.prefix_chars",
+        "fim.middle_chars",
+        digest(F.col("fim.output")).alias("output_sha256"),
+        digest(middle.restored(F.col("fim.output"), F.col("fim.form"))).alias("restored_sha256"),
+    )
+
+
+ORACLES["op11_fill_in_middle"] = r"""
+WITH drawn AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || doc_id) AS h,
+         regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS units
+  FROM documents),
+placed AS (
+  SELECT *, len(units) AS n, ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2,
+         ('0x' || h[17:24])::BIGINT AS h3, ('0x' || h[25:32])::BIGINT AS h4 FROM drawn),
+cut AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+         CASE WHEN text = '' OR text LIKE '%<P>%' OR text LIKE '%<S>%' OR text LIKE '%<M>%' OR h3 % 100 >= 50 THEN 'plain'
+              WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM placed),
+parts AS (
+  SELECT *, array_to_string(units[1:a], '') AS p, array_to_string(units[a + 1:b], '') AS m,
+         array_to_string(units[b + 1:], '') AS s FROM cut)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+              ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM parts
+"""
+
+
+@query
+def op12_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity score of each whole document, learnt from the labels of four documents in five."""
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    model = toxicity.train(documents, table(spark, folder, "labels"))
+    return toxicity.judge(documents, model).select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "toxicity.score", "toxicity.predicted"
+    )
+
+
+@query
+def op13_centroid_clustering(spark: SparkSession, folder: str) -> DataFrame:
+    """Cluster, distance and inertia of each vector after five rounds with 40 centroids."""
+    found = centroids.cluster(table(spark, folder, "embeddings").select("vec_id", "embedding"))
+    return found.select(
+        F.col("id").alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"
+    )
+
+
+def _clustering_sql(rounds: int) -> str:
+    """The rounds one after another: distances of all vectors to all centroids, then floors of means."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""
+near{r} AS MATERIALIZED (
+  SELECT vec_id, v, arg_min(c, (d, c)) AS c, min(d) AS d FROM (
+    SELECT vec_id, v, c, list_sum(list_transform(list_zip(v, w), lambda x: (x[1] - x[2]) * (x[1] - x[2])))::BIGINT AS d
+    FROM kept, means{r}) GROUP BY vec_id, v)""")
+        if r < rounds:
+            steps.append(f"""
+sums{r} AS (
+  SELECT c, pos, sum(x)::BIGINT AS total, count(*) AS n
+  FROM (SELECT c, unnest(v) AS x, generate_subscripts(v, 1) AS pos FROM near{r}) GROUP BY c, pos),
+floors{r} AS (SELECT c, list((total - ((total % n) + n) % n) // n ORDER BY pos) AS w FROM sums{r} GROUP BY c),
+means{r + 1} AS MATERIALIZED (
+  SELECT c, coalesce(f.w, m.w) AS w FROM means{r} m LEFT JOIN floors{r} f USING (c))""")
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+means0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id)) - 1 AS c, v AS w FROM kept
+  ORDER BY sha256('2:' || vec_id) LIMIT 40),{",".join(steps)}
+SELECT n.vec_id, n.c::INTEGER AS cluster, n.d AS distance, (sum(n.d) OVER (PARTITION BY n.c))::BIGINT AS cluster_inertia,
+       (sum(n.d) OVER ())::BIGINT AS inertia, sha256(array_to_string(m.w, ',')) AS centroid_sha256
+FROM near{rounds} n JOIN means{rounds} m USING (c)
+"""
+
+
+ORACLES["op13_centroid_clustering"] = _clustering_sql(5)

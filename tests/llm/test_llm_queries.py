@@ -25,7 +25,7 @@ def test_query_equals_sql(spark, name, folder):
 
 def test_all_are_registered():
     names = sorted(n for n in contract.queries() if n.startswith("op"))
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert contract.queries()["pipeline"] is corpus_pipeline.run
 
 
