@@ -36,31 +36,34 @@ def squared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 class Pivots:
-    """Fixed pivots, each paired with the pivot farthest from it."""
+    """Fixed pivots, one for each centroid, each paired with the pivot farthest from it and the one nearest."""
 
     def __init__(self, rows: np.ndarray):
         self.rows = rows
-        between = np.sqrt(self.squared_to(rows).astype(float))
-        far = between.argmax(1) if len(rows) else np.zeros(0, int)
-        pairs = {(min(p, s), max(p, s)) for p, s in enumerate(far.tolist()) if between[p, s] > 0}
-        self.pairs = [(p, s, float(between[p, s])) for p, s in sorted(pairs)]
-
-    def squared_to(self, rows: np.ndarray) -> np.ndarray:
-        return np.stack([squared(rows, pivot) for pivot in self.rows], 1) if len(self.rows) else np.zeros((len(rows), 0))
+        self.between = self.distances(rows)
+        apart = np.where(self.between > 0, self.between, np.nan)
+        some = ~np.isnan(apart).all(1) if len(rows) else np.zeros(0, bool)
+        self.own = np.flatnonzero(some)
+        self.partners = [choose(apart[self.own], 1) for choose in (np.nanargmax, np.nanargmin)] if some.any() else []
 
     def distances(self, rows: np.ndarray) -> np.ndarray:
-        return np.sqrt(self.squared_to(rows).astype(float))
+        if not len(self.rows):
+            return np.zeros((len(rows), 0))
+        return np.sqrt(np.stack([squared(rows, pivot) for pivot in self.rows], 1).astype(float))
 
     def lower_bounds(self, vectors: np.ndarray, centroids: np.ndarray) -> np.ndarray:
         """What the distance of each vector to each centroid is at least, from their distances to the pivots.
 
-        For points x, c and pivots p, s: |x c| |p s| >= ||x p| |c s| - |x s| |c p||. Rounded down.
+        For points x, c and pivots p, s: |x c| |p s| >= ||x p| |c s| - |x s| |c p||. Rounded down. The
+        k-th centroid is bounded by the pairs of the k-th pivot, where it began.
         """
         bound = np.zeros((len(vectors), len(centroids)))
-        for p, s, apart in self.pairs:
-            one = vectors[:, p, None] * centroids[None, :, s]
-            other = vectors[:, s, None] * centroids[None, :, p]
-            np.maximum(bound, (np.abs(one - other) - SLACK * (one + other)) / apart, out=bound)
+        p = self.own
+        for s in self.partners:
+            one = vectors[:, p] * centroids[p, s]
+            other = vectors[:, s] * centroids[p, p]
+            low = (np.abs(one - other) - SLACK * (one + other)) / self.between[p, s]
+            bound[:, p] = np.maximum(bound[:, p], low)
         return bound * (1 - SLACK)
 
 
@@ -79,12 +82,19 @@ def nearest(
     open_[every, guess] = False
     distance = np.full(bound.shape, np.iinfo(np.int64).max)
     distance[every, guess] = found
-    vector, centroid = np.nonzero(open_)
-    for at in range(0, len(vector), 16 * CHUNK):
-        v, c = vector[at : at + 16 * CHUNK], centroid[at : at + 16 * CHUNK]
-        distance[v, c] = squared(rows[v], centroids[c])
+    largest = max(np.abs(rows).max(initial=0), np.abs(centroids).max(initial=0))
+    if rows.shape[1] * (2 * int(largest)) ** 2 < 1 << 53:
+        # Whole numbers below 2**53 are exact as doubles, whatever the order of the sums.
+        wide, norms = rows.astype(float), squared(rows, 0)
+        for c, centroid in enumerate(centroids):
+            v = np.flatnonzero(open_[:, c])
+            distance[v, c] = norms[v] + squared(centroid, 0) - 2 * (wide[v] @ centroid.astype(float)).astype(np.int64)
+    else:
+        for c, centroid in enumerate(centroids):
+            v = np.flatnonzero(open_[:, c])
+            distance[v, c] = squared(rows[v], centroid)
     best = distance.argmin(1)
-    return best, distance[every, best], len(vector) + len(rows)
+    return best, distance[every, best], int(open_.sum()) + len(rows)
 
 
 def _chunks(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:

@@ -78,9 +78,15 @@ def test_bounds_never_exceed_distances(seed):
     points, pivots = draw.integers(-size, size, (400, 6)), centroids.Pivots(draw.integers(-size, size, (9, 6)))
     points[:9] = pivots.rows
     cached = pivots.distances(points).astype(np.float32).astype(float)
-    bound = pivots.lower_bounds(cached, pivots.distances(points[:50]))
-    true = np.sqrt(((points[:, None] - points[None, :50]).astype(float) ** 2).sum(-1))
-    assert (bound <= true).all() and (bound > 0.1 * true).mean() > 0.2
+    for others in (pivots.rows, points[9:18], points[100:109]):
+        bound = pivots.lower_bounds(cached, pivots.distances(others))
+        true = np.sqrt(((points[:, None] - others[None]).astype(float) ** 2).sum(-1))
+        assert (bound <= true).all() and (bound > 0.1 * true).mean() > 0.2
+
+
+def test_equal_pivots_bound_nothing():
+    pivots = centroids.Pivots(np.ones((3, 4), np.int64))
+    assert (pivots.lower_bounds(np.ones((2, 3)), np.ones((3, 3))) == 0).all()
 
 
 def test_grouped_vectors_are_spared_most_checks():
