@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import time
+from collections import deque
+from collections.abc import Callable, Iterable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from orderloom.functions.ranks import number_rows
 
@@ -16,6 +18,11 @@ MAX_RETRIES = 2
 CENTER_SCHEMA = "order_center map<string,array<string>>"
 
 
+# Pause before a call is tried again, doubled each time, and the longest one.
+BACK_OFF_SECONDS = 0.05
+LONGEST_PAUSE = 5.0
+
+
 def call_in_batches(
     keys: list, provider: Callable, batch_rows: int = BATCH_ROWS, max_retries: int = MAX_RETRIES
 ) -> list:
@@ -34,6 +41,39 @@ def call_in_batches(
     return answers
 
 
+def call_side_by_side(
+    keys: Iterable,
+    provider: Callable,
+    in_flight: int = 16,
+    max_retries: int = MAX_RETRIES,
+    back_off: float = BACK_OFF_SECONDS,
+) -> Iterator[tuple[str | None, str | None]]:
+    """``(answer, error)`` for each key in order, with at most ``in_flight`` calls going on.
+
+    A call that fails is tried again after a growing pause; one that keeps failing gives its error
+    and no answer, and ends nothing else.
+    """
+
+    def call(key):
+        for attempt in range(max_retries + 1):
+            try:
+                return provider(key), None
+            except Exception as error:
+                problem = f"{type(error).__name__}: {error}"
+                if attempt < max_retries:
+                    time.sleep(min(back_off * 2**attempt, LONGEST_PAUSE))
+        return None, problem
+
+    with ThreadPoolExecutor(in_flight) as pool:
+        waiting: deque = deque()
+        for key in keys:
+            if len(waiting) >= in_flight:
+                yield waiting.popleft().result()
+            waiting.append(pool.submit(call, key))
+        while waiting:
+            yield waiting.popleft().result()
+
+
 def enrich(
     df: DataFrame,
     provider: Callable[[int], str],
@@ -41,25 +81,42 @@ def enrich(
     batch_rows: int = BATCH_ROWS,
     max_retries: int = MAX_RETRIES,
     tasks: int | None = None,
+    in_flight: int | None = None,
 ) -> DataFrame:
     """Add ``order_center`` from the JSON text the provider answers for each key.
 
-    Tasks work side by side on their batches. By default they are those of the input;
-    ``tasks`` spreads the rows evenly, whatever their keys, when the input has few
-    splits and calls, not bytes, are the cost. Only the key crosses to Python, in Arrow
-    batches; all other columns stay in the JVM, which also parses the answers. A task
-    that fails is run again by Spark.
+    Tasks work side by side on their batches, those of the input by default. With ``tasks`` the
+    distinct keys alone are spread evenly, called once each and joined back, for inputs of few splits
+    where calls, not bytes, are the cost; the other columns are not moved for it. Only the key
+    crosses to Python, in Arrow batches; Spark parses the answers. A call that keeps failing fails
+    its task, which Spark runs again.
+
+    With ``in_flight`` a task has so many calls under way at a time, tries each again on its own, and
+    a key that keeps failing is a row with its error in ``error`` and no center.
     """
+    asked = df.select(F.col(key).alias("_key")).distinct().repartition(tasks) if tasks else df.withColumn("_key", F.col(key))
 
-    @F.pandas_udf(T.StringType())
-    def answer(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in batches:
-            yield pd.Series(call_in_batches(batch.tolist(), provider, batch_rows, max_retries), dtype=object)
+    fields = ["answer", "error"] if in_flight else ["answer"]
 
-    spread = df.repartition(tasks) if tasks else df
-    answered = spread.withColumn("_answer", answer(F.col(key)))
-    parsed = F.from_json("_answer", CENTER_SCHEMA)["order_center"]
-    return answered.withColumn("order_center", parsed).drop("_answer")
+    def answers(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            keys = batch.to_pylist()
+            if in_flight:
+                found = list(call_side_by_side(keys, provider, in_flight, max_retries))
+            else:
+                found = [(text,) for text in call_in_batches(keys, provider, batch_rows, max_retries)]
+            columns = [pa.array([row[k] for row in found], pa.string()) for k in range(len(fields))]
+            yield pa.StructArray.from_arrays(columns, fields)
+
+    answer = F.arrow_udf(answers, ", ".join(f"{name} string" for name in fields))
+    answered = asked.withColumn("_found", answer(F.col("_key")))
+    if tasks:
+        answered = df.join(answered, F.col(key).eqNullSafe(F.col("_key")), "left")
+    parsed = F.from_json("_found.answer", CENTER_SCHEMA)["order_center"]
+    out = answered.withColumn("order_center", parsed)
+    if in_flight:
+        out = out.withColumn("error", F.col("_found.error"))
+    return out.drop("_found", "_key")
 
 
 def center_name(column: str = "order_center"):

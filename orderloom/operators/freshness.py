@@ -217,3 +217,57 @@ def freshness_anomaly(
     """
     limit = F.col("mean_gap") + F.lit(float(sigmas)) * F.col("sd_gap")
     return arrival_gaps(df, key, ts, slice_width).withColumn("anomalous", F.col("last_gap") > limit)
+
+
+# Size of the sketches of gaps: ranks are off by at most about 0.13 % of a key's gaps, and exact below so many.
+SKETCH_SIZE = 4096
+
+
+def gap_quantile(
+    df: DataFrame, key: str, ts: str, quantile: float = 0.99, slice_width: timedelta = timedelta(days=1)
+) -> DataFrame:
+    """Per key: is the last gap between arrivals longer than the ``quantile`` of all its gaps?
+
+    Arrivals at the same time are one. The gaps inside each time slice of a key go into a sketch; a
+    key's sketches are merged, and the gaps between slices make one more. No task needs all arrivals
+    of a key. The quantile of n gaps is the one of rank ``ceil(quantile * n)``. Keys with a single
+    arrival time have no gap and no row.
+    """
+    width = int(slice_width.total_seconds() * 1_000_000)
+    inside = Window.partitionBy(key, "_slice").orderBy("_t")
+    sketch = lambda value: F.kll_sketch_agg_bigint(value, SKETCH_SIZE)
+    slices = (
+        df.where(F.col(ts).isNotNull())
+        .select(key, epoch_micros(ts).alias("_t"))
+        .distinct()
+        .withColumn("_slice", F.floor(F.col("_t") / width))
+        .withColumn("_gap", F.col("_t") - F.lag("_t").over(inside))
+        .groupBy(key, "_slice")
+        .agg(
+            F.count("_gap").alias("_n"),
+            sketch("_gap").alias("_sketch"),
+            F.max_by("_gap", "_t").alias("_end"),
+            F.min("_t").alias("_first"),
+            F.max("_t").alias("_last"),
+        )
+    )
+    before = F.lag("_last").over(Window.partitionBy(key).orderBy("_slice"))
+    merged = F.kll_sketch_merge_bigint(F.kll_merge_agg_bigint("_sketch", SKETCH_SIZE), sketch("_jump"))
+    total = (
+        slices.withColumn("_jump", F.col("_first") - before)
+        .groupBy(key)
+        .agg(
+            (F.sum("_n") + F.count("_jump")).alias("n_gaps"),
+            merged.alias("_sketch"),
+            F.max_by(F.coalesce("_end", "_jump"), "_slice").alias("_end"),
+        )
+        .where("n_gaps > 0")
+    )
+    limit = F.kll_sketch_get_quantile_bigint("_sketch", F.lit(float(quantile)))
+    return total.select(
+        key,
+        "n_gaps",
+        (limit / 1e6).alias("limit_gap"),
+        (F.col("_end") / 1e6).alias("last_gap"),
+        (F.col("_end") > limit).alias("anomalous"),
+    )

@@ -69,13 +69,20 @@ NODES = (
 )
 
 
+def _nodes(column: str) -> Column:
+    """The nodes of a document; NULL where it is no array or an element is no object."""
+    parsed = F.when(F.ltrim(F.col(column)).startswith("["), F.from_json(column, NODES))
+    return F.when(F.forall(parsed, lambda node: node.isNotNull()), parsed)
+
+
 def from_documents(documents: DataFrame, column: str = "document") -> DataFrame:
     """Listing rows of JSON documents, each an array of nested asset nodes.
 
-    A document that is no such array gives no row; an absent part of a node is NULL.
+    A document that is no such array gives no row here and one in ``rejected_documents``; an absent
+    part of a node is NULL.
     """
     node = F.col("node")
-    return documents.select(F.explode(F.from_json(column, NODES)).alias("node")).select(
+    return documents.select(F.explode(_nodes(column)).alias("node")).select(
         node["assetKey"]["path"].alias("asset_path"),
         node["changedReasons"].alias("changed_reasons"),
         node["repository"]["location"]["name"].alias("location"),
@@ -83,6 +90,14 @@ def from_documents(documents: DataFrame, column: str = "document") -> DataFrame:
     )
 
 
+def rejected_documents(documents: DataFrame, column: str = "document") -> DataFrame:
+    """The documents, with all their columns, that are no JSON array of nodes; NULL is one of them.
+
+    An element that is no object rejects its whole document.
+    """
+    return documents.where(_nodes(column).isNull())
+
+
 def numbered_keys(changed: DataFrame) -> DataFrame:
     """The keys of each group with their position in order, from 0."""
     return number_rows(changed, ["asset_key"], within=["location", "repository"], column="position")
@@ -111,6 +126,55 @@ def render_json(changed: DataFrame) -> DataFrame:
     return keys.select("name", "position", element)
 
 
+def json_document_lines(changed: DataFrame) -> DataFrame:
+    """``line_no, line`` of one JSON object: display names with the lists of their keys, indented by two.
+
+    The rows in order of ``line_no`` are the document. Whether a key opens or closes its group, or the
+    whole object, is told by comparing its position with those of its neighbours in one range shuffle,
+    so a group may be larger than any partition. Of two groups of one name the later one stands, at
+    the place of the first. Without any key the document is ``{}``.
+    """
+    groups = changed_counts(changed).withColumn("name", display_name())
+    places = groups.groupBy("name").agg(
+        F.min(F.struct("location", "repository")).alias("place"), F.max(F.struct("location", "repository")).alias("g")
+    )
+    kept = changed.join(places.select("name", "place", "g.location", "g.repository"), ["location", "repository"])
+    ordered = number_rows(kept.select("place", "name", "asset_key"), ["place", "asset_key"], column="at")
+    ordered = ordered.select("at", "name", "asset_key")
+    # Each row beside the names before and after it.
+    neighbours = (
+        ordered.select((F.col("at") + 1).alias("at"), F.col("name").alias("before"), F.lit(None).cast("string").alias("after"))
+        .unionByName(ordered.select((F.col("at") - 1).alias("at"), F.lit(None).cast("string").alias("before"), F.col("name").alias("after")))
+        .groupBy("at")
+        .agg(F.max("before").alias("before"), F.max("after").alias("after"))
+    )
+    near = ordered.join(neighbours, "at", "left")
+    text = lambda value: F.regexp_replace(F.to_json(F.array(value)), r"^\[|\]$", "")
+    opens, closes = ~F.col("before").eqNullSafe(F.col("name")), ~F.col("after").eqNullSafe(F.col("name"))
+    none, last = F.lit(None).cast("string"), F.col("after").isNull()
+    lines = F.array_compact(
+        F.array(
+            F.when(F.col("before").isNull(), F.lit("{")),
+            F.when(opens, F.concat(F.lit("  "), text(F.col("name")), F.lit(": ["))),
+            F.concat(F.lit("    "), text(F.col("asset_key")), F.when(closes, "").otherwise(",")),
+            F.when(closes, F.when(last, "  ]").otherwise("  ],")).otherwise(none),
+            F.when(last, F.lit("}")),
+        )
+    )
+    return near.select("at", F.posexplode(lines).alias("part", "line")).select(
+        (F.col("at") * 5 + F.col("part")).alias("line_no"), "line"
+    )
+
+
+def write_json_document(changed: DataFrame, path: str) -> None:
+    """Write ``json_document_lines`` as text files whose contents, in order of their names, are the document."""
+    lines = json_document_lines(changed)
+    if lines.isEmpty():
+        lines = changed.sparkSession.createDataFrame([(0, "{}")], "line_no bigint, line string")
+    in_order = lines.repartitionByRange("line_no").sortWithinPartitions("line_no")
+    in_order.select("line").write.text(path)
+
+
 def render_lines(changed: DataFrame) -> DataFrame:
     """Tab-separated lines in order."""
     line = F.concat_ws("\t", "location", "repository", "asset_key")

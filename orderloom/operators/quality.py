@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Collection, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 WARN, ERROR = "WARN", "ERROR"
 
@@ -159,3 +160,49 @@ def _typed_columns(df: DataFrame, side: str, names: Collection[str]) -> DataFram
         for i, f in enumerate(fields)
     ]
     return counted.select(F.inline(F.array(*entries)))
+
+
+def column_paths(schema: T.DataType, path: str = "") -> list[tuple[str, str]]:
+    """Path and type of every column, and of every field, element, key and value inside it."""
+    if isinstance(schema, T.StructType):
+        parts = [(f"{path}.{f.name}" if path else f.name, f.dataType) for f in schema.fields]
+    elif isinstance(schema, T.ArrayType):
+        parts = [(f"{path}.element", schema.elementType)]
+    elif isinstance(schema, T.MapType):
+        parts = [(f"{path}.key", schema.keyType), (f"{path}.value", schema.valueType)]
+    else:
+        return []
+    found = []
+    for name, inner in parts:
+        nested = isinstance(inner, (T.StructType, T.ArrayType, T.MapType))
+        found.append((name, inner.typeName() if nested else inner.simpleString()))
+        found += column_paths(inner, name)
+    return found
+
+
+def schema_rows(df: DataFrame, build: int) -> DataFrame:
+    """``build, column_path, type`` of one build, to be kept with those of the others."""
+    rows = [(build, path, kind) for path, kind in column_paths(df.schema)]
+    return df.sparkSession.createDataFrame(rows, "build int, column_path string, type string")
+
+
+def schema_history(builds: DataFrame) -> DataFrame:
+    """``column_path, type, valid_from, valid_to`` over the builds of ``schema_rows``.
+
+    A path has a row for each run of builds in a row that hold it with one type; ``valid_to`` is the
+    first build after the run, NULL while it lasts. Builds are numbered without gaps by what is there.
+    """
+    # One number per build, however wide the tables are.
+    ordered = sorted(r.build for r in builds.select("build").distinct().collect())
+    following = dict(zip(ordered, ordered[1:]))
+    place = {build: k for k, build in enumerate(ordered)}
+    if not place:
+        return builds.select("column_path", "type", F.col("build").alias("valid_from"), F.col("build").alias("valid_to"))
+    at = F.create_map(*[F.lit(v) for pair in place.items() for v in pair])[F.col("build")]
+    after = F.create_map(*[F.lit(v) for b in ordered for v in (b, following.get(b))])[F.col("build")]
+    numbered = builds.distinct().withColumn("_at", at).withColumn("_next", after)
+    in_run = Window.partitionBy("column_path", "type").orderBy("_at")
+    runs = numbered.withColumn("_run", F.col("_at") - F.row_number().over(in_run))
+    return runs.groupBy("column_path", "type", "_run").agg(
+        F.min("build").alias("valid_from"), F.max_by("_next", "_at").alias("valid_to")
+    ).drop("_run")

@@ -118,16 +118,23 @@ def group_sums(df: DataFrame, key: str) -> DataFrame:
     )
 
 
-def text_parts(df: DataFrame, key: str) -> DataFrame:
+def text_parts(df: DataFrame, key: str, order: Sequence[str] = ()) -> DataFrame:
     """The texts of a key as rows: ``key, column_name, position, part``.
 
-    The joined text of a column is its parts in order, whatever its size. NULL keys and
-    texts are dropped.
+    The joined text of a column is its parts in order, whatever its size: in the order of the columns
+    ``order``, which are no texts themselves, or of the texts where none are given. NULL keys and texts
+    are dropped.
     """
-    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType) and f.name != key]
+    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType) and f.name not in (key, *order)]
     each = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("part")) for c in texts])
-    rows = df.where(F.col(key).isNotNull()).select(key, F.inline(each)).where(F.col("part").isNotNull())
-    return number_rows(rows, ["part"], within=[key, "column_name"], column="position")
+    rows = df.where(F.col(key).isNotNull()).select(key, *order, F.inline(each)).where(F.col("part").isNotNull())
+    return number_rows(rows, [*order, "part"], within=[key, "column_name"], column="position").drop(*order)
+
+
+def text_parts_in_row_order(stored: DataFrame, key: str) -> DataFrame:
+    """``text_parts`` of a table read from Parquet files, in the order of its rows: by file name, then place in the file."""
+    placed = stored.select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    return text_parts(placed, key, ["_file", "_row"])
 
 
 def continent_stats(stats: DataFrame, model: DataFrame) -> DataFrame:

@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.operators import listing, versions
 from orderloom.plans.registry import over, query
+from orderloom.session import materialise, scratch_path
+from orderloom.sources.ledger import VersionLedger
 from orderloom.sources.order_views import OrderViews
+from orderloom.sources.tables import TableStore
 
 def changed(spark, folder):
     return listing.changed_assets(OrderViews(spark, folder).listing())
@@ -121,3 +127,60 @@ def storage_kinds(spark, folder):
     parts = OrderViews(spark, folder).table("part")
     target = F.concat_ws("_", "p_type", "p_brand")
     return parts.select("p_partkey", listing.storage_kind(target, "PROMO").alias("kind"))
+
+
+@query("changed_assets_document", over("changed", extra="""
+    named as (select *, case when repository = '__repository__' then location else location || '/' || repository end as name
+              from changed),
+    numbered as (
+        select name, asset_key, row_number() over w - 1 as spot, lag(name) over w as before, lead(name) over w as after
+        from named window w as (order by location, repository, asset_key)),
+    lines as (
+        select spot, list_filter([
+            case when before is null then '{' end,
+            case when before is distinct from name then '  "' || name || '": [' end,
+            '    "' || asset_key || '"' || case when after is distinct from name then '' else ',' end,
+            case when after is distinct from name then case when after is null then '  ]' else '  ],' end end,
+            case when after is null then '}' end], lambda x: x is not null) as parts
+        from numbered)""", then="""
+    select spot * 5 + generate_subscripts(parts, 1) - 1 as line_no, unnest(parts) as line from lines"""))
+def changed_assets_document(spark, folder):
+    """The changed assets as the lines of one JSON object."""
+    return listing.json_document_lines(changed(spark, folder))
+
+
+@query("changed_assets_rejected", """
+    select doc_id, text from documents where doc_id % 7 in (1, 3) union all select doc_id, null from documents where doc_id % 7 = 5""")
+def changed_assets_rejected(spark, folder):
+    """Of listing documents, plain texts and NULLs, those that are no listing."""
+    docs = OrderViews(spark, folder).table("documents").select("doc_id", "text")
+    kind = F.col("doc_id") % 7
+    good = F.to_json(F.array(F.struct(F.struct(F.array("text").alias("path")).alias("assetKey"))))
+    text = F.when(kind.isin(1, 3), F.col("text")).when(kind != 5, good)
+    return listing.rejected_documents(docs.select("doc_id", text.alias("text")), "text")
+
+
+@query("stored_versions", """
+    select 1 as run, doc_id, doc_id % 2 = 0 as rebuilt from documents where false
+    union all select 2, doc_id, doc_id % 2 = 0 from documents where doc_id % 3 <> 0 and doc_id % 5 = 0
+    union all select 3, doc_id, true from documents
+              where doc_id % 3 <> 0 and (doc_id % 5 = 0 and doc_id % 2 <> 0 or doc_id % 7 = 0)""")
+def stored_versions(spark, folder):
+    """Three runs over a stored ledger of content hashes.
+
+    Two documents in three are built first. Then every fifth changes and the even ones of these are
+    rebuilt; then every seventh changes too, and the odd ones are still due.
+    """
+    store = TableStore(spark, scratch_path(spark, "versions"))
+    docs = OrderViews(spark, folder).table("documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    changes = [F.lit(False), F.col("doc_id") % 5 == 0, F.col("doc_id") % 7 == 0]
+    text, found = F.col("text"), []
+    for run, change in enumerate(changes, 1):
+        ledger = VersionLedger(store, "ledger.documents", "doc_id", buckets=8)
+        text = F.when(change, F.concat(text, F.lit("!"))).otherwise(text)
+        now = versions.content_hashes(docs.withColumn("text", text), "doc_id", ["text"])
+        due = ledger.due(now).select(F.lit(run).alias("run"), "doc_id", "content_hash")
+        due = materialise(due.withColumn("rebuilt", (F.col("doc_id") % 2 == 0) | F.lit(run == 3)), "due")
+        ledger.record(now.where("doc_id % 3 != 0") if run == 1 else due.where("rebuilt"))
+        found.append(due.select("run", "doc_id", "rebuilt"))
+    return reduce(DataFrame.unionByName, found)

@@ -303,6 +303,19 @@ def continent_texts(spark, folder):
     return regression.text_parts(country_stats_frame(spark, folder), "continent")
 
 
+@query("texts_in_row_order", """
+    select c_mktsegment, 'c_name' as column_name,
+           row_number() over (partition by c_mktsegment order by c_acctbal desc, c_custkey) - 1 as position, c_name as part
+    from customer where c_mktsegment is not null and c_name is not null""")
+def texts_in_row_order(spark, folder):
+    """The joined names of each segment in the order in which the rows of a table of several files stand."""
+    path = scratch_path(spark, "row-order")
+    customers = OrderViews(spark, folder).table("customer")
+    placed = customers.repartitionByRange(5, F.desc("c_acctbal"), "c_custkey").sortWithinPartitions(F.desc("c_acctbal"), "c_custkey")
+    placed.select("c_mktsegment", "c_name").write.parquet(path)
+    return regression.text_parts_in_row_order(spark.read.parquet(path), "c_mktsegment")
+
+
 @query("country_bad_cells", """
     select p_partkey, column_name, text from (
         select p_partkey, 'pop_2022' as column_name, p_size || left(p_type, 1) as text from part where p_partkey % 3 = 0

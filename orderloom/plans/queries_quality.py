@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.operators import cleaned, quality, stats
@@ -134,3 +137,32 @@ def check_schema_change(spark, folder):
     retyped = users.withColumn("user_id", F.col("user_id").cast("string"))
     new = store.replace(retyped.withColumnRenamed("company", "segment"), "builds.second")
     return quality.schema_changes(old, new)
+
+
+@query("schema_history", """
+    select unnest(['user_id', 'user_id', 'place', 'place.state', 'place.zip', 'place.zip', 'tags', 'tags.element',
+                   'tags.element.name', 'counts', 'counts.key', 'counts.value', 'counts.value']) as column_path,
+           unnest(['bigint', 'string', 'struct', 'string', 'string', 'int', 'array', 'struct', 'string', 'map', 'string',
+                   'int', 'bigint']) as type,
+           unnest([1, 4, 1, 1, 1, 3, 2, 2, 2, 1, 1, 1, 2]) as valid_from,
+           unnest([4, null, null, null, 2, null, 4, 4, 4, null, null, 2, null]) as valid_to
+    where exists (select 1 from customer)""")
+def schema_history(spark, folder):
+    """Columns, nested ones included, of four stored builds of the users, and the builds they hold for."""
+    store, v = TableStore(spark, scratch_path(spark, "history")), OrderViews(spark, folder)
+    key, nation = F.col("c_custkey"), F.col("c_nationkey").cast("string")
+    state, zip_text = F.col("c_mktsegment").alias("state"), nation.alias("zip")
+    counts = lambda kind: F.create_map(F.lit("n"), F.col("c_nationkey").cast(kind)).alias("counts")
+    tags = F.array(F.struct(F.col("c_name").alias("name"))).alias("tags")
+    number = nation.cast("int").alias("zip")
+    builds = [
+        [key.alias("user_id"), F.struct(state, zip_text).alias("place"), counts("int")],
+        [key.alias("user_id"), F.struct(state).alias("place"), counts("bigint"), tags],
+        [key.alias("user_id"), F.struct(state, number).alias("place"), counts("bigint"), tags],
+        [key.cast("string").alias("user_id"), F.struct(state, number).alias("place"), counts("bigint")],
+    ]
+    rows = []
+    for build, columns in enumerate(builds, 1):
+        stored = store.replace(v.table("customer").select(*columns), "builds.users")
+        rows.append(quality.schema_rows(stored, build))
+    return quality.schema_history(reduce(DataFrame.unionByName, rows))

@@ -14,7 +14,7 @@ from orderloom.plans import refresh
 from orderloom.plans.queries_models import MEANS, augmented
 from orderloom.plans.registry import over, query
 from orderloom.schemas import LOCATIONS_FILE, RAW_ORDERS
-from orderloom.session import scratch_path
+from orderloom.session import materialise, scratch_path
 from orderloom.sources import files, html_tables, payloads
 from orderloom.sources.order_views import LOAD_EPOCH, OrderViews
 from orderloom.sources.tables import TableStore
@@ -294,7 +294,7 @@ def center_answer(order_id: int) -> str:
 def enriched_data(spark, folder):
     orders = OrderViews(spark, folder).table("orders")
     rows = orders.select(F.col("o_orderkey").alias("order_id"), F.col("o_totalprice").alias("total"))
-    out = enrichment.enrich(rows, center_answer, tasks=spark.sparkContext.defaultParallelism)
+    out = enrichment.enrich(rows, center_answer)
     return out.select(
         "order_id", "total", enrichment.center_name().alias("center"), F.to_json("order_center").alias("order_center")
     )
@@ -322,3 +322,54 @@ def enriched_data_lookup(spark, folder):
 def enrich_batches(spark, folder):
     ids = OrderViews(spark, folder).table("orders").select(F.col("o_orderkey").alias("order_id"))
     return enrichment.assign_batches(ids, "order_id")
+
+
+def shaky_answer(order_id: int) -> str:
+    """The stand-in service, which knows no order whose id is divisible by eleven."""
+    if order_id % 11 == 0:
+        raise LookupError(f"order {order_id} is not known")
+    return center_answer(order_id)
+
+
+@query("enriched_data_errors", """
+    select o_orderkey as order_id, case when o_orderkey % 11 <> 0 then
+               case o_orderkey % 3 when 0 then 'scranton' when 1 then 'albany' else 'new york' end end as center,
+           case when o_orderkey % 11 = 0 then 'LookupError: order ' || o_orderkey || ' is not known' end as error
+    from orders""")
+def enriched_data_errors(spark, folder):
+    """Sixteen calls under way in each task; a key that keeps failing is a row with its error."""
+    rows = OrderViews(spark, folder).table("orders").select(F.col("o_orderkey").alias("order_id"))
+    out = enrichment.enrich(rows, shaky_answer, max_retries=0, in_flight=16)
+    return out.select("order_id", enrichment.center_name().alias("center"), "error")
+
+
+@query("sink_safe_replace", over("members", then="""
+    select 'built' as state, count(*) as n_rows, sum(user_id) as total from members
+    union all select 'failed', count(*), sum(user_id) from members
+    union all select 'from itself', count(*), sum(user_id) from members where user_id % 2 = 0
+    union all select 'reader before', count(*), sum(user_id) from members"""))
+def sink_safe_replace(spark, folder):
+    """A table after a build, after a build that failed midway, and after one that reads the table itself.
+
+    A frame opened before the last build still reads what it was opened on.
+    """
+    store, name = TableStore(spark, scratch_path(spark, "safe")), "cleaned.users_cleaned"
+    users = OrderViews(spark, folder).users().select("user_id", "company")
+
+    def state(label, df):
+        total = df.agg(F.count(F.lit(1)).alias("n_rows"), F.sum("user_id").alias("total"))
+        return total.select(F.lit(label).alias("state"), "n_rows", "total")
+
+    before = store.replace(users, name)
+    built = materialise(state("built", before), "state")
+    last = F.lit(users.agg(F.max("user_id")).first()[0])
+    broken = users.withColumn("company", F.when(F.col("user_id") == last, F.raise_error(F.lit("broken"))).otherwise("new"))
+    try:
+        store.replace(broken, name)
+    except Exception as error:
+        if "broken" not in str(error):
+            raise
+    failed = materialise(state("failed", store.read(name)), "state")
+    store.replace(store.read(name).where("user_id % 2 = 0"), name)
+    states = [built, failed, state("from itself", store.read(name)), state("reader before", before)]
+    return reduce(DataFrame.unionByName, states)

@@ -18,6 +18,8 @@ from orderloom.sources.order_views import OrderViews
 from orderloom.sources.tables import TableStore
 from orderloom.streaming.arrivals import append_arrivals, files_since
 from orderloom.streaming.latest import land_by_day, refresh_latest
+from orderloom.streaming.parents import ParentWatch
+from orderloom.streaming.usage import run_usage, usage_so_far
 from orderloom.streaming.windows import run_window_counts
 
 HALF_MONTH = "2024-01-15 12:00:00"
@@ -270,3 +272,117 @@ def stream_window_counts(spark, folder):
         spark, arriving, f"{base}/target", f"{base}/cursor", ts="ts", key="event_type", width="6 hours", lateness="10 minutes"
     )
     return spark.read.parquet(f"{base}/target").withColumn("total", F.round("total", 2))
+
+
+@query("incremental_any_parent", """
+    with months as (
+        select 'lines' as parent, date_trunc('year', l_shipdate) as m, count(*) as n from lineitem group by 2
+        union all select 'orders', date_trunc('year', o_orderdate), count(*) from orders group by 2
+        union all select 'late', date_trunc('year', l_shipdate), count(*) from lineitem where l_linenumber = 1 group by 2),
+    latest as (select max(m) as m from months),
+    held as (select parent, n, 0 as since from months where m = (select m from latest) and parent <> 'late'
+             union all select parent, n, 3 from months where m = (select m from latest) and parent = 'late'),
+    states as (
+        select r as run, parent, since <= r as there, r = 1 or (r = 3 and parent = 'late') as fresh, n
+        from (select unnest([1, 2, 3, 4]) as r) cross join (select unnest(['lines', 'orders', 'late', 'never']) as parent)
+             left join held using (parent))
+    select run, strftime((select m from latest), '%Y-%m-%d') as part, parent,
+           case when there is not true then 'missing' when fresh then 'updated' else 'current' end as state,
+           bool_or(there is true and fresh) over (partition by run) as rebuilt, case when there then n end as n_rows
+    from states""")
+def incremental_any_parent(spark, folder):
+    """A child of four parents by year, one of them late and one never there.
+
+    Its latest year is built, left alone, built again when the late parent comes, and left alone when
+    an earlier year of a parent is rewritten.
+    """
+    v, store = OrderViews(spark, folder), TableStore(spark, scratch_path(spark, "parents"))
+    lines = v.table("lineitem").select(F.col("l_shipdate").alias("ts"), "l_linenumber")
+    orders = v.table("orders").select(F.col("o_orderdate").alias("ts"))
+    watch = ParentWatch(store, "child.by_parent", ["lines", "orders", "late", "never"], "year")
+
+    def build(part, parents):
+        counts = []
+        for name in parents:
+            rows = store.read(name).where(F.col("part_year") == F.lit(part).cast("date"))
+            counts.append(rows.groupBy(F.col("part_year").cast("timestamp_ntz").alias("ts")).agg(F.count(F.lit(1)).alias("n_rows")))
+            counts[-1] = counts[-1].withColumn("parent", F.lit(name))
+        return reduce(DataFrame.unionByName, counts)
+
+    done = []
+    for run in (1, 2, 3, 4):
+        if run == 1:
+            store.replace_window(lines, "lines", "ts", grain="year")
+            store.replace_window(orders, "orders", "ts", grain="year")
+        elif run == 3:
+            store.replace_window(lines.where("l_linenumber = 1"), "late", "ts", grain="year")
+        elif run == 4:
+            store.replace_window(orders, "orders", "ts", "1996-01-01", "1997-01-01", "year")
+        states, rebuilt = watch.refresh(build, "ts")
+        seen = spark.createDataFrame(
+            [(run, s.part, s.parent, s.state, rebuilt) for s in states],
+            "run int, part string, parent string, state string, rebuilt boolean",
+        )
+        held = store.read("child.by_parent").select(F.col("part_year").cast("string").alias("part"), "parent", "n_rows")
+        # Stored, since the child is rebuilt afterwards.
+        done.append(materialise(seen.join(held, ["part", "parent"], "left"), "states"))
+    return reduce(DataFrame.unionByName, done).select("run", "part", "parent", "state", "rebuilt", "n_rows")
+
+
+@query("usage_late", """
+    with arrived as (
+        select event_type, date_trunc('hour', ts) as hour, value,
+               ts >= timestamp '2024-01-15 12:00:00' or (ts >= timestamp '2024-01-15 10:00:00' and event_id % 4 = 0) as late
+        from events)
+    select 'model.' || event_type as model, hour, count(*) as n_queries, round(sum(value), 2) as credits,
+           count(distinct late) as n_batches
+    from arrived group by 1, 2""")
+def usage_late(spark, folder):
+    """Usage in two arrivals: the second brings late records of hours already counted, and some for the second time."""
+    base, v = scratch_path(spark, "usage"), OrderViews(spark, folder)
+    ident = F.regexp_extract("query_text", r":(.+?)\]\]\]", 1)
+    history = v.query_history().withColumn("query_id", ident)
+    start, key = F.col("start_time"), F.col("query_id").cast("bigint")
+    recent = (start >= ntz_literal("2024-01-15 10:00:00")) & (start < ntz_literal(HALF_MONTH))
+    late = (start >= ntz_literal(HALF_MONTH)) | (recent & (key % 4 == 0))
+    for arrival in (~late, late | (recent & (key % 3 == 0))):
+        history.where(arrival).write.mode("append").parquet(f"{base}/landing")
+        stream = spark.readStream.schema(history.schema).parquet(f"{base}/landing")
+        run_usage(spark, stream, f"{base}/hours", f"{base}/cursor", "query_id")
+    return usage_so_far(spark, f"{base}/hours").withColumn("credits", F.round("credits", 2))
+
+
+@query("freshness_quantile", """
+    with gaps as (
+        select user_id, ts, epoch_us(ts) - epoch_us(lag(ts) over (partition by user_id order by ts)) as gap
+        from (select distinct user_id, ts from events)),
+    ranked as (select user_id, gap, row_number() over (partition by user_id order by gap) as nth,
+                      count(*) over (partition by user_id) as n_gaps from gaps where gap is not null),
+    ends as (select user_id, gap as last from gaps qualify row_number() over (partition by user_id order by ts desc, gap) = 1)
+    select user_id, n_gaps, gap / 1e6 as limit_gap, last / 1e6 as last_gap, last > gap as anomalous
+    from ranked join ends using (user_id) where nth = ceil(round(0.9 * n_gaps, 6))""")
+def freshness_quantile(spark, folder):
+    """Users whose last gap is longer than nine in ten of their gaps."""
+    return freshness.gap_quantile(OrderViews(spark, folder).table("events"), "user_id", "ts", quantile=0.9)
+
+
+@query("files_same_moment", """
+    select 'first' as cursor, count(*) as n_rows from events where event_id % 3 = 0
+    union all select 'same moment', count(*) from events where event_id % 3 = 1
+    union all select 'nothing new', 0""")
+def files_same_moment(spark, folder):
+    """Files whose modification time is the cursor's own arrive later: they are read, and once."""
+    base = scratch_path(spark, "moment")
+    events = OrderViews(spark, folder).table("events").select("event_id", "user_id")
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    where = hadoop.Path(base)
+    system = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    cursor, counts = 0, []
+    for label, rest in (("first", 0), ("same moment", 1), ("nothing new", None)):
+        if rest is not None:
+            events.where(F.col("event_id") % 3 == rest).write.mode("append").parquet(base)
+            for file in system.listStatus(where):
+                system.setTimes(file.getPath(), 1_700_000_000_000, -1)
+        rows, cursor = files_since(spark, base, events.schema, cursor)
+        counts.append(rows.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(label).alias("cursor"), "n_rows"))
+    return reduce(DataFrame.unionByName, counts)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,6 +16,8 @@ from orderloom.operators.windows import in_window
 
 GRAINS = {"day": "part_day", "month": "part_month", "year": "part_year"}
 KEY_PART = "part_key"
+# Names beside the data of a table: pointers are hidden from readers of the folder.
+POINTERS, DATA = "_published", "data"
 
 
 def part_value(ts, grain: str = "day") -> Column:
@@ -39,19 +43,84 @@ def key_value(key) -> Column:
 
 
 class TableStore:
-    """Parquet tables under ``root/schema/name``; the root is chosen per environment."""
+    """Parquet tables under ``root/schema/name``; the root is chosen per environment.
 
-    def __init__(self, spark: SparkSession, root: str):
+    A table that is replaced as a whole is written to a folder of its own beside the one that is
+    read, and becomes current by one step: the next pointer file, whose name is its number and whose
+    text is the folder. A job that fails before that step leaves the table as it was, readers go on
+    with the files they began with, and a frame that reads the table can replace it. The last
+    ``keep`` folders stay. Two writers cannot take one number: the later one fails.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, keep: int = 2):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.keep = keep
 
     @classmethod
     def for_environment(cls, spark: SparkSession, environment: str, roots: dict[str, str]) -> TableStore:
         return cls(spark, roots[environment])
 
-    def path(self, table: str) -> str:
+    def base(self, table: str) -> str:
         return f"{self.root}/{table.replace('.', '/')}"
 
+    def path(self, table: str) -> str:
+        """The folder whose files are the table now."""
+        published = self._published(table)
+        return f"{self.base(table)}/{published[max(published)]}" if published else self.base(table)
+
+    def _hadoop(self, path: str):
+        where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return where.getFileSystem(self.spark._jsc.hadoopConfiguration()), where
+
+    def _pointers(self, table: str) -> list[str]:
+        system, folder = self._hadoop(f"{self.base(table)}/{POINTERS}")
+        return sorted(s.getPath().getName() for s in system.listStatus(folder)) if system.exists(folder) else []
+
+    def _published(self, table: str) -> dict[int, str]:
+        """Folder by number of the pointers; one without text was not written to its end and does not count."""
+        found = {}
+        for name in reversed(self._pointers(table)):
+            if name.isdigit() and (text := self._text(f"{self.base(table)}/{POINTERS}/{name}")):
+                found[int(name)] = text
+                if len(found) > self.keep:
+                    break
+        return found
+
+    def _text(self, path: str) -> str:
+        system, where = self._hadoop(path)
+        stream = system.open(where)
+        try:
+            return bytes(self.spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
+        finally:
+            stream.close()
+
+    def publish(self, table: str, write: Callable[[str], None], tag: str = "") -> None:
+        """Let ``write`` fill a new folder, then make it the table; older folders beyond ``keep`` go."""
+        numbers = [int(name) for name in self._pointers(table) if name.isdigit()]
+        number = max(numbers, default=0) + 1
+        folder = f"{DATA}-{number:010d}-{uuid.uuid4().hex}{tag}"
+        try:
+            write(f"{self.base(table)}/{folder}")
+        except Exception:
+            system, left = self._hadoop(f"{self.base(table)}/{folder}")
+            system.delete(left, True)
+            raise
+        system, pointer = self._hadoop(f"{self.base(table)}/{POINTERS}/{number:010d}")
+        stream = system.create(pointer, False)
+        stream.write(folder.encode())
+        stream.close()
+        old = sorted(self._published(table).items())[: -self.keep]
+        for past, data in old:
+            for path in (f"{POINTERS}/{past:010d}", data):
+                gone = self._hadoop(f"{self.base(table)}/{path}")[1]
+                system.delete(gone, True)
+        if number > self.keep:
+            # Files written in place before the table was first replaced.
+            for entry in system.listStatus(self._hadoop(self.base(table))[1]):
+                if not entry.getPath().getName().startswith((POINTERS, f"{DATA}-")):
+                    system.delete(entry.getPath(), True)
+
     def exists(self, table: str) -> bool:
         try:
             self.spark.read.parquet(self.path(table))
@@ -74,7 +143,8 @@ class TableStore:
         return rows.drop(part)
 
     def replace(self, df: DataFrame, table: str) -> DataFrame:
-        df.write.mode("overwrite").parquet(self.path(table))
+        """Replace the whole table in one step; ``df`` may read the table itself."""
+        self.publish(table, df.write.parquet)
         return self.read(table)
 
     def replace_window(
@@ -89,7 +159,7 @@ class TableStore:
         """Replace the partitions of the half-open window ``[start, end)`` and no others.
 
         Rows outside the window are not written. A partition of the window that gets
-        no new row ends up empty. Without a window the whole table is replaced.
+        no new row ends up empty. Without a window the whole table is replaced in one step.
         ``rebalance`` lets adaptive execution split a partition value that holds many
         rows and merge small ones, so file sizes follow the data. Window ends that are
         no partition boundaries are an error. What was rewritten is told from the names
@@ -102,13 +172,11 @@ class TableStore:
         rows = in_window(df, expr, start, end, closed="left") if windowed else df
         rows = rows.withColumn(part, part_value(expr, grain))
         before = self._window_files(table, part, start, end) if windowed else {}
-        (
-            rows.hint("rebalance", part)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic" if windowed else "static")
-            .partitionBy(part)
-            .parquet(self.path(table))
-        )
+        spread = rows.hint("rebalance", part).write.partitionBy(part)
+        if windowed:
+            spread.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(self.path(table))
+        else:
+            self.publish(table, spread.parquet)
         after = self._window_files(table, part, start, end) if windowed else {}
         emptied = [value for value, files in before.items() if after.get(value) == files]
         if not self._folders(table):
@@ -121,9 +189,7 @@ class TableStore:
 
     def _folders(self, table: str, folder: str = "", files: bool = False) -> list[str]:
         """Names of the partition folders of a table, or of the files in one of them."""
-        hadoop = self.spark._jvm.org.apache.hadoop.fs
-        path = hadoop.Path(f"{self.path(table)}/{folder}".rstrip("/"))
-        system = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        system, path = self._hadoop(f"{self.path(table)}/{folder}".rstrip("/"))
         if not system.exists(path):
             return []
         found = [(s.getPath().getName(), s.isDirectory()) for s in system.listStatus(path)]
