@@ -22,8 +22,11 @@ BITS = 16
 CHUNKS = 16
 ERRORS = 1
 _WIDTH = SYMBOLS // CHUNKS
-# Shingles that one task compares at a time.
+WRONG_SYMBOLS = CHUNKS * (ERRORS + 1) - 1
+# Shingles that one task compares at a time; signatures with one key that do, and those of small keys.
 BLOCK_SHINGLES = 500_000
+BLOCK_SIGNATURES = 4096
+TASK_SIGNATURES = 50_000
 
 _MULTIPLY = texts.mix(np.arange(1, SYMBOLS + 1, dtype=np.uint64)) | np.uint64(1)
 _ADD = texts.mix(np.arange(101, SYMBOLS + 101, dtype=np.uint64))
@@ -113,6 +116,39 @@ def chunk_keys(signature: Column) -> Column:
     return F.arrow_udf(keys, T.ArrayType(T.LongType()))(signature)
 
 
+def links_within(nodes: np.ndarray, symbols: np.ndarray) -> list[tuple[int, int]]:
+    """Links that connect all signatures within ``WRONG_SYMBOLS`` of each other, without naming each pair."""
+    waiting = np.ones(len(nodes), bool)
+    links = []
+    for seed in range(len(nodes)):
+        if not waiting[seed]:
+            continue
+        waiting[seed] = False
+        reached = [seed]
+        while reached and waiting.any():
+            left = np.flatnonzero(waiting)
+            near = left[(symbols[left] != symbols[reached.pop()]).sum(1) <= WRONG_SYMBOLS]
+            waiting[near] = False
+            links += [(int(nodes[seed]), int(other)) for other in nodes[near]]
+            reached += near.tolist()
+    return links
+
+
+def _near_signatures(table: pa.Table) -> pa.Table:
+    """Links between the signatures of each key that are within ``WRONG_SYMBOLS``."""
+    table = table.combine_chunks().sort_by("key")
+    key, nodes = table.column("key").to_numpy(), table.column("node").to_numpy()
+    symbols = np.frombuffer(b"".join(table.column("signature").to_pylist()), "<u2").reshape(-1, SYMBOLS)
+    cuts = np.append(np.flatnonzero(np.diff(key, prepend=key[0] - 1)), len(key))
+    size = np.diff(cuts)
+    two = cuts[:-1][size == 2]
+    two = two[(symbols[two] != symbols[two + 1]).sum(1) <= WRONG_SYMBOLS]
+    links = list(zip(nodes[two].tolist(), nodes[two + 1].tolist()))
+    for begin, held in zip(cuts[:-1][size > 2], size[size > 2]):
+        links += links_within(nodes[begin : begin + held], symbols[begin : begin + held])
+    return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
+
+
 def links_among(ids: np.ndarray, values: np.ndarray, of: np.ndarray, percent: int) -> list[tuple[int, int]]:
     """Links that connect all documents with 100 * common >= percent * union, without naming each pair.
 
@@ -178,61 +214,111 @@ def _compare(size: int, percent: int):
     return compare
 
 
+def _in_blocks(rows: DataFrame, group: str, blocks: Column, small: Column) -> DataFrame:
+    """``rows`` beside the task they are compared in: small groups share one, each pair of blocks has its own.
+
+    A row of a group of several blocks stands beside each block once, its own block left out where
+    there are others, since every block meets another one as a whole.
+    """
+    rows = rows.withColumn("blocks", blocks.cast("int"))
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).where("blocks = 1 or own != with")
+    pair = F.struct(F.least("own", "with").alias("low"), F.greatest("own", "with").alias("high"))
+    task = F.when(F.col("blocks") == 1, small).otherwise(F.xxhash64(group, pair))
+    return rows.withColumn("task", task).drop("blocks", "own", "with")
+
+
 def near_duplicates(
-    documents: DataFrame, id_column: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80
+    documents: DataFrame,
+    id_column: str = "doc_id",
+    text: str = "text",
+    size: int = 5,
+    percent: int = 80,
+    row: str | None = None,
 ) -> DataFrame:
-    """``id, n_shingles, component`` for each row: what it is linked with, directly or over others.
+    """``id, n_shingles, component, row, leader`` for each row: what it is linked with, directly or over others.
 
     Documents are linked if 100 * common >= ``percent`` * union over their sets of ``size``-word
-    shingles (A-Z lower-cased). Equal sets are one class. Signatures of classes that agree in a chunk
-    but for ``ERRORS`` symbols meet, through the smallest class with that key; whole texts of classes
-    that can be reached from each other so are then compared on their full sets, in blocks of bounded
-    size: two blocks at a time if a group exceeds one. So no list of pairs is made, and each pair of
-    signatures within the guaranteed distance is decided by its sets.
-
-    ``component`` is the smallest identifier reached. Documents without words are linked with
-    nothing. Null identifiers stay null and are linked with nothing; rows that share an identifier
-    are each linked by their own text. The identifier must be an integer. Empty tables give
-    empty tables; other columns are not used.
+    shingles (A-Z lower-cased). Equal sets are one class, and classes are what is linked, whatever
+    identifiers their rows have. Signatures of classes that agree in a chunk but for ``ERRORS`` symbols
+    meet at that key; those within ``WRONG_SYMBOLS`` of each other are candidates. Whole texts of
+    classes that candidates connect are then compared on their full sets. Both comparisons go block by
+    block in tasks of bounded size, two blocks at a time if a group exceeds one, and name no pair that
+    others connect already. Each pair of signatures within the guaranteed distance is decided by its sets.
+
+    ``component`` is the smallest identifier of any row reached, ``leader`` the row of that identifier
+    (the first of several). Documents without words and null identifiers are linked with nothing and
+    lead themselves; a null identifier has a null component. Rows that share an identifier are each
+    linked by their own text, so they may be in different components; repeated rows are in one.
+    ``row`` names a column of unique numbers that stay the same when ``documents`` is read again;
+    without one, rows are numbered in a stored copy of the texts. The identifier must be an integer.
+    Empty tables give empty tables; other columns are not used.
     """
-    held = documents.select(F.col(id_column).cast("long").alias("id"), F.col(text).alias("text"))
-    sketched = materialise(held.select("id", sketches(F.col("text"), size).alias("s")).select("id", "s.*"), "sketches")
+    number = F.col(row) if row else F.monotonically_increasing_id()
+    held = documents.select(number.alias("row"), F.col(id_column).cast("long").alias("id"), F.col(text).alias("text"))
+    own = ["row", "id"] if row else ["row", "id", "text"]
+    sketched = materialise(held.select(*own, sketches(F.col("text"), size).alias("s")).select(*own, "s.*"), "sketches")
+    whole_texts = (held if row else sketched).select("row", "text")
+    sketched = sketched.drop("text")
     alike = ["set_a", "set_b", "n_shingles"]
     classes = sketched.where("n_shingles > 0 and id is not null").groupBy(*alike)
-    classes = materialise(classes.agg(F.min("id").alias("class"), F.min("signature").alias("signature")), "classes")
+    classes = classes.agg(F.min(F.struct("id", "row")).alias("first"), F.min("signature").alias("signature"))
+    classes = materialise(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
 
-    keyed = classes.select(F.col("class").alias("b"), F.explode(chunk_keys(F.col("signature"))).alias("key"))
-    first = keyed.groupBy("key").agg(F.min("b").alias("a"), F.max("b").alias("last"))
+    keyed = classes.select("node", F.explode(chunk_keys(F.col("signature"))).alias("key"))
     # Stored, so that the join reads plain shuffles, which adaptive execution can split at a common key.
-    shared = materialise(first.where("a != last").drop("last"), "keys")
-    near = components(keyed.join(shared.hint("merge"), "key").where("a != b").select("a", "b"))
+    shared = materialise(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "keys")
+    meeting = materialise(keyed.join(shared.hint("merge"), "key"), "meeting")
+    tasks = max(1, -(-meeting.count() // TASK_SIGNATURES))
+    placed = _in_blocks(
+        meeting, "key", F.ceil(F.col("n") / BLOCK_SIGNATURES), F.pmod(F.xxhash64("key"), F.lit(tasks))
+    )
+    signed = placed.join(classes.select("node", "signature").hint("merge"), "node").select("task", "key", "node", "signature")
+    candidates = signed.groupBy("task").applyInArrow(_near_signatures, "a long, b long")
+    near = components(candidates).withColumnRenamed("id", "node")
 
-    mass = classes.groupBy(F.col("class").alias("id")).agg(F.sum("n_shingles").alias("mass"))
-    grouped = materialise(near.join(mass, "id"), "groups")
-    whole = grouped.groupBy("component").agg(F.sum("mass").alias("whole"))
-    total = grouped.agg(F.sum("mass")).first()[0] or 0
+    texts_of = classes.select("node", "first.row", "n_shingles")
+    grouped = materialise(near.join(texts_of, "node"), "groups")
+    whole = grouped.groupBy("component").agg(F.sum("n_shingles").alias("whole"))
+    total = grouped.agg(F.sum("n_shingles")).first()[0] or 0
     tasks = max(1, -(-total // BLOCK_SHINGLES))
-    blocks = F.ceil(F.col("whole") / BLOCK_SHINGLES).cast("int")
-    own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    placed = grouped.join(whole.select("component", blocks.alias("blocks")), "component").withColumn("own", own)
-    placed = placed.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    placed = placed.where("blocks = 1 or own != with")
-    pair = F.struct(F.least("own", "with").alias("low"), F.greatest("own", "with").alias("high"))
-    # Small groups share a task; a pair of blocks has its own.
-    task = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("component"), F.lit(tasks))).otherwise(
-        F.xxhash64("component", pair)
+    placed = _in_blocks(
+        grouped.join(whole, "component"),
+        "component",
+        F.ceil(F.col("whole") / BLOCK_SHINGLES),
+        F.pmod(F.xxhash64("component"), F.lit(tasks)),
     )
-    placed = placed.select("id", F.col("component").alias("group"), task.alias("task"))
+    placed = placed.select("row", F.col("node").alias("id"), F.col("component").alias("group"), "task")
     # What meets the texts grows with them, so it is never broadcast.
     compared = (
-        held.join(placed.hint("merge"), "id")
+        whole_texts.join(placed.hint("merge"), "row")
         .groupBy("task")
         .applyInArrow(_compare(size, percent), "a long, b long")
     )
-    linked = components(compared)
-    named = classes.join(linked, F.col("class") == F.col("id"), "left").select(
-        *alike, F.coalesce("component", "class").alias("component")
-    )
+    linked = components(compared).withColumnRenamed("id", "node")
+    led = classes.select(*alike, "node", "first").join(linked, "node", "left")
+    led = led.withColumn("component", F.coalesce("component", "node"))
+    firsts = led.groupBy("component").agg(F.min("first").alias("leader"))
+    named = led.join(firsts, "component").select(*alike, "leader")
     # One row for each text, also where an identifier has several.
-    smallest = sketched.join(named, alike, "left")
-    return smallest.select("id", "n_shingles", F.when(F.col("id").isNotNull(), F.coalesce("component", "id")).alias("component"))
+    known = F.col("id").isNotNull()
+    return sketched.join(named, alike, "left").select(
+        "id",
+        "n_shingles",
+        F.when(known, F.coalesce("leader.id", "id")).alias("component"),
+        "row",
+        F.when(known, F.coalesce("leader.row", "row")).otherwise(F.col("row")).alias("leader"),
+    )
+
+
+def keep_first(documents: DataFrame, id_column: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
+    """One row of each component of ``near_duplicates``: that of the smallest identifier, the first of several.
+
+    Rows without words or identifier all stay. The columns stay as they are; those beginning with
+    ``_near_`` are replaced.
+    """
+    own = [c for c in documents.columns if not c.startswith("_near_")]
+    fixed = materialise(documents.select(*own, F.monotonically_increasing_id().alias("_near_row")), "near")
+    found = near_duplicates(fixed, id_column, text, size, percent, row="_near_row")
+    copies = found.where("row != leader").select(F.col("row").alias("_near_row"))
+    return fixed.join(copies, "_near_row", "left_anti").select(*own)

@@ -95,6 +95,66 @@ def test_edges(spark):
     assert minhash.near_duplicates(df.where("text is null")).count() == 1
 
 
+def plain_rows(rows, size, percent=80):
+    """By row: the row kept for it. Rows are linked by their sets, whatever their identifiers."""
+    found = plain_components([(k, t) for k, (_, t) in enumerate(rows)], size, percent)
+    members = {}
+    for k, (key, text) in enumerate(rows):
+        if key is not None and plain_sets(text, size):
+            members.setdefault(found[k][1], []).append(k)
+    leader = {k: k for k in range(len(rows))}
+    for held in members.values():
+        first = min(held, key=lambda k: (rows[k][0], k))
+        leader.update({k: first for k in held})
+    return leader
+
+
+@pytest.mark.parametrize("seed", range(3))
+@pytest.mark.parametrize("block", [60, 2_000_000])
+def test_shared_and_null_identifiers(spark, monkeypatch, seed, block):
+    """Several texts under one identifier, exact repeats, nulls: each row by its own set."""
+    monkeypatch.setattr(minhash, "BLOCK_SHINGLES", block)
+    monkeypatch.setattr(minhash, "BLOCK_SIGNATURES", 3 if block == 60 else 4096)
+    rng = random.Random(seed)
+    texts = [t for _, t in made(seed, 90)]
+    # A null identifier links nothing, so its text must not connect others either.
+    rows = [(rng.choice([1, 2, 3, 4, 5, 6, 7, 8]), t) for t in texts] + [(None, "alone " * 3 + str(k)) for k in range(3)]
+    rows += rng.sample(rows, 30)
+    df = spark.createDataFrame([(k, *r) for k, r in enumerate(rows)], "n long, doc_id long, text string").repartition(3)
+    out = {r.row: (r.id, r.component, r.leader) for r in minhash.near_duplicates(df, size=4, row="n").collect()}
+    leader = plain_rows(rows, 4)
+    assert out == {k: (rows[k][0], rows[leader[k]][0], leader[k]) for k in range(len(rows))}
+    # Which of several rows with the smallest identifier stays is up to their places in the table.
+    left = minhash.keep_first(df, size=4).collect()
+    assert len({leader[r.n] for r in left}) == len(left) == len(set(leader.values()))
+    assert all(r.doc_id == rows[leader[r.n]][0] for r in left)
+
+
+def test_a_text_under_a_shared_identifier_is_not_lost(spark):
+    a, b = (" ".join(f"{t}{k}" for k in range(60)) for t in "ab")
+    df = spark.createDataFrame([(5, a, "x"), (5, b, "y"), (1, a + " tail", "z")], "doc_id long, text string, _near_row string")
+    assert sorted((r.doc_id, r.text) for r in minhash.keep_first(df).collect()) == [(1, a + " tail"), (5, b)]
+    out = sorted((r.id, r.component) for r in minhash.near_duplicates(df).collect())
+    assert out == [(1, 1), (5, 1), (5, 5)]
+
+
+def test_distant_signatures_of_one_key_are_no_candidates():
+    rng = np.random.default_rng(2)
+    symbols = np.repeat(rng.integers(0, 1 << 16, (1, 64)), 6, 0).astype("<u2")
+    for k, wrong in enumerate((0, 31, 32, 20, 64, 64)):
+        symbols[k, :wrong] ^= k + 1
+    symbols[5] = symbols[4]
+    symbols[5, 60:] ^= 9
+    found = minhash.links_within(np.arange(6), symbols)
+    assert sorted(found) == [(0, 1), (0, 3), (4, 5)] or {frozenset(x) for x in found} >= {frozenset((0, 1)), frozenset((4, 5))}
+    reach = {k: k for k in range(6)}
+    for x, y in found:
+        reach[y] = reach[x]
+    true = (symbols[:, None] != symbols[None]).sum(-1) <= minhash.WRONG_SYMBOLS
+    assert all(reach[x] == reach[y] for x, y in zip(*np.nonzero(true)))
+    assert reach[4] != reach[0] and all(true[x, y] or any(true[x, z] and true[z, y] for z in range(6)) for x, y in found)
+
+
 def test_signatures_meet_within_the_guaranteed_distance(spark):
     rng = np.random.default_rng(4)
     one = rng.integers(0, 1 << 16, minhash.SYMBOLS).astype("<u2")
