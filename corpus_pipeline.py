@@ -32,10 +32,15 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of smallest identifier of each near-duplicate group; null identifiers stay."""
-    found = minhash.near_duplicates(docs)
-    copies = found.where("id != component").select(F.col("id").alias("doc_id")).distinct()
-    return docs.join(copies, "doc_id", "left_anti").select(docs.columns)
+    """One document of each near-duplicate group, by the sets of five-word shingles of their texts.
+
+    That of the smallest identifier stays, the first of several rows with it. Texts count, not
+    identifiers: of different texts under one identifier each is kept or dropped by its own set, and
+    repeated rows are copies. Null, empty and wordless texts and null identifiers are linked with
+    nothing and all stay. Ties are decided by row number, which a stored copy fixes. Texts are taken
+    whole, however long; an empty table gives an empty one.
+    """
+    return minhash.keep_first(docs).select(docs.columns)
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
