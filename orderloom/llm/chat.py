@@ -96,6 +96,11 @@ def _formatted(schemas: Mapping, *columns: Column) -> Column:
     return F.arrow_udf(work, FORMATTED)(*columns)
 
 
+def _hashed(side: DataFrame) -> DataFrame:
+    """The side of a join that is hashed, partition by partition."""
+    return side.hint("shuffle_hash")
+
+
 def levels(nodes: DataFrame) -> DataFrame:
     """``conversation, call_id, level``: how many calls come before each along ``after``.
 
@@ -105,7 +110,7 @@ def levels(nodes: DataFrame) -> DataFrame:
     """
     keys = ["conversation", "call_id"]
     there = nodes.select("conversation", F.col("call_id").alias("after"))
-    state = nodes.join(there.withColumn("_there", F.lit(True)), ["conversation", "after"], "left").select(
+    state = nodes.join(_hashed(there.withColumn("_there", F.lit(True))), ["conversation", "after"], "left").select(
         *keys,
         F.when(F.col("_there"), F.col("after")).alias("to"),
         F.when(F.col("_there"), 1).otherwise(0).cast("long").alias("level"),
@@ -118,7 +123,7 @@ def levels(nodes: DataFrame) -> DataFrame:
             return state.select(*keys, F.when(F.col("to").isNull(), F.col("level")).alias("level"))
         open_before = still_open
         beyond = state.select("conversation", F.col("call_id").alias("to"), F.col("to").alias("next"), F.col("level").alias("more"))
-        state = state.join(beyond, ["conversation", "to"], "left").select(
+        state = state.join(_hashed(beyond), ["conversation", "to"], "left").select(
             *keys, F.col("next").alias("to"), (F.col("level") + F.coalesce("more", F.lit(0))).alias("level")
         )
 
@@ -132,7 +137,7 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: Mapping, every_res
     no_result, no_call, no_id, cycle), ``errors`` (from ``schemas``, a JSON-schema subset by tool; empty if
     valid) and ``json``.
 
-    Calls and results meet by a join on the identifiers. Of several results of a call the first by seq
+    Calls and results meet by hash joins on the identifiers. Of several results of a call the first by seq
     counts, then by text; of calls that share an identifier the first by seq says what it comes after, and
     each is kept as a row. The further results are left out, or with ``every_result`` kept as well: each
     in one more row of the first call of its identifier, by seq, after, tool and arguments, with that
@@ -152,26 +157,27 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: Mapping, every_res
     nodes = calls.where(named).groupBy(*keys).agg(F.min(F.struct("seq", "after")).alias("first"))
     nodes = materialise(nodes.select(*keys, F.col("first.after").alias("after")), "calls")
     ordered = levels(nodes).withColumn("found", F.lit(True))
-    linked = nodes.select(*keys).join(ordered, keys).join(answers, keys, "left")
-    rows = calls.join(linked, keys, "left").withColumn(
+    # Hash joins on the identifiers; the hashed side has one row for each.
+    linked = nodes.select(*keys).join(_hashed(ordered), keys).join(_hashed(answers), keys, "left")
+    rows = calls.join(_hashed(linked), keys, "left").withColumn(
         "status",
         F.when(~named, "no_id")
         .when(F.col("level").isNull(), "cycle")
         .when(F.col("answer").isNull(), "no_result")
         .otherwise("linked"),
     )
-    alone = answers.join(nodes.select(*keys), keys, "left_anti")
+    alone = answers.join(_hashed(nodes.select(*keys)), keys, "left_anti")
     if every_result:
         # The first result of an identifier has its rows already, so it stands here once less.
-        further = given.join(answers.withColumnRenamed("answer", "least"), keys)
+        further = given.join(_hashed(answers.withColumnRenamed("answer", "least")), keys)
         more = (F.col("times") - F.col("answer").eqNullSafe(F.col("least")).cast("long")).cast("int")
         further = further.select(*keys, "answer", F.explode(F.array_repeat(F.lit(0), more)).alias("_")).drop("_")
         unit = F.struct("seq", "after", "tool", "arguments")
         leading = calls.where(named).groupBy(*keys).agg(F.min(unit).alias("call"))
-        leading = leading.select(*keys, "call.*").join(ordered, keys)
+        leading = leading.select(*keys, "call.*").join(_hashed(ordered), keys)
         status = F.when(F.col("level").isNull(), "cycle").otherwise("linked")
-        rows = rows.unionByName(further.join(leading, keys).withColumn("status", status))
-        alone = alone.unionByName(further.join(nodes.select(*keys), keys, "left_anti"))
+        rows = rows.unionByName(further.join(_hashed(leading), keys).withColumn("status", status))
+        alone = alone.unionByName(further.join(_hashed(nodes.select(*keys)), keys, "left_anti"))
     lonely = alone.select(
         *keys, F.lit(None).cast("string").alias("after"), F.col("answer.seq").alias("seq"),
         F.lit(None).cast("string").alias("tool"), F.lit(None).cast("string").alias("arguments"),
@@ -191,3 +197,17 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: Mapping, every_res
         F.when(a_call & F.col("tool").isNotNull(), F.col("made.errors")).otherwise("").alias("errors"),
         F.col("made.json").alias("json"),
     )
+
+
+def messages(turns: DataFrame) -> DataFrame:
+    """Turns that are no calls and no results, as rows like those of ``link_calls`` with the status ``message``.
+
+    ``turns``: conversation, call_id, seq, result (the text, as the message's result). Nulls stay null,
+    repeated rows are kept, other columns are not used.
+    """
+    none = F.lit(None).cast("string")
+    made = _formatted({}, none, none, F.col("call_id"), F.col("result"), none)
+    return turns.select(
+        "conversation", "call_id", "seq", F.lit(None).cast("long").alias("level"), F.lit("message").alias("status"),
+        F.lit("").alias("errors"), made["json"].alias("json"),
+    )

@@ -12,12 +12,12 @@ from orderloom.session import materialise
 RUN_WORDS = 50
 
 
-def line_windows(documents: DataFrame, text: str, run_words: int, whole_runs: bool = False) -> DataFrame:
-    """The shortest windows of lines with at least ``run_words`` words, one for each first line.
+def line_windows(documents: DataFrame, text: str, run_words: int) -> DataFrame:
+    """The shortest windows of lines with at least ``run_words`` words: one from each line on, one up to each line.
 
-    With ``whole_runs`` also those of each last line. A line of a run with that many words lies in the
-    window of the run's first line, or the window of which it is the last line lies in the run; so
-    both kinds together cover every such run to both ends.
+    A line of a run with that many words lies in the window of the run's first line, or the window of
+    which it is the last line lies in the run. So a run that stands earlier is covered to both ends by
+    windows that do, wherever each of these stands first.
 
     ``documents`` has ``_row`` and ``_order``. A row has the places of the first and last line, the
     ``fingerprint`` of the window (its least line hash, the last among equals) with its place, and
@@ -43,18 +43,17 @@ def line_windows(documents: DataFrame, text: str, run_words: int, whole_runs: bo
         least.over(ahead).alias("least"),
         F.xxhash64(content.over(ahead)).alias("content"),
     )
-    if whole_runs:
-        behind = Window.partitionBy("_row").orderBy("word_end").rangeBetween(1 - run_words, 0)
-        ending = placed.select(
-            "_row",
-            "_order",
-            F.min("at").over(behind).alias("at"),
-            F.col("at").alias("last"),
-            (F.col("word_end") - F.min("word_at").over(behind)).alias("held"),
-            least.over(behind).alias("least"),
-            F.xxhash64(content.over(behind)).alias("content"),
-        )
-        windows = windows.unionByName(ending)
+    behind = Window.partitionBy("_row").orderBy("word_end").rangeBetween(1 - run_words, 0)
+    ending = placed.select(
+        "_row",
+        "_order",
+        F.min("at").over(behind).alias("at"),
+        F.col("at").alias("last"),
+        (F.col("word_end") - F.min("word_at").over(behind)).alias("held"),
+        least.over(behind).alias("least"),
+        F.xxhash64(content.over(behind)).alias("content"),
+    )
+    windows = windows.unionByName(ending)
     windows = windows.where(F.col("held") >= run_words)
     return windows.select(
         "_row",
@@ -71,9 +70,12 @@ def repeated_lines(windows: DataFrame) -> DataFrame:
     """``_row, lines``: the places from first to last line of windows that begin earlier as well.
 
     Positions are joined on the fingerprint first: only windows whose fingerprint stands in two
-    places or more go on. Windows are the same if all their lines are; how far a match reaches is
-    up to which windows there are (``line_windows``). Of equal windows the first stays; what is compared
-    with it are the others, never pairs of others, and firsts are found by partial aggregation.
+    places or more go on. Windows are the same if all their lines are. Of equal windows the first
+    stays; what is compared with it are the others, never pairs of others, and firsts are found by
+    partial aggregation. A match is extended line by line as far as any earlier place goes on: forwards
+    by the windows that begin at its later lines, backwards and past its last window by those that end
+    at each line. Extending along the first place alone would stop short where only a later one goes
+    on, and extending along all places would pair all copies of a passage.
     """
     place = F.struct("_row", "fingerprint_at")
     ends = windows.groupBy("fingerprint").agg(F.min(place).alias("low"), F.max(place).alias("high"))
@@ -89,21 +91,14 @@ def repeated_lines(windows: DataFrame) -> DataFrame:
     return runs.select("_row", F.array_distinct(F.flatten("runs")).alias("lines"))
 
 
-def dedup_lines(
-    documents: DataFrame,
-    order: str = "doc_id",
-    text: str = "text",
-    run_words: int = RUN_WORDS,
-    whole_runs: bool = False,
-) -> DataFrame:
+def dedup_lines(documents: DataFrame, order: str = "doc_id", text: str = "text", run_words: int = RUN_WORDS) -> DataFrame:
     """Delete lines of runs that repeat an earlier run; add ``n_lines`` and ``n_removed`` (long).
 
-    A line goes if it lies in a shortest window of at least ``run_words`` words (whole lines in a
-    row, lines without a word not counted) whose lines stand in the same order earlier too: in a
-    document of smaller ``order``, or further up in the same one. Overlaps count, and windows are
-    judged on the input. Lines without a word are never deleted. What follows the last such window of
-    a repeated run stays, e.g. 30 repeated words after a repeated line of 60. With ``whole_runs`` the
-    whole run goes: a line is deleted if any run of at least ``run_words`` words around it stands earlier.
+    A run is whole lines in a row with at least ``run_words`` words; lines without a word are not
+    counted. A line goes if it lies in any run that stands, with the same lines in the same order,
+    earlier too: in a document of smaller ``order``, or further up in the same one. So repeated runs go
+    to both ends. Overlaps count, and runs are judged on the input. Lines without a word are never
+    deleted.
 
     All rows and columns stay; a text may become empty. A null text stays null and has no lines, an
     empty one has one. Null orders come first; equal orders and repeated rows are told apart by a
@@ -113,7 +108,7 @@ def dedup_lines(
     own = [c for c in documents.columns if c not in ("n_lines", "n_removed") and not c.startswith("_")]
     fixed = documents.select(*own, F.monotonically_increasing_id().alias("_row"))
     fixed = materialise(fixed, "lines")
-    windows = line_windows(fixed.withColumn("_order", F.col(order)), text, run_words, whole_runs)
+    windows = line_windows(fixed.withColumn("_order", F.col(order)), text, run_words)
     removed = repeated_lines(materialise(windows, "windows"))
     split = F.split(text, "\n")
     joined = fixed.join(removed, "_row", "left").withColumn(

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from orderloom.functions.ranks import number_rows
 from orderloom.session import materialise
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -16,6 +17,8 @@ MOST_COPIES = 3
 # Documents of a first group, and groups that meet in one of the next level.
 GROUP_ROWS = 256
 FAN_IN = 64
+# Sources in one running sum.
+SOURCE_RUN = 4096
 # Documents are paired with others of about their size: so many classes to a factor of two.
 _CLASSES = 4
 
@@ -36,23 +39,31 @@ def source_targets(
     any number of capped sources gives. Sources come in code-point order, null last.
     """
     totals = sizes.groupBy(source).agg(F.coalesce(F.sum(size), F.lit(0)).alias("source_size"))
-    # One row per source here; documents do not pass through these windows.
-    rank = F.row_number().over(Window.orderBy(F.col(source).asc_nulls_last())) - 1
-    weight = F.element_at(F.array(*map(F.lit, map(float, weights))), (rank % len(weights) + 1).cast("int"))
-    weighed = totals.withColumn("_rank", rank).withColumn("_weight", weight)
+    placed = number_rows(totals.withColumn("_none", F.col(source).isNull()), ["_none", source], column="_rank")
+    weight = F.element_at(F.array(*map(F.lit, map(float, weights))), (F.col("_rank") % len(weights) + 1).cast("int"))
     cap = (most * F.col("source_size")).cast("double")
-    everything = Window.partitionBy()
-    onward = Window.orderBy(F.col("source_size") / F.col("_weight"), "_rank").rowsBetween(
-        Window.currentRow, Window.unboundedFollowing
+    placed = placed.withColumn("_weight", weight).withColumn("_ratio", F.col("source_size") / F.col("_weight"))
+    ordered = number_rows(placed, ["_ratio", "_rank"], column="_at").withColumn("_cap", cap)
+    # Running sums inside runs of SOURCE_RUN sources, and over the runs: one row per run there.
+    ordered = ordered.withColumn("_run", F.floor(F.col("_at") / SOURCE_RUN))
+    runs = ordered.groupBy("_run").agg(F.sum("_cap").alias("_caps"), F.sum("_weight").alias("_weights"))
+    earlier = Window.orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
+    runs = runs.select(
+        "_run",
+        F.coalesce(F.sum("_caps").over(earlier), F.lit(0.0)).alias("_caps"),
+        F.coalesce(F.sum("_weights").over(earlier), F.lit(0.0)).alias("_weights"),
     )
-    before = Window.orderBy(F.col("source_size") / F.col("_weight"), "_rank").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    rest = F.sum("source_size").over(everything) - F.coalesce(F.sum(cap).over(before), F.lit(0.0))
-    level = F.max("_level").over(everything)
-    return weighed.withColumn("_level", rest / F.sum("_weight").over(onward)).select(
-        source, "source_size", F.greatest(F.lit(0.0), F.least(cap, level * F.col("_weight"))).alias("target")
+    inside = Window.partitionBy("_run").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    before = lambda value, run: F.coalesce(F.sum(value).over(inside), F.lit(0.0)) + F.col(run)
+    ordered = ordered.join(runs, "_run").select(
+        source, "source_size", "_weight", "_cap", before("_cap", "_caps").alias("_capped"), before("_weight", "_weights").alias("_weighed")
     )
+    ordered = materialise(ordered, "sources")
+    whole = ordered.agg(F.sum("source_size").alias("words"), F.sum("_weight").alias("weights")).first()
+    open_weight = F.lit(whole.weights) - F.col("_weighed")
+    level = ordered.agg(F.max((F.lit(whole.words) - F.col("_capped")) / open_weight)).first()[0]
+    target = F.greatest(F.lit(0.0), F.least("_cap", F.lit(level).cast("double") * F.col("_weight")))
+    return ordered.select(source, "source_size", target.alias("target"))
 
 
 def chosen(rows: DataFrame, seed: int) -> DataFrame:

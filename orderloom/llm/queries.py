@@ -100,16 +100,20 @@ counted AS (
 placed AS (
   SELECT doc_id, pos, line, words, sum(words) OVER (PARTITION BY doc_id ORDER BY pos) - words AS word_at
   FROM counted WHERE words > 0),
-ahead AS (
-  SELECT doc_id, pos, max(pos) OVER w AS last, max(word_at + words) OVER w - word_at AS held,
+-- A repeated run of 50 words or more is covered by the shortest windows from each line on and up to each line.
+spans AS (
+  SELECT doc_id, pos AS first, max(pos) OVER w AS last, max(word_at + words) OVER w - word_at AS held,
          list(line) OVER w AS content
-  FROM placed WINDOW w AS (PARTITION BY doc_id ORDER BY word_at RANGE BETWEEN CURRENT ROW AND 49 FOLLOWING)),
+  FROM placed WINDOW w AS (PARTITION BY doc_id ORDER BY word_at RANGE BETWEEN CURRENT ROW AND 49 FOLLOWING)
+  UNION ALL
+  SELECT doc_id, min(pos) OVER w, pos, word_at + words - min(word_at) OVER w, list(line) OVER w
+  FROM placed WINDOW w AS (PARTITION BY doc_id ORDER BY word_at + words RANGE BETWEEN 49 PRECEDING AND CURRENT ROW)),
 ranked AS (
-  SELECT doc_id, pos, last, row_number() OVER (PARTITION BY content ORDER BY doc_id, pos) AS nth
-  FROM ahead WHERE held >= 50),
+  SELECT doc_id, first, last, rank() OVER (PARTITION BY content ORDER BY doc_id, first) AS nth
+  FROM spans WHERE held >= 50),
 gone AS (
   SELECT DISTINCT p.doc_id, p.pos FROM placed p JOIN ranked r
-  ON p.doc_id = r.doc_id AND p.pos BETWEEN r.pos AND r.last WHERE r.nth > 1),
+  ON p.doc_id = r.doc_id AND p.pos BETWEEN r.first AND r.last WHERE r.nth > 1),
 left_over AS (
   SELECT s.doc_id, count(*) AS n_lines, count(g.pos) AS n_removed,
          coalesce(string_agg(s.line, chr(10) ORDER BY s.pos) FILTER (WHERE g.pos IS NULL), '') AS rest,
@@ -192,19 +196,23 @@ CALL_SCHEMAS = {
 
 @query
 def op2_tool_call_linking(spark: SparkSession, folder: str) -> DataFrame:
-    """Each user turn as a tool call, the assistant turn after it as its result.
+    """Each user turn as a tool call, the assistant turn after it as its result, all other turns as messages.
 
-    A call builds on the call two turns before it.
+    A call builds on the call two turns before it; the first user turn of a conversation opens it.
     """
     turns = table(spark, folder, "conversations")
     name = lambda turn: F.concat_ws("-", F.col("conv_id").cast("string"), turn.cast("string"))
     words = mixing.word_count(F.col("text"))
-    calls = turns.where("role = 'user'").select(
+    asked = turns.where("role = 'user'")
+    opened = asked.groupBy("conv_id").agg(F.min("turn").alias("opening"))
+    # One row per conversation.
+    asked = asked.join(opened.hint("shuffle_hash"), "conv_id", "left")
+    calls = asked.select(
         F.col("conv_id").alias("conversation"),
         name(F.col("turn")).alias("call_id"),
         F.when(F.col("turn") >= 2, name(F.col("turn") - 2)).alias("after"),
         F.col("turn").alias("seq"),
-        F.when(F.col("turn") == 0, "open").otherwise("continue").alias("tool"),
+        F.when(F.col("turn") == F.col("opening"), "open").otherwise("continue").alias("tool"),
         F.to_json(F.struct(words.alias("words"), "text")).alias("arguments"),
     )
     results = turns.where("role = 'assistant'").select(
@@ -213,14 +221,20 @@ def op2_tool_call_linking(spark: SparkSession, folder: str) -> DataFrame:
         F.col("turn").alias("seq"),
         F.col("text").alias("result"),
     )
+    others = turns.where("role is null or role not in ('user', 'assistant')").select(
+        F.col("conv_id").alias("conversation"),
+        name(F.col("turn")).alias("call_id"),
+        F.col("turn").alias("seq"),
+        F.col("text").alias("result"),
+    )
     linked = chat.link_calls(calls, results, CALL_SCHEMAS, every_result=True)
-    return linked.withColumnRenamed("conversation", "conv_id")
+    return linked.unionByName(chat.messages(others)).withColumnRenamed("conversation", "conv_id")
 
 
 ORACLES["op2_tool_call_linking"] = r"""
 WITH RECURSIVE calls AS (
   SELECT conv_id, conv_id || '-' || turn AS call_id, CASE WHEN turn >= 2 THEN conv_id || '-' || (turn - 2) END AS after,
-         turn AS seq, CASE WHEN turn = 0 THEN 'open' ELSE 'continue' END AS tool, text,
+         turn AS seq, CASE WHEN turn = min(turn) OVER (PARTITION BY conv_id) THEN 'open' ELSE 'continue' END AS tool, text,
          len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words
   FROM conversations WHERE role = 'user'),
 results AS (
@@ -235,8 +249,11 @@ linked AS (
   SELECT coalesce(c.conv_id, r.conv_id) AS conv_id, coalesce(c.call_id, r.call_id) AS call_id,
          coalesce(c.seq, r.seq) AS seq, c.after, c.tool, c.text, c.words, r.result,
          CASE WHEN c.call_id IS NULL THEN 'no_call' WHEN r.call_id IS NULL THEN 'no_result' ELSE 'linked' END AS status
-  FROM calls c FULL JOIN results r ON c.conv_id = r.conv_id AND c.call_id = r.call_id)
-SELECT k.conv_id, k.call_id, k.seq, l.level, k.status,
+  FROM calls c FULL JOIN results r ON c.conv_id = r.conv_id AND c.call_id = r.call_id
+  UNION ALL
+  SELECT conv_id, conv_id || '-' || turn, turn, NULL, NULL, NULL, NULL, text, 'message'
+  FROM conversations WHERE role IS NULL OR role NOT IN ('user', 'assistant'))
+SELECT k.conv_id, k.call_id, k.seq, CASE WHEN k.status <> 'message' THEN l.level END AS level, k.status,
        concat_ws('; ', CASE WHEN length(k.text) > 600 THEN 'text is longer than 600' END,
                        CASE WHEN k.words < 5 THEN 'words is below 5' END) AS errors,
        '{"after":' || coalesce(to_json(k.after)::VARCHAR, 'null')

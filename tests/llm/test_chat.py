@@ -93,11 +93,14 @@ def test_every_result_is_kept(spark):
 
 def test_query_equals_sql_where_assistant_turns_repeat(spark, tmp_path):
     turns = [(1, 0, "user", "a b c d e"), (1, 1, "assistant", "r"), (1, 1, "assistant", "s"), (1, 1, "assistant", "s"),
-             (1, 2, "user", "f"), (2, 1, "assistant", "t"), (2, 1, "assistant", "u"), (2, 1, "assistant", "u")]
+             (1, 2, "user", "f"), (2, 1, "assistant", "t"), (2, 1, "assistant", "u"), (2, 1, "assistant", "u"),
+             (3, 0, "system", "s"), (3, 1, "user", "a b c d e"), (3, 2, "assistant", "t"), (3, 3, "user", "x"), (3, 0, "system", "s"),
+             (4, 0, None, "n"), (4, 1, "tool", None)]
     spark.createDataFrame(turns, "conv_id long, turn int, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
     df = queries.QUERIES["op2_tool_call_linking"](spark, str(tmp_path))
     with duckdb.connect() as con:
         con.execute(f"create view conversations as select * from '{tmp_path}/conversations.parquet/*.parquet'")
         result = con.execute(queries.ORACLES["op2_tool_call_linking"])
         expected = same_form([d[0] for d in result.description], result.fetchall())
-    assert same_form(df.columns, [tuple(r) for r in df.collect()]) == expected and df.count() == 7
+    assert same_form(df.columns, [tuple(r) for r in df.collect()]) == expected and df.count() == 13
+    assert "ShuffledHashJoin" in df._jdf.queryExecution().executedPlan().toString()

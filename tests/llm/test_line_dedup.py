@@ -9,7 +9,10 @@ from orderloom.llm import line_dedup
 
 
 def plain(rows, run_words):
-    """rows: (order, text) in the order that counts. The text left over and the lines deleted."""
+    """rows: (order, text) in the order that counts. The text left over and the lines deleted.
+
+    A line goes if any run of lines around it, of ``run_words`` words or more, stands earlier.
+    """
     seen, out = set(), []
     for _, text in rows:
         if text is None:
@@ -27,7 +30,6 @@ def plain(rows, run_words):
                     if content in seen:
                         gone |= set(used[i : j + 1])
                     seen.add(content)
-                    break
         kept = "\n".join(line for k, line in enumerate(lines) if k not in gone)
         out.append((kept, len(lines), len(gone)))
     return out
@@ -63,38 +65,21 @@ def test_unrelated_texts_stay(spark):
     assert line_dedup.dedup_lines(df).where("n_removed > 0").count() == 0
 
 
-def plain_runs(rows, run_words):
-    """The lines deleted of each text: all runs with ``run_words`` words or more that stand earlier, however long."""
-    seen, out = set(), []
-    for _, text in rows:
-        lines = text.split("\n")
-        used = [k for k, line in enumerate(lines) if line.split()]
-        gone, own = set(), []
-        for i in range(len(used)):
-            words = 0
-            for j in range(i, len(used)):
-                words += len(lines[used[j]].split())
-                if words >= run_words:
-                    content = tuple(lines[k] for k in used[i : j + 1])
-                    if content in seen:
-                        gone |= set(used[i : j + 1])
-                    own.append(content)
-            seen.update(own)
-        out.append(len(gone))
-    return out
-
-
 def test_whole_runs_go_to_both_ends(spark):
     line = lambda tag, n: " ".join(f"{tag}{k}" for k in range(n))
     run = [line("s", 5), line("a", 60), line("b", 30), line("c", 10)]
     rows = [(1, "\n".join(run)), (2, "\n".join([line("x", 3), *run, line("y", 3)]))]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    got = {r.doc_id: r.text for r in line_dedup.dedup_lines(df, whole_runs=True).collect()}
+    got = {r.doc_id: r.text for r in line_dedup.dedup_lines(df).collect()}
     assert got == {1: rows[0][1], 2: "\n".join([line("x", 3), line("y", 3)])}
 
-    rng = random.Random(5)
-    pool = ["", "  ", "a b c", "a", "b", "x y z w v u t", "one two", "p q r s t u v w x"]
-    rows = [(k, "\n".join(rng.choices(pool, k=rng.randint(1, 15)))) for k in range(80)]
-    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
-    got = {r.doc_id: r.n_removed for r in line_dedup.dedup_lines(df, run_words=5, whole_runs=True).collect()}
-    assert [got[k] for k, _ in rows] == plain_runs(rows, 5)
+
+def test_a_match_goes_on_where_only_a_later_copy_does(spark):
+    """The first copy ends after the long line; the second goes on, and so does the third."""
+    line = lambda tag, n: " ".join(f"{tag}{k}" for k in range(n))
+    rows = [(1, line("a", 60)), (2, "\n".join([line("a", 60), line("b", 9)])), (3, "\n".join([line("x", 3), line("a", 60), line("b", 9)]))]
+    rows += [(4, "\n".join([line("c", 9), line("a", 60)])), (5, "\n".join([line("c", 9), line("a", 60), line("y", 2)]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.text for r in line_dedup.dedup_lines(df).collect()}
+    assert got == {1: line("a", 60), 2: line("b", 9), 3: line("x", 3), 4: line("c", 9), 5: line("y", 2)}
+    assert [got[k] for k, _ in rows] == [t for t, _, _ in plain(rows, 50)]
