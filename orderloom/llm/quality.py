@@ -16,6 +16,8 @@ from orderloom.llm import texts
 SAMPLE_DOCS = 2000
 SAMPLE_WINDOWS = 4000
 WINDOW_LINES = 64
+# Lines of the blocks that training puts from documents of one label into windows of the other.
+BLOCK_LINES = (1, 1, 2, 3, 5, 10)
 # A document is kept if at least this share of its words is in content lines.
 CONTENT_SHARE = 0.5
 
@@ -145,21 +147,26 @@ class LineField:
         return states[::-1]
 
     @classmethod
-    def fit(cls, features: list[np.ndarray], labels: list[int], passes: int = 200) -> LineField:
-        """Maximum likelihood with a quadratic penalty; every line of a window has its label.
+    def fit(cls, features: list[np.ndarray], labels: list[np.ndarray], passes: int = 200) -> LineField:
+        """Maximum likelihood with a quadratic penalty; ``labels`` has one for each line of a window.
 
-        Without windows of both labels all lines are content.
+        Without lines of both labels all lines are content.
         """
-        if len(set(labels)) < 2:
+        if len({int(y) for own in labels for y in own}) < 2:
             return cls()
         longest = max(map(len, features))
         x = np.zeros((len(features), longest, FEATURES))
         mask = np.zeros((len(features), longest))
         for k, rows in enumerate(features):
             x[k, : len(rows)], mask[k, : len(rows)] = rows, 1
-        y = np.array(labels, float)
+        y = np.zeros(mask.shape)
+        for k, own in enumerate(labels):
+            y[k, : len(own)] = own
         last = mask.sum(1).astype(int) - 1
         both = mask[:, 1:]
+        # Observed steps from one line to the next.
+        now, then = np.stack([1 - y[:, :-1], y[:, :-1]], -1), np.stack([1 - y[:, 1:], y[:, 1:]], -1)
+        seen = (now[..., :, None] * then[..., None, :] * both[..., None, None]).sum(1)
         theta = np.zeros(FEATURES + 5)
         first_moment, second_moment = np.zeros_like(theta), np.zeros_like(theta)
         for k in range(1, passes + 1):
@@ -181,11 +188,9 @@ class LineField:
             content = np.exp(ahead[..., 1] + behind[..., 1] - total[:, None]) * mask
             pair = ahead[:, :-1, :, None] + steps + (emit + behind)[:, 1:, None, :] - total[:, None, None, None]
             pair = np.exp(np.where(both[..., None, None] > 0, pair, -np.inf)).sum((1,))
-            missing = mask * y[:, None] - content
-            seen = np.zeros((len(y), 2, 2))
-            seen[np.arange(len(y)), y.astype(int), y.astype(int)] = both.sum(1)
+            missing = mask * y - content
             gradient = np.concatenate(
-                [np.einsum("nt,ntf->f", missing, x), (seen - pair).sum(0).ravel(), [(y - content[:, 0]).sum()]]
+                [np.einsum("nt,ntf->f", missing, x), (seen - pair).sum(0).ravel(), [(y[:, 0] - content[:, 0]).sum()]]
             )
             gradient = gradient / len(y) - 1e-3 * theta
             first_moment = 0.9 * first_moment + 0.1 * gradient
@@ -197,9 +202,14 @@ class LineField:
 def train(documents: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: str = "text") -> LineField:
     """Fit on a bounded sample of labelled documents, whole texts, lines labelled as their document.
 
+    A document has one label, so its windows alone would teach the field never to change its state. Each
+    window is therefore learnt from with blocks of the other label put into it (see ``spliced``): the
+    seams are known, and are where the field learns its steps.
+
     The sample is the ``SAMPLE_DOCS`` labels whose identifiers have the lowest hashes and, of their
     lines, at most ``SAMPLE_WINDOWS`` windows of ``WINDOW_LINES``, so reruns agree. Labels other
-    than 0 and 1, null identifiers and labels without a document are left out.
+    than 0 and 1, null identifiers and labels without a document are left out. Where an identifier has
+    several labels or documents, each pair of them counts, contradicting ones too.
     """
     few = (
         labels.select(F.col(id_column).alias("id"), F.col("quality").cast("int").alias("label"))
@@ -217,7 +227,31 @@ def train(documents: DataFrame, labels: DataFrame, id_column: str = "doc_id", te
         .collect()
     )
     features = [np.array(w.features).reshape(-1, FEATURES) for w in windows]
-    return LineField.fit(features, [w.label for w in windows])
+    return LineField.fit(*spliced(features, [w.label for w in windows]))
+
+
+def spliced(features: list[np.ndarray], labels: list[int], seed: int = 5) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Each window with a block of lines from a window of the other label at its start, middle or end, and its line labels.
+
+    Blocks have up to ``BLOCK_LINES`` lines in a row. Every third window stays as it is. Windows of one
+    label only stay as they are.
+    """
+    draw = np.random.default_rng(seed)
+    of = [[k for k, y in enumerate(labels) if y == label] for label in (0, 1)]
+    rows, marks = [], []
+    for k, (own, label) in enumerate(zip(features, labels)):
+        mark = np.full(len(own), label)
+        others = of[1 - label]
+        if others and k % 3:
+            other = features[others[draw.integers(len(others))]]
+            size = min(len(other), int(draw.choice(BLOCK_LINES)))
+            begin = draw.integers(len(other) - size + 1)
+            at = (0, len(own), int(draw.integers(len(own) + 1)))[draw.integers(3)]
+            own = np.concatenate([own[:at], other[begin : begin + size], own[at:]])
+            mark = np.concatenate([mark[:at], np.full(size, 1 - label), mark[at:]])
+        rows.append(own)
+        marks.append(mark)
+    return rows, marks
 
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,6 +1,7 @@
 """The registered queries and the pipeline: against SQL, and stage by stage against plain Python."""
 
 from collections import Counter
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,8 +12,8 @@ from test_queries import FOLDERS, compare
 
 import __spark_entry__ as contract
 import corpus_pipeline
-from orderloom.llm import mixing, queries
-from orderloom.session import materialise
+from orderloom.llm import mixing, quality, queries
+from orderloom.session import materialise, scratch_root
 
 FOLDER = FOLDERS[0]
 
@@ -111,19 +112,79 @@ def test_pack_stage(staged):
     assert len(by) <= 1.05 * sum(r.length for r in rows) / 2048 + 2
 
 
-def test_stages_take_odd_documents(spark, staged):
-    """Nulls in each column, repeated rows, empty and long texts, clashing columns, no rows."""
-    long = "word " * 3 + " ".join(f"w{k}" for k in range(40_000))
+ODD_SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size string, _row string, _near_row string"
+
+
+def odd_documents(spark):
+    """Nulls in each column, repeated rows, several texts under one identifier, empty and long texts, clashing columns."""
+    long = "\n".join(" ".join(f"w{k}.{j}" for j in range(40)) for k in range(1000))
+    run = lambda tag: " ".join(f"{tag}{k}" for k in range(80))
     rows = [
-        (None, None, None, None, None, "a"), (1, "", "en", "s", 0, "b"), (1, "", "en", "s", 0, "b"),
-        (2, long, "en", None, 5, None), (3, "x y z " * 30, None, "s", 5, "c"), (None, "one two three", "fr", "t", None, "d"),
-        (4, " ".join(f"v{k}" for k in range(80)), "en", "t", 3, "e"), (4, " ".join(f"v{k}" for k in range(80)), "en", "t", 3, "e"),
+        (None, None, None, None, None, "a"), (1, "", "en", "s", 0, "b"), (1, "", "en", "s", 0, "b"), (2, long, "en", None, 5, None),
+        (3, "x y z " * 30, None, "s", 5, "c"), (None, "one two three", "fr", "t", None, "d"), (4, run("v"), "en", "t", 3, "e"),
+        (4, run("v"), "en", "t", 3, "e"), (4, run("u"), "en", "t", 3, "f"), (3, run("u") + " tail", "en", "t", 3, "g"),
+        (None, run("n"), "en", "t", 3, "h"), (7, run("n"), "en", "t", 3, "i"), (8, " \n\t", "en", "t", 3, "j"),
     ]
-    schema = staged[0].select("doc_id", "text", "lang", "source", "n_chars").schema
-    df = spark.createDataFrame(rows, f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in schema)}, size string")
-    for _, stage in corpus_pipeline.STAGES:
-        for docs in (df, df.limit(0)):
-            assert stage(spark, docs, FOLDER).count() >= 0
+    return spark.createDataFrame([(*r, "p", "q") for r in rows], ODD_SCHEMA), rows
+
+
+def odd_left(spark, docs, stage):
+    out = dict(corpus_pipeline.STAGES)[stage](spark, docs, FOLDER)
+    assert out.columns == docs.columns
+    assert dict(corpus_pipeline.STAGES)[stage](spark, docs.limit(0), FOLDER).count() == 0
+    return sorted((r[5], r.doc_id, r.text, r.n_chars) for r in out.collect() if r[5] is not None), out
+
+
+def test_quality_stage_on_odd_documents(spark):
+    docs, rows = odd_documents(spark)
+    left, out = odd_left(spark, docs, "quality")
+    # Long enough and not repetitive; no line of these looks like boilerplate to the field or all of one text do.
+    passing = {"e", "f", "g", "h", "i"}
+    assert {tag for tag, *_ in left} <= passing and out.where("doc_id = 2").count() <= 1
+    # With a field that takes every line for content the rules alone decide.
+    kept = quality.judge(docs, quality.LineField(), into="_q").where("_q.kept")
+    assert sorted(r[5] or "" for r in kept.collect()) == ["", "e", "e", "f", "g", "h", "i"]
+
+
+def test_line_stage_on_odd_documents(spark):
+    docs, rows = odd_documents(spark)
+    left, out = odd_left(spark, docs, "lines")
+    # One of two equal rows goes as a whole; of the equal texts under null and 7 the null is earlier.
+    assert Counter(tag for tag, *_ in left) == Counter("abbcdefghj")
+    assert all(n == (len(t) if t is not None else None) for _, _, t, n in left)
+    assert [r.text for r in out.where("doc_id = 2").collect()] == [rows[3][1]]
+
+
+def test_near_stage_on_odd_documents(spark):
+    docs, rows = odd_documents(spark)
+    left, out = odd_left(spark, docs, "near")
+    # 4 "e" stands twice; 4 "f" is a near copy of 3 "g"; a null identifier is linked with nothing.
+    assert Counter(tag for tag, *_ in left) == Counter("abbcdeghij")
+    assert out.where("doc_id = 2").count() == 1
+
+
+def test_mix_stage_on_odd_documents(spark):
+    docs, rows = odd_documents(spark)
+    left, out = odd_left(spark, docs, "mix")
+    assert max(Counter(left).values()) <= 6  # two equal rows, three times each
+    assert out.where("doc_id = 2").count() <= 3 and {tag for tag, *_ in left} <= set("abcdefghij")
+    assert sorted(map(str, out.collect())) == sorted(map(str, dict(corpus_pipeline.STAGES)["mix"](spark, docs, FOLDER).collect()))
+
+
+def test_pack_stage_on_odd_documents(spark):
+    docs, rows = odd_documents(spark)
+    stage = dict(corpus_pipeline.STAGES)["pack"]
+    out = stage(spark, docs, FOLDER).collect()
+    assert Counter(r.doc_id for r in out if r.piece == 0) == Counter(r[0] for r in rows)
+    assert sorted(r.length for r in out if r.doc_id == 1) == [1, 1] and sum(r.doc_id == 2 for r in out) > 10
+    assert stage(spark, docs.limit(0), FOLDER).count() == 0
+
+
+def test_run_leaves_its_result_only(spark):
+    before = set(Path(scratch_root(spark).removeprefix("file:")).iterdir())
+    out = corpus_pipeline.run(spark, FOLDER)
+    after = set(Path(scratch_root(spark).removeprefix("file:")).iterdir()) - before
+    assert [p.name.split("-")[:2] for p in after] == [["stage", "pack"]] and out.count() > 0
 
 
 def test_no_labels_or_documents(spark, tmp_path):

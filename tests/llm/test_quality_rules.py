@@ -81,10 +81,10 @@ def test_decoding_finds_the_best_path():
 
 def test_fit_separates_and_defaults_to_content():
     good, bad = np.ones((3, quality.FEATURES)), -np.ones((2, quality.FEATURES))
-    field = quality.LineField.fit([good, bad] * 5, [1, 0] * 5)
+    field = quality.LineField.fit([good, bad] * 5, [np.ones(3), np.zeros(2)] * 5)
     assert field.content((good @ field.weights).tolist()) == [True] * 3
     assert field.content((bad @ field.weights).tolist()) == [False] * 2
-    assert quality.LineField.fit([good], [1]).content([0.0, 0.0]) == [True, True]
+    assert quality.LineField.fit([good], [np.ones(3)]).content([0.0, 0.0]) == [True, True]
     assert quality.LineField.fit([], []).content([0.0]) == [True]
 
 
@@ -117,3 +117,49 @@ def test_held_out_accuracy(spark, folder):
     junk = [kept for label, kept in got if label == 0]
     assert len(clean) > 50 and sum(clean) / len(clean) >= 0.98
     assert not junk or sum(junk) / len(junk) <= 0.2
+
+
+def test_windows_are_spliced_at_known_seams():
+    good, bad = [np.full((9, quality.FEATURES), float(k)) for k in range(1, 40)], [-np.ones((4, quality.FEATURES))] * 20
+    rows, marks = quality.spliced([*good, *bad], [1] * 39 + [0] * 20)
+    assert len(rows) == len(marks) == 59 and all(len(r) == len(m) for r, m in zip(rows, marks))
+    for r, m in zip(rows, marks):
+        assert ((r[:, 0] > 0) == (m == 1)).all()
+    assert sum(len(set(m)) == 2 for m in marks) == 59 - 20
+    assert [m.tolist() for m in quality.spliced(good[:3], [1] * 3)[1]] == [[1] * 9] * 3
+
+
+@pytest.fixture(scope="module")
+def field(spark):
+    read = lambda name: spark.read.parquet(f"/root/testdata/sf0.1/{name}.parquet")
+    return quality.train(read("documents"), read("labels"))
+
+
+def line_states(field, held):
+    out = []
+    for data, offsets in texts.slices(pa.array(held)):
+        part = quality.Slice(data, offsets)
+        emission, first = (part.features @ field.weights).tolist(), part.first_line.tolist()
+        out += [field.content(emission[a:b]) if b > a else [] for a, b in zip(first, first[1:])]
+    return out
+
+
+@pytest.mark.parametrize("size", [1, 3, 5, 10])
+@pytest.mark.parametrize("where", [0, 0.5, 1])
+def test_planted_blocks_are_marked(spark, field, size, where):
+    """Lines of poor documents with symbols or bars in good documents: the block, and hardly more, is boilerplate."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    rows = docs.join(labels, "doc_id").orderBy("doc_id").select("text", "quality").collect()
+    lines = lambda text: [x for x in (text or "").split("\n") if x.strip()]
+    good = [lines(r.text) for r in rows if r.quality == 1 and len(lines(r.text)) >= 6][:200]
+    noise = [x for r in rows if r.quality == 0 for x in lines(r.text) if len(re.findall(r"[#$%&*|]", x)) >= 4]
+    rng = np.random.default_rng(size)
+    made, spans = [], []
+    for own in good:
+        at, begin = int(where * len(own)), int(rng.integers(len(noise) - size))
+        made.append("\n".join(own[:at] + noise[begin : begin + size] + own[at:]))
+        spans.append((at, at + size))
+    found = list(zip(line_states(field, made), spans))
+    assert np.mean([not any(s[a:b]) for s, (a, b) in found]) >= 0.9
+    assert np.mean([np.mean(s[:a] + s[b:]) for s, (a, b) in found]) >= 0.97
