@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,9 +43,18 @@ def scratch_root(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/orderloom/{spark.sparkContext.applicationId}"
 
 
+_scope: ContextVar[str] = ContextVar("scratch_scope", default="")
+
+
 def scratch_path(spark: SparkSession, tag: str) -> str:
     """A fresh path in the application's folder for intermediate tables."""
-    return f"{scratch_root(spark)}/{tag}-{uuid.uuid4().hex}"
+    return f"{scratch_root(spark)}{_scope.get()}/{tag}-{uuid.uuid4().hex}"
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder of intermediate tables."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def clear_scratch(spark: SparkSession) -> None:
@@ -51,16 +63,28 @@ def clear_scratch(spark: SparkSession) -> None:
     They outlive the frames that read them, since nothing tells when the last one is done;
     a job calls this at its end.
     """
-    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    remove(spark, scratch_root(spark))
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Intermediate tables made inside are removed at the end; what is to last is written elsewhere before that."""
+    outer = _scope.get()
+    mark = _scope.set(f"{outer}/scope-{uuid.uuid4().hex}")
+    folder = f"{scratch_root(spark)}{_scope.get()}"
+    try:
+        yield
+    finally:
+        _scope.reset(mark)
+        remove(spark, folder)
 
 
-def materialise(df: DataFrame, tag: str) -> DataFrame:
+def materialise(df: DataFrame, tag: str, path: str | None = None) -> DataFrame:
     """Write ``df`` to shared scratch storage once and read it back.
 
     The copy cuts the lineage and outlives any executor, so later passes neither
     recompute the input nor see a different row placement.
     """
-    path = scratch_path(df.sparkSession, tag)
+    path = path or scratch_path(df.sparkSession, tag)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
