@@ -25,9 +25,13 @@ SPREAD = 0.6
 # more pivots close vectors share fewer, so each doubling of NEAREST_PIVOTS adds one.
 NEAREST = 6
 NEAREST_PIVOTS = 128
-# Vectors of a list that one task compares at a time, and entries of small lists in one task.
+# Vectors of a list that one task compares at a time, of a pivot whose lists are compared in one task, and of
+# small pivots in one task.
 BLOCK_VECTORS = 2048
-TASK_ENTRIES = 20_000
+PIVOT_VECTORS = 8192
+TASK_VECTORS = 20_000
+# In place of the second pivot: all lists of the first one.
+ANY = -9
 
 
 def usable(vector: Column) -> Column:
@@ -101,45 +105,75 @@ def nearest_pivots(vector: Column, pivots: dict[int, np.ndarray]) -> Column:
 
 
 def _links(threshold: float):
+    """Compare the inverted lists of a task: per vector its links counted here, and the first vector it reaches."""
     fields = pa.schema([("id", pa.int64()), ("links", pa.int64()), ("root", pa.int64())])
 
     def compare(table: pa.Table) -> pa.Table:
-        table = table.combine_chunks().sort_by([(c, "ascending") for c in ("size", "p", "q", "id")])
-        size, p, q = (table.column(c).to_numpy() for c in ("size", "p", "q"))
-        ids, times, own = (table.column(c).to_numpy() for c in ("id", "times", "own"))
-        cross = table.column("cross").to_numpy()
-        vectors, near = table.column("vector").chunk(0), table.column("near").chunk(0)
-        cuts = np.flatnonzero((np.diff(size, prepend=-1) != 0) | (np.diff(p, prepend=-9) != 0) | (np.diff(q, prepend=-9) != 0))
+        table = table.combine_chunks()
+        size, p, q, own = (table.column(c).to_numpy() for c in ("size", "p", "q", "own"))
+        order = np.lexsort((q, p, size))
+        size, p, q, own = size[order], p[order], q[order], own[order]
+        ids, times = (table.column(c).to_numpy()[order] for c in ("id", "times"))
         found = []
-        for a, b in zip(cuts, [*cuts[1:], len(ids)]):
-            if b - a < 2:
-                continue
-            rows = unit_rows(vectors.slice(a, b - a).flatten().to_numpy().reshape(b - a, size[a]))
-            close = rows @ rows.T >= threshold
-            np.fill_diagonal(close, False)
-            if cross[a]:
-                close &= own[a:b, None] != own[None, a:b]
-            if not close.any():
-                continue
-            # Of all lists two vectors meet in, the one of their two lowest shared pivots counts them.
-            held = near.slice(a, b - a).flatten().to_numpy().reshape(b - a, -1)
-            lower = np.unique(held[held < q[a]])
-            lower = lower[lower != p[a]]
-            has = np.zeros((b - a, len(lower)), np.float32)
-            for column in held.T:
-                hit = np.flatnonzero(np.isin(column, lower))
-                has[hit, np.searchsorted(lower, column[hit])] = 1
-            counted = close & (has @ has.T == 0)
-            links = counted @ times[a:b]
-            label = _reached(counted)
-            some = np.flatnonzero(links)
-            found.append(np.stack([ids[a:b][some], links[some], ids[a:b][label[some]]]))
+        for width in np.unique(size):
+            one = np.flatnonzero(size == width)
+            rows = pa.array(order[one])
+            vectors = unit_rows(table.column("vector").take(rows).combine_chunks().flatten().to_numpy().reshape(len(one), width))
+            near = table.column("near").take(rows).combine_chunks().flatten().to_numpy().reshape(len(one), -1)
+            starts = np.flatnonzero((np.diff(p[one], prepend=-9) != 0) | (np.diff(q[one], prepend=-9) != 0))
+            for a, b in zip(starts, [*starts[1:], len(one)]):
+                part = slice(a, b)
+                named = ids[one][part], times[one][part], own[one][part]
+                if q[one[a]] > ANY:
+                    lists = [(q[one[a]], np.arange(b - a))]
+                else:
+                    lists = _lists_of(near[part], p[one[a]])
+                for other, members in lists:
+                    if len(members) > 1:
+                        found += _compare_list(vectors[part], near[part], *named, members, p[one[a]], other, threshold)
         columns = np.concatenate(found, 1) if found else np.zeros((3, 0), np.int64)
         return pa.table([pa.array(c, pa.int64()) for c in columns], schema=fields)
 
     return compare
 
 
+def _lists_of(near: np.ndarray, p: int) -> Iterator[tuple[int, np.ndarray]]:
+    """The lists of pivot ``p`` and each higher pivot: which rows have both."""
+    row, column = np.nonzero(near > p)
+    other = near[row, column]
+    order = np.argsort(other, kind="stable")
+    other, row = other[order], row[order]
+    starts = np.flatnonzero(np.diff(other, prepend=-9))
+    for a, b in zip(starts, [*starts[1:], len(other)]):
+        yield other[a], row[a:b]
+
+
+def _compare_list(vectors, near, ids, times, own, members, p, q, threshold) -> list[np.ndarray]:
+    """Links among the ``members``; in a list of two blocks only those from one block to the other."""
+    rows = vectors[members]
+    close = rows @ rows.T >= threshold
+    np.fill_diagonal(close, False)
+    block = own[members]
+    if block[0] >= 0:
+        close &= block[:, None] != block[None]
+    if not close.any():
+        return []
+    # Of all lists two vectors meet in, the one of their two lowest shared pivots counts them.
+    hit = np.flatnonzero(close.any(1))
+    members, close = members[hit], close[np.ix_(hit, hit)]
+    held = near[members]
+    lower = np.unique(held[(held < q) & (held != p)])
+    has = np.zeros((len(members), len(lower)), np.float32)
+    for column in held.T:
+        there = np.flatnonzero(np.isin(column, lower))
+        has[there, np.searchsorted(lower, column[there])] = 1
+    counted = close & (has @ has.T == 0)
+    links = counted @ times[members]
+    label = _reached(counted)
+    some = np.flatnonzero(links)
+    return [np.stack([ids[members][some], links[some], ids[members][label[some]]])]
+
+
 def _reached(close: np.ndarray) -> np.ndarray:
     """The lowest row that each row reaches."""
     label = np.full(len(close), -1)
@@ -160,10 +194,11 @@ def near_duplicates(
 ) -> DataFrame:
     """``id, n_links, component`` for each row: vectors linked at cosine ``threshold`` or more.
 
-    Equal vectors are one class, counted by its rows. Each class is kept in the inverted lists of all
+    Equal vectors are one class, counted by its rows. Each class is in the inverted lists of all
     pairs of its nearest pivots, so vectors meet if they share two pivots; those that meet are all
-    verified in double precision. A list above ``BLOCK_VECTORS`` is compared block by block in tasks
-    of their own. Tasks return sums and one link per vector, not pairs. The index is approximate in
+    verified in double precision. The lists of a pivot are compared in one task, to which a vector is
+    sent once; those of a pivot with more than ``PIVOT_VECTORS`` vectors in tasks of their own, and a
+    list above ``BLOCK_VECTORS`` block by block. Tasks return sums and one link per vector, not pairs. The index is approximate in
     which pairs meet; links are exact. All rows are indexed; the pivots are a bounded sample.
 
     Vectors that are null, zero or hold null or non-finite components, and rows without an identifier,
@@ -184,21 +219,34 @@ def near_duplicates(
 
     near = nearest_pivots(F.col("vector"), pivots)
     indexed = materialise(classes.select(*keys, F.col("class").alias("id"), "times", near.alias("near")), "index")
-    some = F.transform("near", lambda a: F.transform(F.filter("near", lambda b: b > a), lambda b: F.struct(a.alias("p"), b.alias("q"))))
-    entries = indexed.select(*keys, "id", "times", "near", F.inline(F.flatten(some)))
-    lists = entries.groupBy("size", "p", "q").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    # A vector stands once for each of its pivots but the last; the lists of a pivot are compared together.
+    entries = indexed.select("*", F.posexplode("near").alias("at", "p")).where(F.col("at") < F.size("near") - 1)
+    counted = entries.groupBy("size", "p").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    counted = materialise(counted, "pivots")
+    entries = entries.join(counted, ["size", "p"])
+    fields = [*keys, "id", "times", "near", "p"]
+    total = counted.where(F.col("n") <= PIVOT_VECTORS).agg(F.sum("n")).first()[0] or 0
+    tasks = max(1, -(-total // TASK_VECTORS))
+    small = entries.where(F.col("n") <= PIVOT_VECTORS).select(
+        *fields,
+        F.lit(ANY).alias("q"),
+        F.lit(-1).alias("own"),
+        F.pmod(F.xxhash64("size", "p"), F.lit(tasks)).alias("task"),
+    )
+    # Those of a common pivot apart, and a common list block by block.
+    apart = entries.where(F.col("n") > PIVOT_VECTORS)
+    apart = apart.select(*fields, F.explode(F.filter("near", lambda b: b > F.col("p"))).alias("q"))
+    lists = apart.groupBy("size", "p", "q").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     lists = materialise(lists.withColumn("blocks", F.ceil(F.col("n") / BLOCK_VECTORS).cast("int")), "lists")
-    placed = entries.join(lists, ["size", "p", "q"])
-    most = max([NEAREST, *(nearest_count(len(known)) for known in pivots.values())])
-    tasks = max(1, -(-indexed.count() * most * (most - 1) // 2 // TASK_ENTRIES))
-    placed = placed.withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    placed = placed.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    apart = apart.join(lists, ["size", "p", "q"])
+    apart = apart.withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    apart = apart.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     pair = F.struct(F.least("own", "with").alias("low"), F.greatest("own", "with").alias("high"))
-    cross = (F.col("own") != F.col("with")).alias("cross")
-    task = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("size", "p", "q"), F.lit(tasks))).otherwise(
-        F.xxhash64("size", "p", "q", pair)
-    )
-    placed = placed.select(*keys, "id", "times", "near", "p", "q", "own", cross, task.alias("task"))
+    task = F.xxhash64("size", "p", "q", pair)
+    # A block beside itself is compared as a whole, so its rows have no block there.
+    block = F.when(F.col("own") == F.col("with"), -1).otherwise(F.col("own"))
+    apart = apart.select(*fields, "q", block.alias("own"), task.alias("task"))
+    placed = small.unionByName(apart)
     full = placed.join(classes.select(*keys, "vector"), keys)
     links = full.groupBy("task").applyInArrow(_links(threshold), "id long, links long, root long")
     links = materialise(links, "links")

@@ -41,10 +41,12 @@ def clustered(rng, n, size=16, noise=0.1):
     return np.float32(rows * rng.uniform(0.1, 9, (n, 1)))
 
 
-@pytest.mark.parametrize("block", [7, 2048])
-def test_against_brute_force(spark, monkeypatch, block):
+@pytest.mark.parametrize("block, most", [(7, 20), (7, 2), (2048, 8192), (2048, 2)])
+def test_against_brute_force(spark, monkeypatch, block, most):
+    """Lists of common pivots and common lists are taken apart, and nothing is counted twice or lost."""
     monkeypatch.setattr(pivots, "BLOCK_VECTORS", block)
-    monkeypatch.setattr(pivots, "TASK_ENTRIES", 300)
+    monkeypatch.setattr(pivots, "PIVOT_VECTORS", most)
+    monkeypatch.setattr(pivots, "TASK_VECTORS", 300)
     rows = [(3 * k, list(map(float, v)), 1) for k, v in enumerate(clustered(np.random.default_rng(1), 240))]
     df = spark.createDataFrame(rows, SCHEMA).repartition(5)
     assert found(df) == brute(rows, 0.9)
