@@ -182,5 +182,6 @@ def stored_versions(spark, folder):
         due = ledger.due(now).select(F.lit(run).alias("run"), "doc_id", "content_hash")
         due = materialise(due.withColumn("rebuilt", (F.col("doc_id") % 2 == 0) | F.lit(run == 3)), "due")
         ledger.record(now.where("doc_id % 3 != 0") if run == 1 else due.where("rebuilt"))
+        ledger.close()
         found.append(due.select("run", "doc_id", "rebuilt"))
     return reduce(DataFrame.unionByName, found)

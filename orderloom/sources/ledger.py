@@ -23,12 +23,14 @@ class VersionLedger:
         self.store, self.name, self.key = store, name, key
         self.begun = store.exists(name)
         self.buckets = int(store.path(name).rpartition("-b")[2]) if self.begun else buckets
+        self._entries: list[str] = []
 
     def read(self) -> DataFrame:
-        """The ledger as a bucketed table; the catalog entry is of this session only."""
+        """The ledger as a bucketed table; its catalog entry lasts until ``close``."""
         spark, folder = self.store.spark, self.store.path(self.name)
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(folder).schema)
         entry = f"ledger_{uuid.uuid4().hex}"
+        self._entries.append(entry)
         spark.sql(
             f"create table {entry} ({columns}) using parquet "
             f"clustered by (`{self.key}`) sorted by (`{self.key}`) into {self.buckets} buckets location '{folder}'"
@@ -63,6 +65,13 @@ class VersionLedger:
         def write(folder: str) -> None:
             bucketed = new.write.bucketBy(self.buckets, self.key).sortBy(self.key)
             bucketed.option("path", folder).format("parquet").saveAsTable(entry)
+            self._entries.append(entry)
 
         self.store.publish(self.name, write, f"-b{self.buckets}")
         self.begun = True
+
+    def close(self) -> None:
+        """Drop the catalog entries made here; the files stay, and frames that were read before end with them."""
+        for entry in self._entries:
+            self.store.spark.sql(f"drop table if exists {entry}")
+        self._entries.clear()

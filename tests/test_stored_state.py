@@ -132,7 +132,12 @@ def hashed(spark, texts):
 
 
 def test_ledger_over_runs(spark, store):
-    ledger = lambda: VersionLedger(store, "l.t", "k", buckets=4)
+    ledgers = []
+
+    def ledger():
+        ledgers.append(VersionLedger(store, "l.t", "k", buckets=4))
+        return ledgers[-1]
+
     texts = {f"k{n}": "a" for n in range(20)}
     assert ledger().due(hashed(spark, texts)).count() == 0
     ledger().record(hashed(spark, {k: v for k, v in texts.items() if k != "k0"}))
@@ -142,6 +147,10 @@ def test_ledger_over_runs(spark, store):
     ledger().record(hashed(spark, {"k1": "b", "k99": "b"}).unionByName(spark.createDataFrame([(None, "x")], "k string, content_hash string")))
     assert sorted(r.k for r in ledger().due(hashed(spark, texts)).collect()) == ["k2"]
     assert ledger().read().count() == 20 and VersionLedger(store, "l.t", "k", buckets=99).buckets == 4
+    for held in ledgers:
+        held.close()
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("ledger_")]
+    assert ledger().read().count() == 20
 
 
 def test_the_ledger_is_not_shuffled(spark, store):
