@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.functions.joins import broadcast_if_small
@@ -19,6 +19,39 @@ def company_stats(augmented: DataFrame) -> DataFrame:
     return augmented.groupBy("order_date", "company").agg(*_count_and_revenue())
 
 
+def company_stats_from_orders(orders: DataFrame, users: DataFrame, locations: DataFrame) -> DataFrame:
+    """``company_stats`` straight from the cleaned tables.
+
+    Orders are summed per user and order time in the map tasks before they meet the companies; the
+    number of user and location rows a user has multiplies the sums as the joins would the orders.
+    """
+    spent = orders.groupBy("user_id", "order_date").agg(*_count_and_revenue())
+    memberships = users.groupBy("user_id", "company").agg(F.count(F.lit(1)).alias("_m"))
+    places = locations.groupBy("user_id").agg(F.count(F.lit(1)).alias("_k")).where("_k > 1")
+    times = F.coalesce("_m", F.lit(1)) * F.coalesce("_k", F.lit(1))
+    joined = spent.join(memberships, "user_id", "left").join(places, "user_id", "left")
+    return joined.groupBy("order_date", "company").agg(*_summed_times(times))
+
+
+def order_stats_from_orders(orders: DataFrame, users: DataFrame, locations: DataFrame) -> DataFrame:
+    """``order_stats`` straight from the cleaned tables: sums per user and day, times the rows of the user.
+
+    Only users that the joins would multiply have a row on the other side.
+    """
+    day = start_of_day("order_date").alias("order_date")
+    spent = orders.groupBy("user_id", day).agg(*_count_and_revenue())
+    ones = [users.select("user_id", F.lit(1).alias("m"), F.lit(0).alias("k")), locations.select("user_id", F.lit(0).alias("m"), F.lit(1).alias("k"))]
+    held = ones[0].unionAll(ones[1]).groupBy("user_id").agg(F.sum("m").alias("m"), F.sum("k").alias("k"))
+    many = held.select("user_id", (F.greatest("m", F.lit(1)) * F.greatest("k", F.lit(1))).alias("_times")).where("_times > 1")
+    joined = spent.join(many, "user_id", "left")
+    return joined.groupBy("order_date").agg(*_summed_times(F.coalesce("_times", F.lit(1))))
+
+
+def _summed_times(times: Column):
+    revenue = F.sum(F.col("total_revenue") * times)
+    return F.sum(F.col("n_orders") * times).alias("n_orders"), revenue.alias("total_revenue")
+
+
 def sku_stats(augmented: DataFrame) -> DataFrame:
     return augmented.groupBy("order_date", "sku").agg(*_count_and_revenue())
 

@@ -63,7 +63,8 @@ def orders_augmented(spark, folder):
     select order_date, company, count(*) as n_orders, round(sum(order_total), 2) as total_revenue
     from sales group by all"""))
 def company_stats(spark, folder):
-    out = stats.company_stats(augmented(OrderViews(spark, folder), sku=False))
+    v = OrderViews(spark, folder)
+    out = stats.company_stats_from_orders(v.orders(sku=False), v.users(), v.locations())
     return out.withColumn("total_revenue", money("total_revenue"))
 
 
@@ -75,7 +76,8 @@ def sku_stats(spark, folder):
 @query("order_stats", over("days", then="""
     select cast(day as timestamp) as order_date, n as n_orders, round(revenue, 2) as total_revenue from days"""))
 def order_stats(spark, folder):
-    out = stats.order_stats(augmented(OrderViews(spark, folder), sku=False))
+    v = OrderViews(spark, folder)
+    out = stats.order_stats_from_orders(v.orders(sku=False), v.users(), v.locations())
     return out.withColumn("total_revenue", money("total_revenue"))
 
 

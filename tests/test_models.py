@@ -157,3 +157,14 @@ def test_files_tell_the_size_of_plain_tables(spark, tmp_path):
     assert joins.planned_bytes(plain.where("k = 3").select("id")) > 0
     assert joins.planned_bytes(plain.groupBy("k").count()) is None
     assert joins.small(1 << 20, plain, plain.groupBy("k").count()) and not joins.small(10, plain)
+
+
+def test_totals_from_orders_equal_totals_from_joined(raw):
+    """Users listed twice, without orders, and orders without a user: the joins multiply, and so do the sums."""
+    joined = augment.orders_augmented(*raw)
+    assert rows(stats.order_stats_from_orders(*raw)) == rows(stats.order_stats(joined))
+    expected = rows(stats.company_stats(joined))
+    assert rows(stats.company_stats_from_orders(*raw)) == expected
+    orders, users, locations = raw
+    assert rows(stats.order_stats_from_orders(orders, users.limit(0), locations.limit(0))) == rows(stats.order_stats(orders))
+    assert stats.company_stats_from_orders(orders.limit(0), users, locations).count() == 0
