@@ -52,7 +52,10 @@ def line_windows(documents: DataFrame, text: str, run_words: int) -> DataFrame:
         (F.col("word_end") - F.min("word_at").over(behind)).alias("held"),
         least.over(behind).alias("least"),
         F.xxhash64(content.over(behind)).alias("content"),
+        "words",
     )
+    # A window that falls below the limit without its last line as well is that of its first line.
+    ending = ending.where(F.col("held") - F.col("words") >= run_words).drop("words")
     windows = windows.unionByName(ending)
     windows = windows.where(F.col("held") >= run_words)
     return windows.select(

@@ -109,8 +109,7 @@ def plain_rows(rows, size, percent=80):
     return leader
 
 
-@pytest.mark.parametrize("seed", range(3))
-@pytest.mark.parametrize("block", [60, 2_000_000])
+@pytest.mark.parametrize("seed, block", [(0, 60), (1, 2_000_000)])
 def test_shared_and_null_identifiers(spark, monkeypatch, seed, block):
     """Several texts under one identifier, exact repeats, nulls: each row by its own set."""
     monkeypatch.setattr(minhash, "BLOCK_SHINGLES", block)
