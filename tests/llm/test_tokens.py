@@ -69,3 +69,20 @@ def test_pieces_of_long_white_space(spark):
     got = dict(pieces.groupBy("doc_id").agg(F.sum("length")).collect())
     ids = Tokenizer.from_file(PATH).encode("x" + "\n" * 1_000_001, add_special_tokens=False).ids
     assert got == {1: len(ids) + 1, 2: 2}
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_ids_and_counts_over_the_whole_vocabulary(seed):
+    """Every token of the vocabulary, in random order and random joins, with and without white space between them."""
+    library, rng = Tokenizer.from_file(PATH), random.Random(seed)
+    counter, encoder = tokens.MergeCounter(PATH), tokens.Encoder(PATH)
+    every = list(range(library.get_vocab_size()))
+    rng.shuffle(every)
+    at = 0
+    while at < len(every):
+        size = rng.randint(1, 400)
+        words = [library.decode([k], skip_special_tokens=False) for k in every[at : at + size]]
+        at += size
+        text = rng.choice(["", " ", "\n", ""]).join(words)
+        ids = library.encode(text, add_special_tokens=False).ids
+        assert encoder(text).tolist() == ids and counter(text) == len(ids)
