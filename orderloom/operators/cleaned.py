@@ -11,9 +11,13 @@ from orderloom.schemas import LOAD_STAMP
 
 
 def orders_cleaned(
-    raw_orders: DataFrame, start: str | None = None, end: str | None = None, closed: str = "both"
+    raw_orders: DataFrame,
+    start: str | None = None,
+    end: str | None = None,
+    closed: str = "both",
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Orders with their total; with a window only the orders placed in it."""
+    """Orders with their total; with a window only the orders placed in it. ``keep`` names further columns to keep."""
     rows = raw_orders if start is None else in_window(raw_orders, "dt", start, end, closed)
     return rows.select(
         "user_id",
@@ -24,6 +28,7 @@ def orders_cleaned(
         F.col("dt").alias("dt_2"),
         as_ntz("dt").alias("order_date"),
         (F.col("quantity") * F.col("purchase_price")).alias("order_total"),
+        *keep,
     )
 
 

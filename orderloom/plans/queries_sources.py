@@ -14,7 +14,7 @@ from orderloom.plans import refresh
 from orderloom.plans.queries_models import MEANS, augmented
 from orderloom.plans.registry import over, query
 from orderloom.schemas import LOCATIONS_FILE, RAW_ORDERS
-from orderloom.session import materialise, scratch_path
+from orderloom.session import materialise, scratch_path, side_by_side
 from orderloom.sources import files, html_tables, payloads
 from orderloom.sources.order_views import LOAD_EPOCH, OrderViews
 from orderloom.sources.tables import TableStore
@@ -59,17 +59,26 @@ def sink_by_key(spark, folder):
     return stored.select("order_date", "sku", "n_orders", F.round("total_revenue", 2).alias("total_revenue"))
 
 
+def load_raw(store: TableStore, views: OrderViews, orders: DataFrame) -> None:
+    side_by_side(
+        store.spark,
+        lambda: store.replace_window(orders, refresh.ORDERS, "dt", grain="year"),
+        lambda: store.replace(views.raw_users(), refresh.USERS),
+        lambda: store.replace(views.raw_locations(), refresh.LOCATIONS),
+    )
+
+
 @query("refresh_rebuild", over("days", then="""
     select cast(day as timestamp) as order_date, n as n_orders, round(revenue, 2) as total_revenue
     from days where day < date '1998-01-01'"""))
 def refresh_rebuild(spark, folder):
     """All models rebuilt after the orders of the last year were taken out: nothing of them stays."""
     store, v = TableStore(spark, scratch_path(spark, "warehouse")), OrderViews(spark, folder)
-    store.replace(v.raw_users(), refresh.USERS)
-    store.replace(v.raw_locations(), refresh.LOCATIONS)
-    for last in ("1999-01-01", "1998-01-01"):
-        store.replace_window(v.raw_orders().where(F.col("dt") < ntz_literal(last)), refresh.ORDERS, "dt", grain="year")
-        refresh.refresh_models(store, grain="year")
+    load_raw(store, v, v.raw_orders().where(F.col("dt") < ntz_literal("1999-01-01")))
+    refresh.refresh_models(store, grain="year")
+    kept = store.read_window(refresh.ORDERS, grain="year").where(F.col("dt") < ntz_literal("1998-01-01"))
+    store.replace_window(kept, refresh.ORDERS, "dt", grain="year", spread=False)
+    refresh.refresh_models(store, grain="year")
     stored = store.read_window(refresh.ORDER_STATS)
     return stored.select("order_date", "n_orders", F.round("total_revenue", 2).alias("total_revenue"))
 

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import os
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
-from contextvars import ContextVar
+from contextvars import ContextVar, copy_context
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -88,3 +90,11 @@ def materialise(df: DataFrame, tag: str, path: str | None = None) -> DataFrame:
     path = path or scratch_path(df.sparkSession, tag)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def side_by_side(spark: SparkSession, *steps: Callable[[], object]) -> None:
+    """Run steps that do not need each other at once; returns when all have ended, and raises the first error."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        running = [pool.submit(copy_context().run, inheritable_thread_target(spark)(step)) for step in steps]
+    for step in running:
+        step.result()

@@ -132,15 +132,20 @@ class TableStore:
         reader = self.spark.read if schema is None else self.spark.read.schema(schema)
         return reader.parquet(self.path(table))
 
-    def read_window(self, table: str, start: str | None = None, end: str | None = None) -> DataFrame:
-        """Rows without their partition column; with ends, of the partitions in ``[start, end)`` only."""
+    def read_window(
+        self, table: str, start: str | None = None, end: str | None = None, grain: str | None = None
+    ) -> DataFrame:
+        """Rows without their partition column; with ends, of the partitions in ``[start, end)`` only.
+
+        With ``grain`` the column stays if the table is stored by it.
+        """
         rows = self.read(table)
         part = next((p for p in GRAINS.values() if p in rows.columns), None)
         if part is None:
             return rows
         if start is not None:
             rows = rows.where((F.col(part) >= ntz_literal(start)) & (F.col(part) < ntz_literal(end)))
-        return rows.drop(part)
+        return rows if grain is not None and part == GRAINS[grain] else rows.drop(part)
 
     def replace(self, df: DataFrame, table: str) -> DataFrame:
         """Replace the whole table in one step; ``df`` may read the table itself."""
@@ -155,28 +160,32 @@ class TableStore:
         start: str | None = None,
         end: str | None = None,
         grain: str = "day",
+        spread: bool = True,
     ) -> DataFrame:
         """Replace the partitions of the half-open window ``[start, end)`` and no others.
 
         Rows outside the window are not written. A partition of the window that gets
         no new row ends up empty. Without a window the whole table is replaced in one step.
         ``rebalance`` lets adaptive execution split a partition value that holds many
-        rows and merge small ones, so file sizes follow the data. Window ends that are
-        no partition boundaries are an error. What was rewritten is told from the names
-        of files; no row is read for it.
+        rows and merge small ones, so file sizes follow the data. ``spread=False`` leaves
+        this shuffle out and takes the partition column as it is where there is one; it is
+        for rows that come straight from a table stored in the same partitions, whose files
+        give each task a few values. Window ends that are no partition boundaries are an
+        error. What was rewritten is told from the names of files; no row is read for it.
         """
         part, windowed = GRAINS[grain], start is not None
         if windowed:
             check_boundary(start, grain)
             check_boundary(end, grain)
         rows = in_window(df, expr, start, end, closed="left") if windowed else df
-        rows = rows.withColumn(part, part_value(expr, grain))
+        placed = not spread and part in df.columns
+        rows = rows.withColumn(part, F.col(part).cast("date") if placed else part_value(expr, grain))
         before = self._window_files(table, part, start, end) if windowed else {}
-        spread = rows.hint("rebalance", part).write.partitionBy(part)
+        writer = (rows.hint("rebalance", part) if spread else rows).write.partitionBy(part)
         if windowed:
-            spread.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(self.path(table))
+            writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(self.path(table))
         else:
-            self.publish(table, spread.parquet)
+            self.publish(table, writer.parquet)
         after = self._window_files(table, part, start, end) if windowed else {}
         emptied = [value for value, files in before.items() if after.get(value) == files]
         if not self._folders(table):

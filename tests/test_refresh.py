@@ -1,12 +1,15 @@
 import json
+import uuid
 from datetime import datetime, timedelta
 
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from orderloom.plans import refresh
+from orderloom.plans import queries_sources, refresh
 from orderloom.schemas import RAW_LOCATIONS
+from orderloom.session import side_by_side
+from orderloom.sources.order_views import OrderViews
 from orderloom.sources.tables import TableStore
 
 DAY0 = datetime(2023, 5, 25)
@@ -83,3 +86,62 @@ def test_enrichment_job(spark, store):
     rows_in = spark.range(20).withColumnRenamed("id", "order_id")
     out = refresh.run_enrichment(store, rows_in, lambda key: '{"order_center": {"0": ["albany"]}}', tasks=2)
     assert out.count() == 20 and out.first()["order_center"] == {"0": ["albany"]}
+
+
+class CountingStore(TableStore):
+    """Remembers how many stages the last write of each dated table took."""
+
+    stages: dict[str, int] = {}
+
+    def publish(self, table, write, tag=""):
+        context, group = self.spark.sparkContext, uuid.uuid4().hex
+        context.setJobGroup(group, table)
+        try:
+            super().publish(table, write, tag)
+        finally:
+            context.setLocalProperty("spark.jobGroup.id", None)
+        tracker = context.statusTracker()
+        jobs = tracker.getJobIdsForGroup(group)
+        self.stages[table] = len({stage for job in jobs for stage in tracker.getJobInfo(job).stageIds})
+
+
+def test_row_by_row_tables_are_written_without_a_shuffle(spark, tmp_path):
+    store = CountingStore(spark, str(tmp_path))
+    orders, users = pages(spark, 40)
+    places = [(i, f"street {i}", "NY", "US", "10000", 1) for i in range(6)]
+    store.replace(spark.createDataFrame(places, RAW_LOCATIONS), refresh.LOCATIONS)
+    refresh.ingest_window(store, orders, users, "2023-05-25", "2023-07-04")
+    raw = store.read_window(refresh.ORDERS)
+    undated = raw.limit(1).withColumn("dt", F.lit(None).cast("timestamp_ntz"))
+    for grain in ("month", "day"):
+        # Stored by the partitions of the models, and by others.
+        store.replace_window(raw.unionAll(undated).localCheckpoint(), refresh.ORDERS, "dt", grain="month")
+        refresh.refresh_models(store, grain=grain)
+        assert store.stages[refresh.ORDERS_CLEANED] == store.stages[refresh.ORDERS_AGGREGATED] == 1
+        cleaned = store.read(refresh.ORDERS_CLEANED)
+        assert cleaned.count() == 401 and cleaned.columns[8:] == [f"part_{grain}"]
+        assert rows(store.read(refresh.ORDERS_AGGREGATED)) == rows(cleaned)
+        day = F.col("dt").cast("date")
+        wrong = ~F.col(f"part_{grain}").eqNullSafe(day if grain == "day" else F.trunc(day, grain))
+        assert cleaned.where(wrong).count() == 0
+        assert store.read_window(refresh.ORDERS_CLEANED, grain="year").columns == cleaned.columns[:8]
+
+
+def test_rebuild_takes_orders_out_of_the_stored_table(spark, monkeypatch):
+    """The star tables are joined once; the second build begins with what is stored."""
+    joined, whole = [], OrderViews.raw_orders
+    monkeypatch.setattr(OrderViews, "raw_orders", lambda self, sku=True: joined.append(1) or whole(self, sku))
+    got = queries_sources.refresh_rebuild(spark, "/root/testdata/sf0.001")
+    last = got.agg(F.max("order_date")).first()[0]
+    assert len(joined) == 1 and last < datetime(1998, 1, 1)
+
+
+def test_side_by_side_ends_all_steps_and_raises(spark):
+    done = []
+
+    def fails():
+        raise ValueError("one")
+
+    with pytest.raises(ValueError, match="one"):
+        side_by_side(spark, fails, lambda: done.append(spark.range(5).count()))
+    assert done == [5]
