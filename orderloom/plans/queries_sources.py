@@ -105,9 +105,7 @@ def refresh_rebuild(spark, folder):
 def refresh_models(spark, folder):
     """All models built one after another as stored tables, the dated ones by year: rows and a sum of each."""
     store, v = TableStore(spark, scratch_path(spark, "warehouse")), OrderViews(spark, folder)
-    store.replace_window(v.raw_orders(), refresh.ORDERS, "dt", grain="year")
-    store.replace(v.raw_users(), refresh.USERS)
-    store.replace(v.raw_locations(), refresh.LOCATIONS)
+    load_raw(store, v, v.raw_orders())
     refresh.refresh_models(store, grain="year")
     summed = {
         refresh.ORDERS_CLEANED: "order_total",

@@ -136,6 +136,18 @@ def test_rebuild_takes_orders_out_of_the_stored_table(spark, monkeypatch):
     assert len(joined) == 1 and last < datetime(1998, 1, 1)
 
 
+def test_models_load_raw_tables_at_once(spark, monkeypatch):
+    batches = []
+
+    def noted(session, *steps):
+        batches.append(len(steps))
+        side_by_side(session, *steps)
+
+    monkeypatch.setattr(queries_sources, "side_by_side", noted)
+    assert queries_sources.refresh_models(spark, "/root/testdata/sf0.001").count() == 13
+    assert batches == [3]
+
+
 def test_side_by_side_ends_all_steps_and_raises(spark):
     done = []
 
